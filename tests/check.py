@@ -37,7 +37,7 @@ def plain(v):
     if isinstance(v, int):
         return str(v)
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 6) + 0.0)
+        return "nan" if math.isnan(v) else repr(v + 0.0)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     return v
