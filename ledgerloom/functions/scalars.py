@@ -12,7 +12,7 @@ from pyspark.sql import Column, functions as F
 
 ColumnLike = Column | str
 
-RATIO_TYPE = "decimal(19,6)"
+RATIO_TYPE = "decimal(9,4)"
 AMOUNT_TYPE = "decimal(28,6)"
 MONEY_TYPE = "decimal(19,2)"
 
@@ -119,7 +119,7 @@ def ratio_amount(amount: ColumnLike, ratio: ColumnLike) -> Column:
     Rounded to six decimals per row, so that sums do not depend on the order of rows.
     """
     amount, r = as_col(amount).cast("decimal(24,6)"), ratio_value(ratio)
-    return F.when(r.isNotNull(), (amount / r * F.lit(100)).cast(AMOUNT_TYPE)).otherwise(amount.cast(AMOUNT_TYPE))
+    return F.when(r.isNotNull(), (amount * F.lit(100) / r).cast(AMOUNT_TYPE)).otherwise(amount.cast(AMOUNT_TYPE))
 
 
 def int_part(c: ColumnLike) -> Column:
