@@ -13,6 +13,11 @@ ENTRY_ID = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenum
 ENTRY_SQL = "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)"
 
 
+def half_up(x: str, digits: int = 7) -> str:
+    """Round a double half-up on its decimal text, as Spark does."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,16)), {digits}) AS DOUBLE)"
+
+
 @query(
     "dwd_order_detail",
     """SELECT o_orderkey AS bill_id, o_orderstatus AS status, o_custkey AS customer_id, strftime(o_orderdate, '%Y-%m-%d') AS created_on,
@@ -174,7 +179,7 @@ def transfer_margin(t: Tables) -> DataFrame:
 
 @query(
     "gross_margin",
-    """WITH x AS (SELECT 'P' || p_partkey AS project_no, p_name AS project_name, c_mktsegment AS customer_name, c_mktsegment AS contact_name, p_brand AS brand, p_type AS brand_type,
+    f"""WITH x AS (SELECT 'P' || p_partkey AS project_no, p_name AS project_name, c_mktsegment AS customer_name, c_mktsegment AS contact_name, p_brand AS brand, p_type AS brand_type,
             CAST(p_partkey AS VARCHAR) AS material_no, p_name AS material_name, p_type AS specification, p_type AS material_group, CAST(p_size AS VARCHAR) AS ratio,
             CAST(CASE WHEN p_size % 5 = p_size % 25 THEN 0 ELSE p_size / 100 END AS DECIMAL(9,6)) AS agent_rate, strftime(o_orderdate, '%Y-%m') AS created_at,
             CAST(l_tax AS DECIMAL(6,4)) AS tax, CAST(CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_quantity END AS DECIMAL(18,2)) AS q, CAST(l_extendedprice AS DECIMAL(18,2)) AS a,
@@ -185,9 +190,9 @@ def transfer_margin(t: Tables) -> DataFrame:
             CAST(sum(q) AS DECIMAL(28,2)) AS qd, CAST(sum(q) AS DOUBLE) AS q, CAST(sum(a) AS DOUBLE) AS a, CAST(sum(c) AS DOUBLE) AS c, CAST(agent_rate AS DOUBLE) AS r, CAST(tax AS DOUBLE) AS t FROM x GROUP BY ALL),
         h AS (SELECT *, CASE WHEN r > 0 THEN a / r ELSE a END AS sale, CASE WHEN r > 0 THEN a / (1 + t) ELSE c END AS cost, CASE WHEN q = 0 THEN 1.0::DOUBLE ELSE q END AS u FROM g)
         SELECT project_no, project_name, customer_name, contact_name, brand, brand_type, material_no, material_name, specification, material_group, ratio, created_at, agent_rate, tax,
-            qd AS sale_qty, qd AS cost_qty, round(sale / (1 + t) / u, 7) AS net_sale_price, round(sale / u, 7) AS tax_sale_price, round(sale / (1 + t), 7) AS net_sale_amount, round(sale, 7) AS tax_sale_amount,
-            round(cost / u, 7) AS net_cost_price, round(cost * (1 + t) / u, 7) AS tax_cost_price, round(cost, 7) AS net_cost_amount, round(cost * (1 + t), 7) AS tax_cost_amount,
-            round(sale / (1 + t) - cost, 7) AS gross_margin FROM h""",
+            qd AS sale_qty, qd AS cost_qty, {half_up('sale / (1 + t) / u')} AS net_sale_price, {half_up('sale / u')} AS tax_sale_price, {half_up('sale / (1 + t)')} AS net_sale_amount, {half_up('sale')} AS tax_sale_amount,
+            {half_up('cost / u')} AS net_cost_price, {half_up('cost * (1 + t) / u')} AS tax_cost_price, {half_up('cost')} AS net_cost_amount, {half_up('cost * (1 + t)')} AS tax_cost_amount,
+            {half_up('sale / (1 + t) - cost')} AS gross_margin FROM h""",
 )
 def gross_margin(t: Tables) -> DataFrame:
     orders, part, customer = t["orders"], t["part"], t["customer"]
