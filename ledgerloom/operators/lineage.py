@@ -15,6 +15,7 @@ def residual_union(
     child_qty: str,
     out_qty: str,
     keep_child_qty: bool = False,
+    with_rest: bool = True,
 ) -> DataFrame:
     """Matched rows plus one row for the quantity no child has taken.
 
@@ -22,7 +23,8 @@ def residual_union(
     parent appears with each child (quantity: the child's, else the parent's), or alone;
     a parent whose children sum to less appears once more with the rest. The pairs come
     from an inner join, which adaptive execution can split when one parent owns a large
-    part of the children; the other rows need only one total per parent.
+    part of the children; the other rows need only one total per parent. Without
+    ``with_rest`` only the matched rows and the parents without children are returned.
     """
     link_cols = list(link.values())
     totals = child.groupBy(*link_cols).agg(
@@ -38,7 +40,8 @@ def residual_union(
     )
     rest = F.col(parent_qty) - F.col("__taken")
     alone = parent.join(totals, [parent[p] == totals[f"__{c}"] for p, c in link.items()], "left")
-    alone = alone.where(F.col("__children").isNull() | (rest > 0)).select(
+    shown = F.col("__children").isNull()
+    alone = alone.where(shown | (rest > 0) if with_rest else shown).select(
         *parent.columns,
         *[F.lit(None).cast(side.schema[c].dataType).alias(c) for c in extra],
         F.when(F.col("__children").isNull(), F.col(parent_qty)).otherwise(rest).alias(out_qty),

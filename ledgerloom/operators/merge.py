@@ -72,9 +72,11 @@ def outer_chain(
         to = i - 1 if key_rule == "neighbour" else 0
         out = out.join(sides[i], [out[f"__{to}_{k}"] == sides[i][f"__{i}_{k}"] for k in keys], "full")
 
+    kinds = dict(facts[0][0].dtypes)
+
     def pick(k: str) -> Column:
         found = [F.col(f"__{i}_{k}") for i in range(len(sides))]
-        if blank_keys:
+        if blank_keys and kinds[k] == "string":
             found = [F.nullif(c, F.lit("")) for c in found]
         return F.coalesce(*found).alias(k)
 

@@ -31,6 +31,20 @@ def _one_per_key(df: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> Da
     return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
 
 
+def latest_with_total(
+    df: DataFrame, keys: Sequence[str], order: ColumnLike, ties: Sequence[str], take: Sequence[str], measure: str, total: str
+) -> DataFrame:
+    """Columns ``take`` of the newest row per key and the key's sum of ``measure``.
+
+    One aggregation: map tasks already reduce each key to its newest row and a sum.
+    """
+    rank = F.struct(as_col(order).alias("__o"), *ties)
+    newest = F.max_by(F.struct(*take), rank).alias("__newest")
+    return df.groupBy(*keys).agg(newest, F.sum(measure).alias(total)).select(
+        *keys, *[F.col("__newest")[c].alias(c) for c in take], total
+    )
+
+
 def partition_total(df: DataFrame, keys: Sequence[str], measure: ColumnLike, name: str) -> DataFrame:
     """Every row with the sum of ``measure`` over its key; NULL keys form a group.
 
