@@ -104,13 +104,13 @@ def _mto(t: Tables) -> DataFrame:
 @query(
     "mto_returns",
     f"""WITH {MTO_SQL} SELECT CAST(r.l_orderkey AS VARCHAR) AS bill_no, strftime(o_orderdate, '%Y-%m-%d') AS approved_at, 'M' || r.l_partkey AS material_no, s_name AS lot_no,
-        CAST(r.l_quantity AS DECIMAL(18,2)) AS qty, s_name AS buyer_no, s_name AS buyer, r_name AS dept, round(c, 8) AS unit_cost, round(r.l_quantity * c, 7) AS amount,
+        CAST(r.l_quantity AS DECIMAL(18,2)) AS qty, s_name AS buyer_no, s_name AS buyer, r_name AS dept, round(c, 8) AS unit_cost, CAST(round(CAST(CAST(c AS VARCHAR) AS DECIMAL(22,12)) * CAST(r.l_quantity AS DECIMAL(8,2)), 6) AS DOUBLE) AS amount,
         CAST(c_nationkey AS VARCHAR) AS seller_no, n_name AS seller, coalesce(nullif(o_orderpriority, '5-LOW'), '') AS seller_company
         FROM ret r JOIN cost ON cost.l_partkey = r.l_partkey AND cost.l_suppkey = r.l_suppkey LEFT JOIN supplier ON r.l_suppkey = s_suppkey
         LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON r.l_linenumber = r_regionkey""",
 )
 def mto_returns(t: Tables) -> DataFrame:
-    return _mto(t).withColumns({"unit_cost": rounded("unit_cost", 8), "amount": rounded("amount", 7)})
+    return _mto(t).withColumns({"unit_cost": rounded("unit_cost", 8), "amount": rounded("amount", 6)})
 
 
 # Twelve kinds of movements of a lot, by line status, discount and line number.

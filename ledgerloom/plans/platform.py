@@ -120,7 +120,7 @@ def platform_recon_lines(t: Mapping[str, DataFrame], recon: DataFrame, small_org
     lines = semi_by(_org_lines(t, "headers", "entries", small_orgs, ("approved_at",)), recon, {"project_no": "project_no"})
     ten = "decimal(19,10)"
     lines = lines.withColumn("__order_key", nullif_blank("order_no"))
-    unit = F.when(ratio_value("ratio").isNotNull(), F.col("tax_price") / ratio_value("ratio") * 100).otherwise(F.col("tax_price"))
+    unit = F.when(ratio_value("ratio").isNotNull(), F.col("tax_price") * 100 / ratio_value("ratio")).otherwise(F.col("tax_price"))
     lines = star_join(
         lines,
         [
