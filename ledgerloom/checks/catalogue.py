@@ -48,7 +48,7 @@ def category_path(t: Tables) -> DataFrame:
 
 
 @query(
-    "material_catalogue",
+    "material_catalog",
     """WITH w AS (SELECT DISTINCT string_split(p_name, ' ')[2] AS word FROM part),
         plat AS (SELECT p_partkey AS k, coalesce(string_agg(word, '/' ORDER BY word), '') AS names FROM (SELECT p_partkey, unnest(list_distinct(string_split(p_name, ' '))) AS x FROM part) LEFT JOIN w ON x = word GROUP BY 1)
        SELECT CAST(p_partkey AS VARCHAR) AS code, 'L4:' || p_name AS category_4_code, p_name AS category_4, 'L3:' || p_size AS category_3_code, CAST(p_size AS VARCHAR) AS category_3,
