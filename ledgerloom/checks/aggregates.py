@@ -10,7 +10,7 @@ from ledgerloom.checks.roles import big, dec, lines, money, net_amount, rounded
 from ledgerloom.functions import codes
 from ledgerloom.functions.scalars import month_text, safe_div
 from ledgerloom.operators.aggregates import collect_names, preagg_join, ratio_sum, tagged_pivot
-from ledgerloom.operators.joins import Dim, star_join
+from ledgerloom.operators.joins import Dim, header_join, star_join
 from ledgerloom.plans.receivables import in_scope, project_totals
 
 
@@ -32,7 +32,7 @@ def project_receivable(t: Tables) -> DataFrame:
     )
     header = header.where(in_scope(SCOPE, "o_orderstatus", "customer", "project"))
     body = lines(t).select("l_orderkey", net_amount().alias("net"))
-    joined = header.join(body, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    joined = header_join(header, body.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
     return project_totals(joined, ["project", "customer"], "o_orderdate", F.col("net"))
 
 
@@ -115,7 +115,7 @@ def unit_cost_by_lot(t: Tables) -> DataFrame:
 
 @query(
     "collect_names",
-    """SELECT l_orderkey, string_agg(s_name, '/' ORDER BY s_name) AS suppliers FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1""",
+    """SELECT l_orderkey, string_agg(DISTINCT s_name, '/' ORDER BY s_name) AS suppliers FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1""",
 )
 def collect_names_query(t: Tables) -> DataFrame:
     named = star_join(lines(t).select("l_orderkey", "l_suppkey"), [Dim(t["supplier"], {"l_suppkey": "s_suppkey"}, {"s_name": "s_name"})])

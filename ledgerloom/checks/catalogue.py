@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.checks.registry import Tables, query
 from ledgerloom.checks.receivables import ratio_sql
 from ledgerloom.checks.roles import LINE_TIES, big, dec, event_day, lines, money, purchases, rounded
-from ledgerloom.checks.sales import ENTRY_ID, ENTRY_SQL
+from ledgerloom.checks.sales import ENTRY_SQL, entry_id
 from ledgerloom.functions.scalars import day_text
 from ledgerloom.plans import catalogue as c, platform as pf
 
@@ -34,7 +34,8 @@ def _categories(t: Tables) -> DataFrame:
     return out
 
 
-CATEGORY_KEY = F.concat_ws("/", "p_type", "p_brand", F.col("p_size").cast("string"), "p_name")
+def category_key() -> Column:
+    return F.concat_ws("/", "p_type", "p_brand", F.col("p_size").cast("string"), "p_name")
 
 
 @query(
@@ -43,7 +44,7 @@ CATEGORY_KEY = F.concat_ws("/", "p_type", "p_brand", F.col("p_size").cast("strin
        'L1:' || p_type AS category_1_code, 'L2:' || p_brand AS category_2_code, 'L3:' || p_size AS category_3_code, 'L4:' || p_name AS category_4_code FROM part""",
 )
 def category_path(t: Tables) -> DataFrame:
-    keyed = t["part"].select("p_partkey", CATEGORY_KEY.alias("category_id"))
+    keyed = t["part"].select("p_partkey", category_key().alias("category_id"))
     return c.category_path(keyed, "category_id", _categories(t)).drop("category_id")
 
 
@@ -70,7 +71,7 @@ def material_catalogue(t: Tables) -> DataFrame:
     part, nation, supplier = t["part"], t["nation"], t["supplier"]
     size = _text("p_size")
     known = {
-        "material_id": F.col("p_partkey"), "code": _text("p_partkey"), "name": F.col("p_name"), "category_id": CATEGORY_KEY, "category_two": F.nullif("p_type", F.lit("SMALL")),
+        "material_id": F.col("p_partkey"), "code": _text("p_partkey"), "name": F.col("p_name"), "category_id": category_key(), "category_two": F.nullif("p_type", F.lit("SMALL")),
         "platform_codes": F.col("p_name"), "price": dec("p_retailprice"), "brand_id": F.col("p_size"), "unit_code": F.col("p_type"), "shelf_state": size, "sale_state": size,
         "tax_code": F.concat(F.lit("SL0"), size, F.lit("_SYS")), "assess_code": size, "buyer_id": size, "creator_id": size, "creator_name": F.col("p_brand"), "size": F.col("p_name"),
         "content": F.when(F.col("p_size") > 20, F.col("p_name")).otherwise(""), "nature": size, "disabled": size, "grade": size, "links": F.col("p_name"),
@@ -169,7 +170,7 @@ def payables_wide(t: Tables) -> DataFrame:
     # Supplier and buyer sit on the lines of the test data, the seller on the header.
     number = ("price_unit_id", "stock_id", "division_id", "bin_id", "buyer_id")
     entries = rows.select(
-        F.col("l_orderkey").alias("bill_id"), ENTRY_ID.alias("entry_id"), F.col("l_partkey").alias("material_id"), F.col("amt").alias("price"), F.col("qty").alias("price_qty"), F.col("amt").alias("tax_price"),
+        F.col("l_orderkey").alias("bill_id"), entry_id().alias("entry_id"), F.col("l_partkey").alias("material_id"), F.col("amt").alias("price"), F.col("qty").alias("price_qty"), F.col("amt").alias("tax_price"),
         F.when(F.col("l_returnflag") == "A", "STK_InStock").otherwise(F.col("l_returnflag")).alias("source_type"), F.col("l_partkey").alias("project_id"), F.col("l_suppkey").alias("supplier_id"),
         *[F.col("l_linenumber").alias(n) for n in number], *[none.alias(n) for n in unused],
     )
@@ -177,7 +178,7 @@ def payables_wide(t: Tables) -> DataFrame:
     def named(frame: DataFrame, key: str, name: str, out: str) -> DataFrame:
         return frame.select(F.col(key).alias(f"{out}_id"), F.col(name).alias(f"{out}_name")).distinct()
 
-    stored = rows.where("l_returnflag <> 'R'").groupBy(ENTRY_ID.alias("entry_id")).agg(
+    stored = rows.where("l_returnflag <> 'R'").groupBy(entry_id().alias("entry_id")).agg(
         F.min("l_linenumber").alias("stock_unit_id"), money(F.sum("qty")).alias("stock_qty"), F.min("l_suppkey").alias("lot_id")
     )
     frames = {

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.checks.registry import Tables, query
 from ledgerloom.checks.roles import LINE_TIES, big, dec, lines, money
 from ledgerloom.functions.scalars import day_text
 from ledgerloom.plans import flatten, sales
 
-ENTRY_ID = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+def entry_id() -> Column:
+    return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+
+
 ENTRY_SQL = "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)"
 
 
@@ -102,7 +105,7 @@ def sale_order_report(t: Tables) -> DataFrame:
     )
     rows = rows.select(
         day_text("o_orderdate").alias("created_at"), F.col("l_orderkey").alias("bill_id"), F.col("l_orderkey").cast("string").alias("bill_no"),
-        ENTRY_ID.alias("entry_id"), F.col("c_nationkey").alias("org_id"), F.col("l_partkey").alias("project_id"), F.col("l_suppkey").alias("creator_id"),
+        entry_id().alias("entry_id"), F.col("c_nationkey").alias("org_id"), F.col("l_partkey").alias("project_id"), F.col("l_suppkey").alias("creator_id"),
         F.col("l_suppkey").alias("seller_id"), F.col("l_linenumber").alias("operator_id"), F.col("o_orderpriority").alias("unit_id"),
         F.col("l_partkey").alias("material_id"), F.col("o_custkey").alias("customer_id"), "qty", F.col("amt").alias("tax_price"), F.col("amt").alias("amount"),
         F.col("c_name").alias("consignee"), F.col("o_orderpriority").alias("phone"), F.col("c_mktsegment").alias("address"),
@@ -121,7 +124,7 @@ def sale_order_report(t: Tables) -> DataFrame:
         "units": orders.select(F.col("o_orderpriority").alias("unit_id"), F.col("o_orderpriority").alias("unit_name")).distinct(),
         "materials": part.select(F.col("p_partkey").alias("material_id"), F.col("p_name").alias("material_no"), brand.alias("brand"), F.col("p_name").alias("material_name"), F.col("p_type").alias("specification")),
         "customers": customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").cast("string").alias("internal_flag")),
-        "issued": lines(t).where("l_returnflag <> 'R'").groupBy(ENTRY_ID.alias("entry_id")).agg(money(F.sum("qty")).alias("issued_qty")),
+        "issued": lines(t).where("l_returnflag <> 'R'").groupBy(entry_id().alias("entry_id")).agg(money(F.sum("qty")).alias("issued_qty")),
         "headers": orders.select(F.col("o_orderkey").alias("bill_id"), F.col("o_orderpriority").alias("header_note")),
     }
     return sales.sale_order_report(frames, agency_mark="7", excluded_type=3)

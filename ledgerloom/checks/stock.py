@@ -6,7 +6,7 @@ R returns; the line number names the warehouse.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.checks.registry import Tables, query
 from ledgerloom.checks.roles import big, dec, lines, money, rounded
@@ -18,6 +18,10 @@ TIES_DESC, TIES_ASC = ", ".join(f"{c} DESC" for c in TIES), ", ".join(TIES)
 STOCKS = ["NATION_1", "NATION_2", "NATION_3", "NATION_4"]
 
 
+def lot_ids() -> list[Column]:
+    return [F.col("l_partkey").alias("material_id"), F.col("l_suppkey").alias("lot_id")]
+
+
 def _lot_lines(t: Tables, cond: str) -> DataFrame:
     """Lines with their lot numbers."""
     rows = lines(t).where(cond).withColumn("material_no", F.concat(F.lit("M"), F.col("l_partkey").cast("string")))
@@ -131,8 +135,8 @@ MOVE_SUMS = ", ".join(f"CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) FILTER ({con
         FROM base LEFT JOIN moves USING (l_partkey, l_suppkey) JOIN supplier ON l_suppkey = s_suppkey""",
 )
 def lot_disposition(t: Tables) -> DataFrame:
-    facts = {name: _lot_lines(t, cond).select(*s.LOT, "qty") for name, cond in MOVES.items()}
-    out = s.lot_disposition(_mto(t), facts)
+    facts = {name: lines(t).where(cond).select(*lot_ids(), "qty") for name, cond in MOVES.items()}
+    out = s.lot_disposition(_mto(t), facts, _dims(t))
     return out.select(
         *s.LOT, money("returned_qty").alias("returned_qty"), rounded("unit_cost", 8).alias("unit_cost"), *[money(name).alias(name) for name in MOVES]
     )
@@ -208,9 +212,9 @@ def _event_sql() -> str:
 def stock_report(t: Tables) -> DataFrame:
     entry = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     rows, part = lines(t), t["part"]
-    # Stock names differ by line number; all the event warehouses count as one here.
-    one = F.when(F.col("l_linenumber").isin(1, 5, 6, 7), "NATION_1").otherwise("other")
-    f = _dims(t) | {k: _lot_lines(t, cond).select(*s.LOT, F.col("l_shipdate").alias("approved_at"), one.alias("stock_name")) for k, cond in EVENTS.items()}
+    # The line number names the warehouse; all the event warehouses count as number 1 here.
+    one = F.when(F.col("l_linenumber").isin(1, 5, 6, 7), 1).otherwise(0)
+    f = _dims(t) | {k: rows.where(cond).select(*lot_ids(), F.col("l_shipdate").alias("approved_at"), one.alias("stock_id")) for k, cond in EVENTS.items()}
     for k, cond in COSTS.items():
         f[k] = _lot_lines(t, cond).select(
             *s.LOT, F.col("l_shipdate").alias("approved_at"), F.lit("1").alias("org_id"), F.col("amt").alias("amount"), "qty", F.col("amt").alias("price"),

@@ -15,12 +15,13 @@ def ratio_sum(amount: ColumnLike, ratio: ColumnLike) -> Column:
 
 
 def collect_names(df: DataFrame, keys: Sequence[str], col: str, out: str, sep: str = "/") -> DataFrame:
-    """Distinct-free, sorted, separated list of ``col`` per key; NULLs are skipped.
+    """Sorted, separated list of the distinct names per key; NULLs are skipped.
 
-    Meant for keys that own a short list (the lines of one document, the words of one
-    name): the text of a group is one value.
+    Names are made distinct per key before they are collected, so a group holds at most
+    as many as the table the names come from, however many rows the key owns.
     """
-    return df.groupBy(*keys).agg(F.concat_ws(sep, F.sort_array(F.collect_list(col))).alias(out))
+    names = df.select(*keys, col).distinct()
+    return names.groupBy(*keys).agg(F.concat_ws(sep, F.sort_array(F.collect_list(col))).alias(out))
 
 
 def preagg_join(

@@ -58,11 +58,25 @@ def left_join_filtered(left: DataFrame, right: DataFrame, on: Sequence[str], rig
     return left.join(right.where(right_pred), list(on), "left")
 
 
+def header_join(header: DataFrame, entry: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Header left join entries, as matched pairs plus headers without an entry.
+
+    Adaptive execution can split a hot key on the left of a left join, not on its right,
+    and here the right side is the large one: a header may own a third of all entries.
+    Either side of an inner join can be split.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    alone = header.join(entry.select(*on).distinct(), on, "left_anti")
+    return header.join(entry, on).unionByName(alone, allowMissingColumns=True)
+
+
 def semi_by(df: DataFrame, keys: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    """Rows whose key occurs in ``keys``, which may repeat its keys any number of times."""
     return _filter_join(df, keys, on, "left_semi")
 
 
 def anti_by(df: DataFrame, keys: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    """Rows whose key does not occur in ``keys``, including rows without a key."""
     return _filter_join(df, keys, on, "left_anti")
 
 
@@ -74,22 +88,23 @@ def not_in(df: DataFrame, col: str, sub: DataFrame, sub_col: str) -> DataFrame:
     ordinary anti join, and its row and NULL counts come from one-row subqueries.
     """
     listed = sub.select(F.col(sub_col).alias("__listed"))
-    size = listed.agg(F.count(F.lit(1))).scalar()
-    nulls = listed.agg(F.count_if(F.col("__listed").isNull())).scalar()
+    sizes = F.struct(F.count(F.lit(1)).alias("all"), F.count_if(F.col("__listed").isNull()).alias("nulls"))
+    counted = listed.agg(sizes).scalar()
     wanted = listed.where(F.col("__listed").isNotNull()).distinct()
     kept = df.join(wanted, df[col] == wanted["__listed"], "left_anti")
-    return kept.where((size == 0) | ((nulls == 0) & F.col(col).isNotNull()))
+    return kept.where((counted["all"] == 0) | ((counted["nulls"] == 0) & F.col(col).isNotNull()))
 
 
 def full_join_split(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFrame:
-    """Full outer join as left join plus unmatched right rows.
+    """Full outer join as matched pairs plus the unmatched rows of each side.
 
-    Adaptive execution can split a hot key of a left join but not of a full outer join.
-    Column names of the two sides must differ.
+    Adaptive execution can split a hot key of an inner or anti join, whichever side has
+    it, but not of a full outer join. Column names of the two sides must differ.
     """
-    matched = left.join(right, [left[a] == right[b] for a, b in on.items()], "left")
-    alone = _filter_join(right, left, {b: a for a, b in on.items()}, "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+    pairs = left.join(right, [left[a] == right[b] for a, b in on.items()])
+    only_left = anti_by(left, right, on)
+    only_right = anti_by(right, left, {b: a for a, b in on.items()})
+    return pairs.unionByName(only_left, allowMissingColumns=True).unionByName(only_right, allowMissingColumns=True)
 
 
 def membership_join(
@@ -118,5 +133,6 @@ def _all_present(keys: Sequence[str]) -> Column:
 
 
 def _filter_join(df: DataFrame, keys: DataFrame, on: Mapping[str, str], how: str) -> DataFrame:
-    side = keys.select(*[F.col(b).alias(f"__{b}") for b in on.values()])
+    # Reduced to distinct keys in the map tasks: a hot key in the list travels once per task.
+    side = keys.select(*[F.col(b).alias(f"__{b}") for b in on.values()]).distinct()
     return df.join(side, [df[a] == side[f"__{b}"] for a, b in on.items()], how)

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.scalars import int_part
+from ledgerloom.operators.joins import full_join_split
 
 
 def upsert(base: DataFrame, delta: DataFrame, key: Sequence[str], insert_new: bool = True) -> DataFrame:
@@ -52,7 +53,11 @@ def change_flag(
 
 
 def outer_chain(
-    facts: Sequence[tuple[DataFrame, str]], keys: Sequence[str], key_rule: str, blank_keys: bool = False
+    facts: Sequence[tuple[DataFrame, str]],
+    keys: Sequence[str],
+    key_rule: str,
+    blank_keys: bool = False,
+    single_lines: Sequence[str] = (),
 ) -> DataFrame:
     """Chain of full outer joins, kept as the reports define it.
 
@@ -60,6 +65,8 @@ def outer_chain(
     to the first; either way facts absent from the joined-to side start rows of their
     own, so one key may take several rows. Each fact is (frame, measure name). Output
     keys are the first non-NULL over the chain (blank texts skipped with ``blank_keys``).
+    Facts hold one row per key, except the measures named in ``single_lines``: those join
+    in a form whose hot keys can be split.
     """
     if key_rule not in ("neighbour", "first"):
         raise ValueError(key_rule)
@@ -70,7 +77,11 @@ def outer_chain(
     out = sides[0]
     for i in range(1, len(sides)):
         to = i - 1 if key_rule == "neighbour" else 0
-        out = out.join(sides[i], [out[f"__{to}_{k}"] == sides[i][f"__{i}_{k}"] for k in keys], "full")
+        on = {f"__{to}_{k}": f"__{i}_{k}" for k in keys}
+        if facts[i][1] in single_lines:
+            out = full_join_split(out, sides[i], on)
+        else:
+            out = out.join(sides[i], [out[a] == sides[i][b] for a, b in on.items()], "full")
 
     kinds = dict(facts[0][0].dtypes)
 

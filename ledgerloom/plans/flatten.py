@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.operators.joins import Dim, star_join
+from ledgerloom.operators.joins import Dim, header_join, star_join
 
 
 @dataclass(frozen=True)
@@ -90,7 +90,7 @@ DOCUMENTS: dict[str, DocumentSpec] = {
 def flatten_document(t: Mapping[str, DataFrame], spec: DocumentSpec) -> DataFrame:
     """One row per entry; a header without entries keeps one row of its own."""
     entry_cols = list(dict.fromkeys(("bill_id", *spec.entry_cols, *(s.key for s in spec.satellites))))
-    joined = t[spec.header].select(*spec.header_cols).join(t[spec.entry].select(*entry_cols), "bill_id", "left")
+    joined = header_join(t[spec.header].select(*spec.header_cols), t[spec.entry].select(*entry_cols), "bill_id")
     dims = [Dim(t[s.table], {s.key: s.own_key or s.key}, {c: c for c in s.take}, s.table) for s in spec.satellites]
     cols = [*spec.header_cols, *spec.entry_cols, *(c for s in spec.satellites for c in s.take)]
     return star_join(joined, dims).select(*cols)
@@ -110,6 +110,7 @@ def staff_directory(
     people = active.where(F.col("org_type") == person_type)
     out = units.select(F.col("id").alias("dept_id"), F.col("name").alias("dept_name"), F.col("parent_id").alias("__up"))
     out = star_join(out, [Dim(units, {"__up": "id"}, {"parent_name": "name", "parent_id": "id"})])
-    out = star_join(out, [Dim(people, {"dept_id": "parent_id"}, {"person_id": "id", "name": "name", "name_pinyin": "name_pinyin"})])
+    people = people.select(F.col("parent_id").alias("dept_id"), F.col("id").alias("person_id"), "name", "name_pinyin")
+    out = header_join(out, people, "dept_id")
     out = star_join(out, [Dim(contacts, {"person_id": "id"}, {"mobile": "mobile", "email": "email"})])
     return out.select("dept_name", "parent_name", "name", "name_pinyin", "mobile", "email", "dept_id", "parent_id")

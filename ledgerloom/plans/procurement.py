@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions import codes
 from ledgerloom.functions.scalars import decode, elapsed_days, is_blank
-from ledgerloom.operators.joins import Dim, star_join
+from ledgerloom.operators.joins import Dim, header_join, star_join
 from ledgerloom.operators.lineage import residual_reversed, residual_union, trace_source
 from ledgerloom.operators.merge import multi_fact_merge, outer_chain
 from ledgerloom.operators.windows import latest_with_total
+from ledgerloom.session import written_table
 
 REQ_COLS = [
     "req_no", "req_status", "req_org", "req_applied", "req_project_no", "project_name", "sale_org", "seller", "material_no", "material_name",
@@ -43,7 +44,9 @@ def procure_timeline(t: Mapping[str, DataFrame], ties: Sequence[str] = ("bill_no
     ``shipments`` as in ``lot_moves``, ``sale_orders`` (bill_id, entry_id, sale_no,
     sale_created, sale_approved, customer_order_no, qty). Every stage shows what the next
     one took and what is left of it. ``as_written`` keeps the report's reversed first
-    stage: received less ordered instead of ordered less received.
+    stage: received less ordered instead of ordered less received. A stage feeds the next
+    one twice (its rows and their totals), so each is written once to the shared folder
+    instead of being computed again at every later use.
     """
     status = codes.DOCUMENT_STATUS
     purchases = t["purchases"].withColumn("pur_status", decode("pur_status", status)).withColumnRenamed("qty", "ordered")
@@ -55,11 +58,12 @@ def procure_timeline(t: Mapping[str, DataFrame], ties: Sequence[str] = ("bill_no
     if as_written:
         over = residual_reversed(purchases, receipts, link, "ordered", "received_qty", "pur_qty")
         stage = stage.unionByName(over, allowMissingColumns=True)
-    stage = stage.drop("ordered", "bill_id", "entry_id")
+    stage = written_table(stage.drop("ordered", "bill_id", "entry_id"), "timeline-purchases")
 
     req = t["requisitions"].withColumn("req_status", decode("req_status", status)).withColumnRenamed("qty", "requested")
     link = {"bill_id": "req_bill_id", "entry_id": "req_entry_id"}
-    stage = residual_union(req, stage, link, "requested", "pur_qty", "req_qty", keep_child_qty=True).drop("requested", "bill_id", "entry_id")
+    stage = residual_union(req, stage, link, "requested", "pur_qty", "req_qty", keep_child_qty=True)
+    stage = written_table(stage.drop("requested", "bill_id", "entry_id"), "timeline-requisitions")
 
     orders = t["sale_orders"].withColumnRenamed("qty", "__sold")
     order_cols = ["sale_no", "sale_created", "sale_approved", "customer_order_no"]
@@ -116,7 +120,7 @@ def purchase_amounts(t: Mapping[str, DataFrame], merged: bool = False) -> DataFr
             (total(t["ordered"], "in_execution"), "in_execution"),
             (t["received"].select(*AMOUNT_KEYS, F.col("amount").alias("on_hand")), "on_hand"),
         ]
-        rows = outer_chain(chain, AMOUNT_KEYS, "neighbour", blank_keys=True)
+        rows = outer_chain(chain, AMOUNT_KEYS, "neighbour", blank_keys=True, single_lines=["on_hand"])
     rows = rows.withColumns({n: F.coalesce(n, F.lit(0)).cast("decimal(18,4)") for n in names})
     rows = rows.where(" OR ".join(f"{n} <> 0" for n in names))
     rows = star_join(
@@ -139,7 +143,7 @@ def return_list(t: Mapping[str, DataFrame], org: str) -> DataFrame:
     """
     head = t["headers"].where((F.col("org_id") == org) & (F.col("status") == "C") & (F.col("cross_org") == "0"))
     return star_join(
-        head.join(t["entries"].select("bill_id", "material_id"), "bill_id", "left"),
+        header_join(head, t["entries"].select("bill_id", "material_id"), "bill_id"),
         [
             Dim(t["sellers"], {"seller_id": "seller_id"}, {"seller": "seller_name"}),
             Dim(t["materials"], {"material_id": "material_id"}, {"material_name": "material_name"}),

@@ -26,7 +26,7 @@ from ledgerloom.functions.scalars import (
 )
 from ledgerloom.functions.text import keyword_region
 from ledgerloom.operators.aggregates import ratio_sum
-from ledgerloom.operators.joins import Dim, not_in, star_join
+from ledgerloom.operators.joins import Dim, header_join, star_join
 from ledgerloom.plans.upkeep import previous_month
 
 APPROVED = "C"
@@ -79,7 +79,7 @@ def receivable_lines(t: Mapping[str, DataFrame], rules: Sequence[OrgRule], compa
         (F.col("qty") * F.col("price")).alias("net_amount"), (F.col("qty") * F.col("tax_price")).alias("tax_amount"), "cost",
     )
     out = star_join(
-        head.join(body, "bill_id", "left"),
+        header_join(head, body, "bill_id"),
         [
             *_project_dims(t),
             Dim(t["sellers"], {"entry_seller_id": "seller_id"}, {"entry_seller": "seller_name"}),
@@ -100,7 +100,7 @@ def settlement_lines(
     """
     head = t[bills].where(F.col("status") == APPROVED).select("bill_id", "org_id", "customer_id", "created_at")
     head = star_join(head, [Dim(t["customers"], {"customer_id": "customer_id"}, {"customer_name": "customer_name"})])
-    out = star_join(head.join(t[rows].select("bill_id", "project_id", "amount"), "bill_id", "left"), _project_dims(t))
+    out = star_join(header_join(head, t[rows].select("bill_id", "project_id", "amount"), "bill_id"), _project_dims(t))
     out = out.where(in_scope(rules, "org_id", "customer_name", "project_name", "short_name"))
     return out if company is None else out.where(F.col("company") == company)
 
@@ -282,16 +282,21 @@ def receivable_board_v2(
     ledger: project_no, day, amount; invoiced_before, receipts, refunds: project_no,
     amount; invoiced_since: project_no, first_day, amount; ticket_sellers: project_no,
     seller. Projects already invoiced before go through ``tolerance_amount``; all others
-    count as shipped. A missing project number never passes that NOT IN.
+    count as shipped. The report finds these with NOT IN, which a missing project number
+    passes only when no project was invoiced before; both kinds come from one left join.
     """
     cols = ["first_day", "project_no", "project_name", "form", "short_name"]
-    before = invoiced_before.select(F.col("project_no").alias("__p"), F.col("amount").alias("__invoiced"))
-    both = shipped.join(before, F.col("project_no") == F.col("__p"))
-    both = star_join(both, [Dim(ledger, {"project_no": "project_no"}, {"__ledger": "amount"})])
-    both = both.select(*cols, tolerance_amount("amount", "__invoiced", "__ledger").cast(MONEY_TYPE).alias("amount"))
-    met = shipped.select("project_no").join(invoiced_before.select("project_no"), "project_no", "left_semi")
-    rest = not_in(shipped, "project_no", met, "project_no").select(*cols, "amount")
-    base = both.unionByName(rest)
+    before = invoiced_before.select("project_no", "amount", F.lit(True).alias("met"))
+    base = star_join(
+        shipped,
+        [
+            Dim(before, {"project_no": "project_no"}, {"__invoiced": "amount", "__met": "met"}),
+            Dim(ledger, {"project_no": "project_no"}, {"__ledger": "amount"}),
+        ],
+    )
+    amount = F.when(F.col("__met"), tolerance_amount("amount", "__invoiced", "__ledger")).otherwise(F.col("amount"))
+    met = shipped.select("project_no").join(before.select("project_no"), "project_no", "left_semi").agg(F.count(F.lit(1))).scalar()
+    base = base.where(F.col("project_no").isNotNull() | (met == 0)).select(*cols, amount.cast(MONEY_TYPE).alias("amount"))
 
     hand = ledger.select(F.col("project_no").alias("__h"), F.col("day").alias("__hday"), F.col("amount").alias("__hamount"))
     inv = hand.join(invoiced_since, F.col("__h") == F.col("project_no"), "full").select(
@@ -417,7 +422,7 @@ def receipt_base(t: Mapping[str, DataFrame]) -> DataFrame:
     receipts: bill_id, bill_no, day, amount, customer_id, seller_id; receipt_entries:
     bill_id, project_id, settle_type_id; settle_types: settle_type_id, settle_type.
     """
-    joined = t["receipts"].join(t["receipt_entries"].select("bill_id", "project_id", "settle_type_id"), "bill_id", "left")
+    joined = header_join(t["receipts"], t["receipt_entries"].select("bill_id", "project_id", "settle_type_id"), "bill_id")
     return star_join(
         joined,
         [

@@ -16,6 +16,7 @@ from ledgerloom.operators.joins import Dim, semi_by, star_join
 from ledgerloom.operators.windows import first_per_key
 
 LOT = ["material_no", "lot_no"]
+LOT_ID = ["material_id", "lot_id"]
 ON_LOT = {c: c for c in LOT}
 APPROVED = "C"
 
@@ -74,16 +75,16 @@ def return_pricing(t: Mapping[str, DataFrame], org: str, own_org_name: str, stoc
     )
 
 
-def earliest_event(facts: Mapping[str, DataFrame]) -> DataFrame:
-    """First date per lot over any number of event types (LOT, approved_at).
+def earliest_event(facts: Mapping[str, DataFrame], keys: Sequence[str] = tuple(LOT)) -> DataFrame:
+    """First date per key over any number of event types (keys, approved_at).
 
     The events are stacked and reduced together: one shuffle instead of a join per type.
     """
     stacked = None
     for fact in facts.values():
-        part = fact.select(*LOT, "approved_at")
+        part = fact.select(*keys, "approved_at")
         stacked = part if stacked is None else stacked.unionByName(part)
-    return stacked.groupBy(*LOT).agg(F.min("approved_at").alias("approved_at"))
+    return stacked.groupBy(*keys).agg(F.min("approved_at").alias("approved_at"))
 
 
 def cost_priority(sources: Mapping[str, DataFrame], order: str, ties: Sequence[str]) -> DataFrame:
@@ -109,7 +110,7 @@ def stock_report(t: Mapping[str, DataFrame], stock_name: str, org: str, ties: Se
 
     inventory: inventory_id, stock_id, material_id, lot_id, base_qty; reservations:
     inventory_id, base_qty; conversions: material_id, numerator, denominator; ``event_*``
-    frames: LOT, approved_at, stock_name (approved movements into stock); receipts,
+    frames: material_id, lot_id, stock_id, approved_at (movements into stock); receipts,
     disassemblies, assemblies: LOT, approved_at, org_id, amount, qty (receipts with
     supplier_id); gains: LOT, approved_at, org_id, price; ``ties`` order equal dates.
     Dims: stocks, materials (with name, specification, brand), lots, suppliers, owners
@@ -126,7 +127,9 @@ def stock_report(t: Mapping[str, DataFrame], stock_name: str, org: str, ties: Se
         k: own[k].select(*LOT, "approved_at", *ties, per_unit) for k in ("receipts", "disassemblies", "assemblies")
     }
     sources["gains"] = own["gains"].select(*LOT, "approved_at", *ties, F.col("price").cast("decimal(28,8)").alias("cost"))
-    events = {k: f.where(F.col("stock_name") == stock_name) for k, f in t.items() if k.startswith("event_")}
+    # Reduced by id first; the numbers are looked up once per lot, not once per movement.
+    events = {k: semi_by(f, stocks, {"stock_id": "stock_id"}) for k, f in t.items() if k.startswith("event_")}
+    age = with_lot(earliest_event(events, LOT_ID), t).groupBy(*LOT).agg(F.min("approved_at").alias("approved_at"))
     rows = star_join(
         rows,
         [
@@ -136,7 +139,7 @@ def stock_report(t: Mapping[str, DataFrame], stock_name: str, org: str, ties: Se
             Dim(t["owners"], {"material_no": "material_no"}, {c: c for c in ("assess_type", "buyer_no", "buyer", "dept")}),
             Dim(first, ON_LOT, {"supplier_id": "supplier_id"}),
             Dim(t["suppliers"], {"supplier_id": "supplier_id"}, {"supplier": "supplier_name"}),
-            Dim(earliest_event(events), ON_LOT, {"approved_at": "approved_at"}),
+            Dim(age, ON_LOT, {"approved_at": "approved_at"}),
             Dim(cost_priority(sources, "approved_at", ties), ON_LOT, {"unit_cost": "unit_cost"}),
         ],
     )
@@ -185,11 +188,12 @@ def mto_returns(t: Mapping[str, DataFrame], org: str, stock_names: Sequence[str]
     )
 
 
-def lot_disposition(returned: DataFrame, facts: Mapping[str, DataFrame]) -> DataFrame:
+def lot_disposition(returned: DataFrame, facts: Mapping[str, DataFrame], t: Mapping[str, DataFrame]) -> DataFrame:
     """What became of each returned lot: one column per fact.
 
-    returned: LOT, qty, unit_cost (``mto_returns``); each fact: LOT, qty. All facts are
-    reduced in one shuffle and joined once.
+    returned: LOT, qty, unit_cost (``mto_returns``); each fact: material_id, lot_id, qty.
+    All facts are reduced by id in one shuffle, then named and joined once.
     """
     base = returned.groupBy(*LOT).agg(F.sum("qty").alias("returned_qty"), F.max("unit_cost").alias("unit_cost"))
-    return base.join(tagged_pivot(facts, LOT, "qty"), LOT, "left")
+    moves = with_lot(tagged_pivot(facts, LOT_ID, "qty"), t).groupBy(*LOT).agg(*[F.sum(name).alias(name) for name in facts])
+    return base.join(moves, LOT, "left")
