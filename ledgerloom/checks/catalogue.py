@@ -132,7 +132,7 @@ def ledger_ytd(t: Tables) -> DataFrame:
     return _ledger(t, "200007", whole_year=True)
 
 
-PAY_TIES = ["bill_no", "price_unit", "price", "material_no", "supplier", "price_qty"]
+PAY_TIES = ["bill_no", "price_unit_id", "price", "material_id", "supplier_id", "price_qty"]
 PAY_OUT = [
     "bill_type", "business_type", "day", "supplier", "bill_no", "currency", "total", "settle_org", "purchase_org", "pay_org", "dept", "buyer", "status", "material_no", "material_name", "price_unit",
     "price", "price_qty", "source_type", "lot_no", "is_free", "stock_unit", "stock_qty", "brand", "category", "seller", "seller_dept", "project_name", "row_id",
@@ -147,7 +147,7 @@ PAY_OUT = [
         b.s_name AS buyer, '已审核' AS status, CAST(p_partkey AS VARCHAR) AS material_no, p_name AS material_name, pu.n_name AS price_unit, {{amt}} AS price, CAST(l_quantity AS DECIMAL(18,2)) AS price_qty,
         CASE l_returnflag WHEN 'A' THEN '采购入库单' ELSE '未知源单类型' END AS source_type, lot.s_name AS lot_no, CASE es.u WHEN 1 THEN '是' ELSE '未知' END AS is_free, su.n_name AS stock_unit, es.q AS stock_qty,
         p_brand AS brand, p_type AS category, c_name AS seller, so.n_name AS seller_dept, p_name AS project_name,
-        row_number() OVER (ORDER BY strftime(o_orderdate, '%Y-%m-%d'), CAST(o_orderkey AS VARCHAR), pu.n_name, {{amt}}, CAST(p_partkey AS VARCHAR), s.s_name, l_quantity) AS row_id
+        row_number() OVER (ORDER BY strftime(o_orderdate, '%Y-%m-%d'), CAST(o_orderkey AS VARCHAR), l_linenumber, {{amt}}, l_partkey, l_suppkey, l_quantity) AS row_id
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN es ON e = {ENTRY_SQL} LEFT JOIN part ON l_partkey = p_partkey
         LEFT JOIN supplier s ON l_suppkey = s.s_suppkey LEFT JOIN supplier b ON l_linenumber = b.s_suppkey LEFT JOIN supplier lot ON es.lot = lot.s_suppkey LEFT JOIN nation so ON c_nationkey = so.n_nationkey
         LEFT JOIN nation po ON CAST(substring(o_orderpriority, 1, 1) AS INTEGER) = po.n_nationkey LEFT JOIN region pr ON so.n_regionkey = pr.r_regionkey LEFT JOIN nation pay ON so.n_regionkey = pay.n_nationkey

@@ -39,7 +39,7 @@ def star_join(fact: DataFrame, dims: Sequence[Dim], check_unique: bool = False)
     The key columns of a dim are renamed apart first, so one table can play many roles.
     ``check_unique`` runs one job per dim and refuses a dim that would repeat fact rows.
     """
-    out = fact
+    out, spent = fact, []
     for i, dim in enumerate(dims):
         if check_unique and not repeated_keys(dim.frame, list(dim.on.values())).isEmpty():
             raise ValueError(f"{dim.name}: join key {list(dim.on.values())} is not unique")
@@ -48,9 +48,10 @@ def star_join(fact: DataFrame, dims: Sequence[Dim], check_unique: bool = False)
             *[F.col(right).alias(tmp) for right, tmp in keys.items()],
             *[F.col(src).alias(name) for name, src in dim.take.items()],
         )
-        cond = [out[left] == side[keys[right]] for left, right in dim.on.items()]
-        out = out.join(side, cond, "left").drop(*keys.values())
-    return out
+        cond = [F.col(left) == F.col(keys[right]) for left, right in dim.on.items()]
+        out = out.join(side, cond, "left")
+        spent += keys.values()
+    return out.drop(*spent)
 
 
 def left_join_filtered(left: DataFrame, right: DataFrame, on: Sequence[str], right_pred: Column) -> DataFrame:

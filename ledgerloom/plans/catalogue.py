@@ -111,11 +111,13 @@ def payables_wide(t: Mapping[str, DataFrame], org: str, ties: Sequence[str]) ->
     source_type, discount, net_amount, tax, amount, base_qty, local_tax, local_amount,
     local_net, paid, stock_id, sale_order_no, seller_id, project_id, reference_price,
     transfer_diff, division_id, bin_id; entry_stock: entry_id, is_free, stock_unit_id,
-    stock_qty, stock_base_qty, lot_id; dims by their ids. ``ties`` make the date order
-    total.
+    stock_qty, stock_base_qty, lot_id; dims by their ids. ``ties`` (header or entry
+    columns) make the date order total. Rows are numbered before the lookups, which are
+    by unique ids: the ordered shuffle then moves the lines alone.
     """
     head = t["headers"].where((F.col("status") == "C") & (F.col("settle_org_id") == org))
-    rows = head.join(t["entries"], "bill_id")
+    order = [F.col(c).asc_nulls_first() for c in ("day", *ties)]
+    rows = global_row_id(head.join(t["entries"], "bill_id"), order, "row_id")
     orgs, units = t["orgs"], t["units"]
     material = ("material_no", "specification", "material_name", "description", "brand_id", "category_id")
     rows = star_join(
@@ -143,8 +145,8 @@ def payables_wide(t: Mapping[str, DataFrame], org: str, ties: Sequence[str]) ->
             Dim(t["categories"], {"category_id": "category_id"}, {"category": "category_name"}),
         ],
     )
-    rows = rows.select(
-        "bill_type", decode("business_type", codes.BUSINESS_TYPE, codes.BUSINESS_TYPE_DEFAULT).alias("business_type"), "day", "supplier",
+    return rows.select(
+        "row_id", "bill_type", decode("business_type", codes.BUSINESS_TYPE, codes.BUSINESS_TYPE_DEFAULT).alias("business_type"), "day", "supplier",
         "bill_no", "currency", "total", "due_day", "settle_org", "purchase_org", "dept", "buyer", "buyer_no",
         F.lit(codes.DOCUMENT_STATUS["C"]).alias("status"), "pay_org", "material_no", "specification", "material_name", "price_unit", "price",
         "price_qty", "tax_price", "net_tax_price", "tax_rate", "comment", "discount_rate", "source_no", "order_no",
@@ -153,7 +155,6 @@ def payables_wide(t: Mapping[str, DataFrame], org: str, ties: Sequence[str]) ->
         "stock_unit", "stock_qty", "stock_base_qty", "paid", "description", "brand", "stock", "sale_order_no", "seller", "seller_dept",
         "project_no", "project_name", "reference_price", "transfer_diff", "division", "bin", "ratio", "category",
     )
-    return global_row_id(rows, [F.col(c).asc_nulls_first() for c in ("day", *ties)], "row_id")
 
 
 def unit_mismatch(ours: DataFrame, theirs: DataFrame) -> DataFrame:

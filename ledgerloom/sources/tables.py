@@ -20,8 +20,15 @@ class Catalog(Mapping[str, DataFrame]):
     root: str | None = None
     paths: Mapping[str, str] = field(default_factory=dict)
     tables: Mapping[str, str] = field(default_factory=dict)
+    _opened: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def __getitem__(self, name: str) -> DataFrame:
+        # Opening lists files and reads a footer, so each name is opened once.
+        if name not in self._opened:
+            self._opened[name] = self._open(name)
+        return self._opened[name]
+
+    def _open(self, name: str) -> DataFrame:
         if name in self.paths:
             return self.spark.read.parquet(self.paths[name])
         if name in self.tables:
