@@ -13,6 +13,7 @@ from ledgerloom.functions.scalars import (
 )
 from ledgerloom.functions.text import keyword_levels, keyword_region, mask_digits, protect_columns, unprotect_columns
 from ledgerloom.operators.windows import latest_per_key
+from ledgerloom.plans.catalogue import bill_lines
 from ledgerloom.sources.json import active_items, explode_items, json_field
 
 STATUS = {"F": "finished", "O": "open"}
@@ -75,12 +76,12 @@ def status_decode(t: Tables) -> DataFrame:
 
 @query(
     "point_lookup",
-    "SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {amt} AS amt FROM lineitem WHERE l_orderkey = 7",
+    "SELECT CAST(l_orderkey AS VARCHAR) AS bill_no, l_partkey AS project_id, p_name AS project_no FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE l_orderkey = 7",
 )
 def point_lookup(t: Tables) -> DataFrame:
-    return t["lineitem"].where("l_orderkey = 7").select(
-        "l_orderkey", "l_partkey", "l_suppkey", big("l_linenumber").alias("l_linenumber"), dec("l_extendedprice").alias("amt")
-    )
+    rows = t["lineitem"].select(F.col("l_orderkey").cast("string").alias("bill_no"), F.col("l_partkey").alias("project_id"))
+    projects = t["part"].select(F.col("p_partkey").alias("project_id"), F.col("p_name").alias("project_no"))
+    return bill_lines(rows, projects, "7")
 
 
 def _customers_with_last_purchase(t: Tables) -> DataFrame:

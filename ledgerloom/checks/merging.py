@@ -10,7 +10,7 @@ from ledgerloom.functions.scalars import day_text, month_text
 from ledgerloom.operators.joins import anti_by
 from ledgerloom.operators.lineage import residual_reversed, residual_union, trace_source
 from ledgerloom.operators.merge import upsert
-from ledgerloom.plans.upkeep import keep_other_slices, previous_month
+from ledgerloom.plans.upkeep import keep_other_slices, merged_deltas, parse_specs, previous_month
 
 # The stored table ends in June 2000; the delta re-reports 2000 and adds what came later.
 BASE = "o_orderdate < TIMESTAMP '2000-07-01'"
@@ -29,7 +29,9 @@ def _base_and_delta(t: Tables) -> tuple[DataFrame, DataFrame]:
     f"""SELECT o_orderkey, o_custkey, CASE WHEN {DELTA} THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE {BASE} OR {DELTA}""",
 )
 def upsert_delta(t: Tables) -> DataFrame:
-    return upsert(*_base_and_delta(t), ["o_orderkey"])
+    base, delta = _base_and_delta(t)
+    ((_, merged),) = merged_deltas({"orders": base}, {"orders": delta}, parse_specs("orders--o_orderkey--o_orderstatus"))
+    return merged
 
 
 @query(

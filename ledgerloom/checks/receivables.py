@@ -35,7 +35,7 @@ def roles(t: Tables) -> dict[str, DataFrame]:
     )
     price = dec("l_extendedprice", 12)
     body = t["lineitem"].select(
-        F.col("l_orderkey").alias("bill_id"), F.col("l_suppkey").alias("project_id"), F.col("l_linenumber").alias("seller_id"),
+        F.col("l_orderkey").alias("bill_id"), F.col("l_suppkey").alias("project_id"), F.col("l_suppkey").cast("string").alias("project_text"), F.col("l_linenumber").alias("seller_id"),
         F.when(F.col("l_linenumber") == 1, "").otherwise(F.col("l_orderkey").cast("string")).alias("order_no"),
         dec("l_quantity", 6).alias("qty"), (price * (1 - dec("l_discount", 4))).alias("price"), price.alias("tax_price"),
         price.alias("cost"), "l_returnflag", dec("l_extendedprice").alias("amount"),
@@ -237,21 +237,19 @@ def distinct_pairs(t: Tables) -> DataFrame:
     return r.seller_list(r.receivable_lines(roles(t), RULES))
 
 
+def _daily_sql(source: str) -> str:
+    return f"""(SELECT ticket_seller AS seller, project_no, short_name, org_id, strftime(d, '%Y-%m-%d') AS day, sum(amount) AS v FROM {source} GROUP BY 1, 2, 3, 4, 5)"""
+
+
 @query(
     "receipts_by_day",
     f"""WITH {_lines_sql('rn', flag='N')}, {_lines_sql('rr', flag='R')} SELECT coalesce(a.project_no, b.project_no) AS project_no, coalesce(a.day, b.day) AS day,
-        CAST(coalesce(a.v, 0) - coalesce(b.v, 0) AS {{money}}) AS net FROM
-        (SELECT project_no, strftime(d, '%Y-%m-%d') AS day, sum(amount) AS v FROM rn GROUP BY 1, 2) a
-        FULL JOIN (SELECT project_no, strftime(d, '%Y-%m-%d') AS day, sum(amount) AS v FROM rr GROUP BY 1, 2) b
-        ON a.project_no = b.project_no AND a.day = b.day""",
+        coalesce(a.seller, b.seller) AS seller, coalesce(a.short_name, b.short_name) AS short_name, CAST(coalesce(a.v, 0) - coalesce(b.v, 0) AS {{money}}) AS net
+        FROM {_daily_sql('rn')} a FULL JOIN {_daily_sql('rr')} b ON a.project_no = b.project_no AND a.day = b.day""",
 )
 def receipts_by_day(t: Tables) -> DataFrame:
     p = _board_parts(t, RULES)
-
-    def daily(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("project_no", day_text("created_at").alias("day")).agg(F.sum("amount").alias("amount"))
-
-    return r.net_receipts(daily(p["receipts"]), daily(p["refunds"]), ["project_no", "day"]).withColumn("net", money("net"))
+    return r.receipts_by_day(p["receipts"], p["refunds"]).withColumn("net", money("net"))
 
 
 @query(

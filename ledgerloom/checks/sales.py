@@ -203,8 +203,8 @@ def gross_margin(t: Tables) -> DataFrame:
     frames = {
         "headers": orders.select(
             F.col("o_orderkey").alias("bill_id"), F.date_format("o_orderdate", "yyyy-MM").alias("created_at"), F.col("o_custkey").alias("customer_id"),
-            F.lit(1).alias("org_id"), F.when(F.col("o_orderstatus") == "P", "1").otherwise("2").alias("order_type"), F.lit("C").alias("status"), F.col("o_custkey").alias("__c"),
-        ).drop("__c"),
+            F.substring("o_orderpriority", 1, 1).cast("int").alias("org_id"), F.when(F.col("o_orderstatus") == "P", "1").otherwise("2").alias("order_type"), F.lit("C").alias("status"),
+        ),
         "entries": rows.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(
             F.col("l_orderkey").alias("bill_id"), F.col("l_linenumber").alias("entry_id"), F.col("l_partkey").alias("project_id"), F.col("o_custkey").alias("contact_id"),
             F.col("l_partkey").alias("material_id"), F.when(F.col("l_returnflag") != "R", F.col("qty")).alias("qty"), "ratio", F.col("amt").alias("amount"),

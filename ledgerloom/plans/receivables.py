@@ -3,7 +3,8 @@
 Input frames (extra columns are ignored):
 
 headers       bill_id, org_id, customer_id, status, business_day, created_at, invoiced_on
-entries       bill_id, project_id, seller_id, order_no, qty, price, tax_price, cost
+entries       bill_id, project_id, project_text (number typed on the line), seller_id,
+              order_no, qty, price, tax_price, cost
 customers     customer_id, customer_name
 projects      project_id, project_no, project_name, ratio
 tickets       ticket_no, company, dept, seller_id
@@ -75,7 +76,7 @@ def receivable_lines(t: Mapping[str, DataFrame], rules: Sequence[OrgRule], compa
     )
     head = star_join(head, [Dim(t["customers"], {"customer_id": "customer_id"}, {"customer_name": "customer_name"})])
     body = t["entries"].select(
-        "bill_id", "project_id", F.col("seller_id").alias("entry_seller_id"), nullif_blank("order_no").alias("order_no"),
+        "bill_id", "project_id", "project_text", F.col("seller_id").alias("entry_seller_id"), nullif_blank("order_no").alias("order_no"),
         (F.col("qty") * F.col("price")).alias("net_amount"), (F.col("qty") * F.col("tax_price")).alias("tax_amount"), "cost",
     )
     out = star_join(
@@ -115,9 +116,9 @@ def project_totals(
     )
 
 
-def project_form(mark: str, agent: bool = False) -> Column:
+def project_form(mark: str, agent: bool = False, number: str = "project_no") -> Column:
     """Self-run unless the project number carries the agency mark (or the order flag is set)."""
-    marked = F.contains(F.col("project_no"), F.lit(mark))
+    marked = F.contains(F.col(number), F.lit(mark))
     if agent:
         marked = (F.col("agent_flag") == "1") | marked
     return F.when(marked, codes.AGENT_RUN).otherwise(codes.SELF_RUN)
@@ -138,19 +139,35 @@ def invoiced_totals(lines: DataFrame) -> DataFrame:
     return project_totals(lines, keys, "invoiced_on", F.col("tax_amount"))
 
 
-def net_receipts(receipts: DataFrame, refunds: DataFrame, keys: Sequence[str]) -> DataFrame:
+def net_receipts(receipts: DataFrame, refunds: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
     """Receipts less refunds per key, from whichever side has the key.
 
-    Both inputs (keys, amount) are already one row per key.
+    Both inputs (keys, carry, amount) are already reduced; ``carry`` columns come from the
+    receipt, else from the refund.
     """
-    back = refunds.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("amount").alias("__back"))
-    joined = receipts.join(back, [receipts[k] == back[f"__{k}"] for k in keys], "full")
+    cols = [*keys, *carry]
+    back = refunds.select(*[F.col(k).alias(f"__{k}") for k in cols], F.col("amount").alias("__back"))
+    joined = receipts.join(back, [F.col(k) == F.col(f"__{k}") for k in keys], "full")
     return joined.select(
-        *[F.coalesce(k, f"__{k}").alias(k) for k in keys],
+        *[F.coalesce(k, f"__{k}").alias(k) for k in cols],
         (F.coalesce("amount", F.lit(0)) - F.coalesce("__back", F.lit(0))).alias("net"),
     )
 
 
+def receipts_by_day(receipts: DataFrame, refunds: DataFrame) -> DataFrame:
+    """Net receipts per project and day, with seller and short name (``settlement_lines``).
+
+    The organisations' settlements stay separate rows until they meet on project and day.
+    """
+    carry = ["seller", "short_name"]
+
+    def daily(rows: DataFrame) -> DataFrame:
+        keys = [F.col("ticket_seller").alias("seller"), "project_no", "project_name", "short_name", "org_id", day_text("created_at").alias("day")]
+        return rows.groupBy(*keys).agg(F.sum("amount").alias("amount"))
+
+    return net_receipts(daily(receipts), daily(refunds), ["project_no", "day"], carry)
+
+
 def per_project(lines: DataFrame, merge_scopes: bool = True, sign: int = 1) -> DataFrame:
     """Settled amount per project.
 
@@ -201,10 +218,10 @@ def receivable_board(
     year_end = F.concat_ws("-", (year + 1).cast("string"), F.lit("01-01")).cast("timestamp")
     this_year = (created >= year_start) & (created < year_end)
 
-    def grouped(rows: DataFrame, day: str) -> DataFrame:
+    def grouped(rows: DataFrame, day: str, number: str) -> DataFrame:
         keys = [
             F.col("entry_seller").alias("seller"), "project_no", "project_name",
-            project_form(mark, agent=True).alias("form"), first_name("short_name", codes.OTHER).alias("short_name"),
+            project_form(mark, agent=True, number=number).alias("form"), first_name("short_name", codes.OTHER).alias("short_name"),
         ]
         return project_totals(rows, keys, day, F.col("tax_amount"))
 
@@ -217,7 +234,7 @@ def receivable_board(
         "refunded_year": per_project(refunds.where(this_year), merge_scopes),
     }
 
-    old = grouped(lines.where(~since), "created_at")
+    old = grouped(lines.where(~since), "created_at", "project_no")
     opening = ledger.select(*[F.col(c).alias(f"l_{c}") for c in ("project_no", "seller", "project_name", "short_name", "day", "amount")])
     met = old.join(opening, F.col("project_no") == F.col("l_project_no"), "full")
     met = _attach(_attach(met, "l_project_no", settled), "project_no", in_year)
@@ -234,7 +251,7 @@ def receivable_board(
         F.col("l_day").alias("__aged_from"),
         "paid_year", "refunded_year",
     )
-    new = _attach(grouped(lines.where(since), "invoiced_on"), "project_no", {**settled, **in_year})
+    new = _attach(grouped(lines.where(since), "invoiced_on", "project_text"), "project_no", {**settled, **in_year})
     new = new.select(
         "seller", F.col("first_day").alias("day"), "project_no", "project_name", "form", "short_name",
         F.col("amount").alias("sale_amount"), "paid", "refunded", _zero("amount").alias("__due"),

@@ -13,9 +13,15 @@ BATCH_ROWS = 10_000
 SINGLE_FILE_ROWS = 1_000_000
 
 
-def write_table(df: DataFrame, target: str, columns: Sequence[str] | None = None, as_path: bool = True) -> None:
-    """Replace a parquet folder or metastore table, columns picked by name."""
-    out = (df.select(*columns) if columns else df).write.mode("overwrite")
+def write_table(
+    df: DataFrame, target: str, columns: Sequence[str] | None = None, as_path: bool = True, files: int | None = None
+) -> None:
+    """Replace a parquet folder or metastore table, columns picked by name.
+
+    The number of files follows the data unless ``files`` asks for a redistribution.
+    """
+    df = df.select(*columns) if columns else df
+    out = (df.repartition(files) if files else df).write.mode("overwrite")
     # A full replacement also drops the partitions the new rows do not have.
     out = out.option("partitionOverwriteMode", "static")
     out.parquet(target) if as_path else out.saveAsTable(target)
