@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
@@ -66,6 +66,13 @@ def observed_count(df: DataFrame, name: str = "written") -> tuple[DataFrame, Obs
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Run one of the writers above and return how many rows went through it."""
+    counted, seen = observed_count(df)
+    write(counted)
+    return seen.get["rows"]
+
+
 def jdbc_write_options(
     target: JdbcTarget, table: str, column_types: Mapping[str, str] | None = None, max_connections: int = 16
 ) -> dict[str, str]:

@@ -89,6 +89,13 @@ def test_observed_count_needs_no_second_run(spark, orders, tmp_path):
     assert seen.get["rows"] == 2
 
 
+@pytest.mark.parametrize("cond, n", [("id > 0", 3), ("id > 9", 0)])
+def test_write_counted(spark, orders, tmp_path, cond, n):
+    path = str(tmp_path / "t")
+    assert sinks.write_counted(orders.where(cond), lambda df: sinks.write_table(df, path, files=2)) == n
+    assert spark.read.parquet(path).count() == n
+
+
 def test_jdbc_options():
     target = tables.JdbcTarget("jdbc:mysql://host/db", "user", "secret")
     assert "secret" not in repr(target)
