@@ -9,7 +9,7 @@ from ledgerloom.checks.registry import Tables, query
 from ledgerloom.checks.roles import big, dec, lines, money, net_amount, rounded
 from ledgerloom.functions import codes
 from ledgerloom.functions.scalars import month_text, safe_div
-from ledgerloom.operators.aggregates import collect_names, preagg_join, ratio_sum, tagged_pivot
+from ledgerloom.operators.aggregates import collect_names, money_sum, preagg_join, ratio_sum, tagged_pivot
 from ledgerloom.operators.joins import Dim, header_join, star_join
 from ledgerloom.plans.receivables import in_scope, project_totals
 
@@ -33,7 +33,7 @@ def project_receivable(t: Tables) -> DataFrame:
     header = header.where(in_scope(SCOPE, "o_orderstatus", "customer", "project"))
     body = lines(t).select("l_orderkey", net_amount().alias("net"))
     joined = header_join(header, body.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
-    return project_totals(joined, ["project", "customer"], "o_orderdate", F.col("net"))
+    return project_totals(joined, ["project", "customer"], "o_orderdate", money_sum("net"))
 
 
 @query(

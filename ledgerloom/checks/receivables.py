@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom.checks.registry import Tables, query
 from ledgerloom.checks.roles import big, dec, lines, money, purchases
 from ledgerloom.functions.scalars import day_text
+from ledgerloom.operators.aggregates import money_sum
 from ledgerloom.operators.merge import change_flag
 from ledgerloom.plans import receivables as r
 
@@ -208,8 +209,8 @@ def receivable_board_v2(t: Tables) -> DataFrame:
     f, p = roles(t), _board_parts(t, RULES)
     since = F.col("created_at") >= CUTOFF
     no = ["project_no"]
-    before = r.project_totals(p["lines"].where(F.col("invoiced_on") < "1995-01-08"), no, "invoiced_on", F.col("tax_amount"))
-    later = r.project_totals(p["lines"].where(F.col("invoiced_on") >= CUTOFF), no, "invoiced_on", F.col("tax_amount"))
+    before = r.project_totals(p["lines"].where(F.col("invoiced_on") < "1995-01-08"), no, "invoiced_on", money_sum("tax_amount"))
+    later = r.project_totals(p["lines"].where(F.col("invoiced_on") >= CUTOFF), no, "invoiced_on", money_sum("tax_amount"))
     ledger = r.opening_invoices(p["hand"].withColumn("day", F.date_format("l_shipdate", "yyyy/M/d")))
     sellers = f["tickets"].join(f["sellers"], "seller_id", "left").select(
         F.col("ticket_no").alias("project_no"), F.col("seller_name").alias("seller")

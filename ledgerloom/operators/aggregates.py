@@ -14,6 +14,10 @@ def ratio_sum(amount: ColumnLike, ratio: ColumnLike) -> Column:
     return F.sum(ratio_amount(amount, ratio)).cast(MONEY_TYPE)
 
 
+def money_sum(amount: ColumnLike) -> Column:
+    return F.sum(as_col(amount)).cast(MONEY_TYPE)
+
+
 def collect_names(df: DataFrame, keys: Sequence[str], col: str, out: str, sep: str = "/") -> DataFrame:
     """Sorted, separated list of the distinct names per key; NULLs are skipped.
 

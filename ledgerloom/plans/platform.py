@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.scalars import MONEY_TYPE, clean_list, nullif_blank, ratio_amount, ratio_value
 from ledgerloom.functions.text import keyword_region
+from ledgerloom.operators.aggregates import money_sum
 from ledgerloom.operators.joins import Dim, anti_by, full_join_split, semi_by, star_join
 
 Levels = Sequence[Sequence[tuple[str, str]]]
@@ -64,7 +65,7 @@ def project_orders(t: Mapping[str, DataFrame], project_names: Sequence[str], sep
     listed = tickets.join(totals, "bill_id").withColumn("__order", F.explode(clean_list("customer_orders", sep)))
     listed = star_join(listed, [Dim(t["sellers"], {"seller_id": "seller_id"}, {"seller": "seller_name"})])
     grouped = listed.groupBy("project_no", "seller", "__order", "created_at").agg(
-        F.sum("tax_amount").cast(MONEY_TYPE).alias("tax_amount"), F.sum("amount").cast(MONEY_TYPE).alias("amount")
+        money_sum("tax_amount").alias("tax_amount"), money_sum("amount").alias("amount")
     )
     mapped = star_join(grouped, [Dim(t["mappings"], {"project_no": "project_no"}, {"__mapped": "customer_order"})])
     return mapped.select(
@@ -90,15 +91,15 @@ def project_settlements(t: Mapping[str, DataFrame], small_orgs: Sequence[str], b
     small, big = F.col("org_name").isin(*small_orgs), F.col("org_name") == big_org
     net, gross = F.col("qty") * F.col("price"), F.col("qty") * F.col("tax_price")
     billed = lines.groupBy("project_no").agg(
-        F.sum(F.when(small, ratio_amount(gross, "ratio"))).cast(MONEY_TYPE).alias("small_tax_amount"),
-        F.sum(F.when(small, ratio_amount(net, "ratio"))).cast(MONEY_TYPE).alias("small_amount"),
-        F.sum(F.when(small, F.col("cost"))).cast(MONEY_TYPE).alias("small_cost"),
-        F.sum(F.when(big, gross)).cast(MONEY_TYPE).alias("big_tax_amount"),
+        money_sum(F.when(small, ratio_amount(gross, "ratio"))).alias("small_tax_amount"),
+        money_sum(F.when(small, ratio_amount(net, "ratio"))).alias("small_amount"),
+        money_sum(F.when(small, F.col("cost"))).alias("small_cost"),
+        money_sum(F.when(big, gross)).alias("big_tax_amount"),
         F.sum(F.when(big, gross)).cast("decimal(38,6)").cast("bigint").alias("big_units"),
     )
     out = billed
     for bills, rows, name in (("receipts", "receipt_entries", "paid"), ("refunds", "refund_entries", "refunded")):
-        side = _org_lines(t, bills, rows, [big_org]).groupBy("project_no").agg(F.sum("amount").cast(MONEY_TYPE).alias(name))
+        side = _org_lines(t, bills, rows, [big_org]).groupBy("project_no").agg(money_sum("amount").alias(name))
         out = out.join(side, "project_no", "full")
     return out
 

@@ -26,7 +26,7 @@ from ledgerloom.functions.scalars import (
     MONEY_TYPE, ColumnLike, after_first, aging_days, as_col, day_text, first_name, is_blank, nullif_blank, parse_date,
 )
 from ledgerloom.functions.text import keyword_region
-from ledgerloom.operators.aggregates import ratio_sum
+from ledgerloom.operators.aggregates import money_sum, ratio_sum
 from ledgerloom.operators.joins import Dim, header_join, star_join
 from ledgerloom.plans.upkeep import previous_month
 
@@ -106,14 +106,9 @@ def settlement_lines(
     return out if company is None else out.where(F.col("company") == company)
 
 
-def project_totals(
-    lines: DataFrame, keys: Sequence[ColumnLike], day: ColumnLike, amount: Column, total: Column | None = None
-) -> DataFrame:
-    """First day and money total per key."""
-    return lines.groupBy(*keys).agg(
-        day_text(F.min(as_col(day))).alias("first_day"),
-        (total if total is not None else F.sum(amount).cast(MONEY_TYPE)).alias("amount"),
-    )
+def project_totals(lines: DataFrame, keys: Sequence[ColumnLike], day: ColumnLike, total: Column) -> DataFrame:
+    """First day and a total (``money_sum`` or ``ratio_sum``) per key."""
+    return lines.groupBy(*keys).agg(day_text(F.min(as_col(day))).alias("first_day"), total.alias("amount"))
 
 
 def project_form(mark: str, agent: bool = False, number: str = "project_no") -> Column:
@@ -130,13 +125,13 @@ def shipped_totals(lines: DataFrame, mark: str) -> DataFrame:
         F.col("ticket_seller").alias("seller"), "project_no", "project_name",
         project_form(mark).alias("form"), first_name("short_name", codes.OTHER).alias("short_name"),
     ]
-    return project_totals(lines, keys, "business_day", F.lit(None), ratio_sum("tax_amount", "ratio"))
+    return project_totals(lines, keys, "business_day", ratio_sum("tax_amount", "ratio"))
 
 
 def invoiced_totals(lines: DataFrame) -> DataFrame:
     """All invoiced amounts per project and ticket seller."""
     keys = [F.col("ticket_seller").alias("seller"), "project_no", "project_name", first_name("short_name", codes.OTHER).alias("short_name")]
-    return project_totals(lines, keys, "invoiced_on", F.col("tax_amount"))
+    return project_totals(lines, keys, "invoiced_on", money_sum("tax_amount"))
 
 
 def net_receipts(receipts: DataFrame, refunds: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
@@ -183,7 +178,7 @@ def hand_ledger(ledger: DataFrame) -> DataFrame:
     return (
         ledger.where(~is_blank("org_level"))
         .groupBy("project_no", "seller", "project_name", after_first("short_name", "-").alias("short_name"))
-        .agg(F.min("day").alias("day"), F.sum("amount").cast(MONEY_TYPE).alias("amount"))
+        .agg(F.min("day").alias("day"), money_sum("amount").alias("amount"))
     )
 
 
@@ -223,7 +218,7 @@ def receivable_board(
             F.col("entry_seller").alias("seller"), "project_no", "project_name",
             project_form(mark, agent=True, number=number).alias("form"), first_name("short_name", codes.OTHER).alias("short_name"),
         ]
-        return project_totals(rows, keys, day, F.col("tax_amount"))
+        return project_totals(rows, keys, day, money_sum("tax_amount"))
 
     settled = {
         "paid": per_project(receipts.where(since), merge_scopes),
@@ -349,7 +344,7 @@ def receivable_board_v2(
 def opening_invoices(ledger: DataFrame, pattern: str = "yyyy/M/d") -> DataFrame:
     """Hand ledger per project: latest day (typed by hand as ``pattern``) and total."""
     return ledger.groupBy("project_no").agg(
-        day_text(F.max(parse_date("day", pattern))).alias("day"), F.sum("amount").cast(MONEY_TYPE).alias("amount")
+        day_text(F.max(parse_date("day", pattern))).alias("day"), money_sum("amount").alias("amount")
     )
 
 
@@ -380,7 +375,7 @@ def sales_board(
     grouped = lines.groupBy(*keys).agg(
         ratio_sum("net_amount", "ratio").alias("amount"),
         ratio_sum("tax_amount", "ratio").alias("tax_amount"),
-        F.sum("cost").cast(MONEY_TYPE).alias("cost"),
+        money_sum("cost").alias("cost"),
     )
     # A missing address is searched as a text that names no place.
     grouped = grouped.withColumn("region", keyword_region(F.coalesce("address", F.lit("a")), region_levels))
@@ -388,7 +383,7 @@ def sales_board(
     cols = ["seller", "company", "dept", "day", "region", "form", "online", "short_name", "company_short", "project_no"]
     if by_address:
         return named.select(*cols, "amount", "tax_amount", "cost")
-    return named.groupBy(*cols).agg(*[F.sum(c).cast(MONEY_TYPE).alias(c) for c in ("amount", "tax_amount", "cost")])
+    return named.groupBy(*cols).agg(*[money_sum(c).alias(c) for c in ("amount", "tax_amount", "cost")])
 
 
 def seller_list(lines: DataFrame) -> DataFrame:

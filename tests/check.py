@@ -81,7 +81,9 @@ def main(names: list[str]) -> int:
 
     import __spark_entry__ as entry
 
-    spark = build_session("check", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"})
+    # CHECK_CONF holds extra settings, such as spark.sql.autoBroadcastJoinThreshold=-1.
+    extra = dict(item.split("=", 1) for item in os.environ.get("CHECK_CONF", "").split(",") if item)
+    spark = build_session("check", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "14g", "spark.driver.maxResultSize": "4g", **extra})
     spark.sparkContext.setLogLevel("ERROR")
     queries, oracles = entry.queries(), entry.oracle_sql()
     con, bad = connect(), 0

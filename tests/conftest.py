@@ -10,10 +10,14 @@ from ledgerloom.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session(
-        "tests", "local[*]", {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.sql.ansi.enabled": "true"}
-    )
+def spark(tmp_path_factory):
+    settings = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "8g",
+        "spark.sql.ansi.enabled": "true",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+    }
+    session = build_session("tests", "local[*]", settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
