@@ -194,7 +194,8 @@ def receivable_board_asis(t: Tables) -> DataFrame:
                 WHEN s.amount - b.amount < -1 AND coalesce(l.amount, 0) > 0 THEN s.amount
                 WHEN s.amount - b.amount > 1 THEN s.amount - b.amount + coalesce(l.amount, 0) END AS {{money}}) AS amount
             FROM shipped s JOIN before b ON s.project_no = b.project_no LEFT JOIN led l ON s.project_no = l.project_no
-            UNION ALL SELECT first_day, project_no, seller, form, short_name, amount FROM shipped WHERE project_no NOT IN (SELECT project_no FROM before)),
+            UNION ALL SELECT first_day, project_no, seller, form, short_name, amount FROM shipped
+                WHERE project_no NOT IN (SELECT s.project_no FROM shipped s JOIN before b ON s.project_no = b.project_no)),
         inv AS (SELECT coalesce(h.project_no, s.project_no, '') AS project_no, coalesce(h.amount, 0) + coalesce(s.amount, 0) AS amount, coalesce(h.day, s.day, '') AS day
             FROM led h FULL JOIN since s ON h.project_no = s.project_no)
         SELECT b.seller, b.first_day AS day, b.project_no, b.project_no AS project_name, form, short_name, b.amount, paid.v AS paid, ref.v AS refunded,
