@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerloom.checks.registry import AS_OF, Tables, query
-from ledgerloom.checks.roles import big, dec, money, purchases, rounded
+from ledgerloom.checks.roles import big, dec, purchases, rounded
 from ledgerloom.functions import codes
 from ledgerloom.functions.scalars import (
     after_first, aging_days, clean_list, day_text, decode, elapsed_days, first_name, is_blank,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.checks.registry import Tables, query
 from ledgerloom.checks.receivables import ratio_sql
-from ledgerloom.checks.roles import LINE_TIES, big, dec, event_day, lines, money, purchases, rounded
+from ledgerloom.checks.roles import big, dec, lines, money, purchases, rounded
 from ledgerloom.checks.sales import ENTRY_SQL, entry_id
 from ledgerloom.functions.scalars import day_text
 from ledgerloom.plans import catalogue as c, platform as pf

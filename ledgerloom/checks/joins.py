@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.checks.basics import LAST_PURCHASE
 from ledgerloom.checks.registry import Tables, query
-from ledgerloom.checks.roles import big, dec, event_day, lines, money, net_amount, purchases, rounded
+from ledgerloom.checks.roles import big, dec, event_day, lines, money, purchases, rounded
 from ledgerloom.functions.scalars import nullif_blank, safe_div
 from ledgerloom.operators.joins import (
     Dim, anti_by, full_join_split, left_join_filtered, membership_join, not_in, semi_by, star_join,
 )
 from ledgerloom.operators.merge import multi_fact_merge, outer_chain
 from ledgerloom.operators.windows import latest_per_key
-from ledgerloom.plans.receivables import OrgRule, in_scope
+from ledgerloom.plans.receivables import OrgRule, in_scope, net_receipts
 
 LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_returnflag"]
 SCOPE = [
@@ -233,8 +233,6 @@ def multi_fact_merge_query(t: Tables) -> DataFrame:
         FROM {daily_sql('purchase')} a FULL JOIN {daily_sql('error')} b ON a.user_id = b.user_id AND a.day = b.day""",
 )
 def full_outer_net(t: Tables) -> DataFrame:
-    from ledgerloom.plans.receivables import net_receipts
-
     return net_receipts(daily(t, "purchase", "amount"), daily(t, "error", "amount"), ["user_id", "day"]).select(
         "user_id", "day", money("net").alias("net")
     )

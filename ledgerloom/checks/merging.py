@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.checks.registry import Tables, query
-from ledgerloom.checks.roles import big, dec, lines, money
+from ledgerloom.checks.roles import dec, lines, money
 from ledgerloom.functions.scalars import day_text, month_text
-from ledgerloom.operators.joins import anti_by
 from ledgerloom.operators.lineage import residual_reversed, residual_union, trace_source
 from ledgerloom.operators.merge import upsert
 from ledgerloom.plans.upkeep import keep_other_slices, merged_deltas, parse_specs, previous_month

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.checks.registry import Tables, query
-from ledgerloom.checks.roles import LINE_TIES, big, dec, lines, money, rounded
+from ledgerloom.checks.roles import dec, lines, money, rounded
 from ledgerloom.functions.scalars import day_text, month_text
 from ledgerloom.plans import procurement as p
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.checks.registry import Tables, query
-from ledgerloom.checks.roles import big, dec, lines, money, rounded
+from ledgerloom.checks.roles import lines, money, rounded
 from ledgerloom.functions.scalars import day_text
 from ledgerloom.plans import stock as s
 

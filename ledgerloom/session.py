@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -29,6 +30,11 @@ def build_session(app: str, master: str | None = None, extra: dict | None = None
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="ledgerloom-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors see: ``spark.checkpoint.dir``.
 
@@ -40,9 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="ledgerloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def written_table(df: DataFrame, label: str) -> DataFrame:

@@ -27,16 +27,6 @@ def write_table(
     out.parquet(target) if as_path else out.saveAsTable(target)
 
 
-def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
-    """Replace a metastore table, bucketed and sorted by ``keys``.
-
-    Headers and entries bucketed alike by their document join without a shuffle.
-    """
-    first, *rest = keys
-    spread = df.repartition(buckets, *keys)
-    spread.write.mode("overwrite").bucketBy(buckets, first, *rest).sortBy(first, *rest).saveAsTable(table)
-
-
 def staged_overwrite(df: DataFrame, path: str) -> None:
     """Replace ``path`` with rows that may have been read from ``path`` itself.
 

@@ -1,6 +1,7 @@
 """Sources and sinks."""
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -156,21 +157,14 @@ def test_slices(spark, orders):
     assert sorted(r["id"] for r in kept.collect()) == [1, 9]
 
 
-class FakeContext:
-    master = "spark://host:7077"
+def session_with(master, folder=None):
+    get = lambda key, default=None: folder or default
+    return SimpleNamespace(sparkContext=SimpleNamespace(master=master), conf=SimpleNamespace(get=get))
 
 
-class FakeSession:
-    """A cluster session without the shared folder setting."""
-
-    sparkContext = FakeContext()
-
-    class conf:
-        @staticmethod
-        def get(key, default=None):
-            return default
-
-
-def test_no_local_folder_on_a_cluster():
+def test_shared_folder():
+    assert session.shared_folder(session_with("spark://host:7077", "hdfs:///scratch/")) == "hdfs:///scratch"
     with pytest.raises(ValueError):
-        session.shared_folder(FakeSession())
+        session.shared_folder(session_with("spark://host:7077"))
+    local = session.shared_folder(session_with("local[2]"))
+    assert local == session.shared_folder(session_with("local[2]"))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from ledgerloom.operators import joins as j
 from ledgerloom.operators import windows as w
-from ledgerloom.sources.sinks import write_bucketed
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
@@ -57,20 +56,6 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [" in plan and "EqualTo(c_mktsegment,MACHINERY)" in plan
 
 
-def test_bucketed_documents_join_without_a_shuffle(shuffled):
-    head = shuffled.range(100).select(F.col("id").alias("bill_id"), F.lit("h").alias("h"))
-    body = shuffled.range(400).select((F.col("id") % 120).alias("bill_id"), F.col("id").alias("v"))
-    try:
-        write_bucketed(head, "bucketed_head", ["bill_id"], 4)
-        write_bucketed(body, "bucketed_body", ["bill_id"], 4)
-        out = j.header_join(shuffled.table("bucketed_head"), shuffled.table("bucketed_body"), "bill_id")
-        assert "Exchange" not in plan_of(out)
-        assert out.count() == head.join(body, "bill_id", "left").count()
-    finally:
-        for name in ("bucketed_head", "bucketed_body"):
-            shuffled.sql(f"DROP TABLE IF EXISTS {name}")
-
-
 @pytest.fixture
 def small_skew(shuffled):
     """Thresholds low enough for test data to count as skewed."""
