@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from ledgerloom.llm.decontaminate import op5_decontaminate
 from ledgerloom.llm.language import op7_language
+from ledgerloom.llm.licenses import op3_licenses
 from ledgerloom.llm.packing import op4_packing
 from ledgerloom.llm.secrets import op2_secrets
 from ledgerloom.llm.simhash import op1_simhash
+from ledgerloom.llm.topk import OP8_SQL, op8_topk
+from ledgerloom.llm.toxicity import op9_toxicity
+from ledgerloom.llm.urls import OP6_SQL, op6_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_secrets, op4_packing, op5_decontaminate, op7_language)}
-ORACLES: dict[str, str] = {}
+_OPERATORS = (op1_simhash, op2_secrets, op3_licenses, op4_packing, op5_decontaminate, op6_url_filter, op7_language, op8_topk, op9_toxicity)
+QUERIES = {f.__name__: f for f in _OPERATORS}
+ORACLES = {"op6_url_filter": OP6_SQL, "op8_topk": OP8_SQL}
