@@ -19,25 +19,42 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import language
 from ledgerloom.llm.common import table
 
-BUCKETS = 1 << 15
+BUCKETS = 1 << 17
+#: Words of fewer sampled texts share the padding row, so that none is learned by heart.
+LEAST_TEXTS = 4
 WIDTHS = (1, 2, 3)
 DIM, FILTERS, EPOCHS = 16, 16, 8
+#: Letters of the word start that has an embedding of its own.
+PREFIX = 5
 #: Labelled rows the classifier is fitted on, at most; the smallest hashes are taken.
 SAMPLE_ROWS = 6000
 _BLOCK = 1 << 14
 _WORD = re.compile(r"[^\W_]+")
 
 
+def _bucket(part: str) -> int:
+    return zlib.crc32(part.encode("utf-8", "replace")) % (BUCKETS - 1) + 1
+
+
 def hashed(text: str | None) -> np.ndarray:
-    """Buckets of the text's words (lower case), padded to the widest filter; 0 is padding."""
-    found = [zlib.crc32(w.encode("utf-8", "replace")) % (BUCKETS - 1) + 1 for w in _WORD.findall((text or "").lower())]
-    return np.array(found + [0] * max(0, max(WIDTHS) - len(found)), np.int32)
+    """Buckets of each word (lower case) and of its first letters, one row per word, padded
+    to the widest filter; 0 is padding."""
+    cache: dict[str, tuple[int, int]] = {}
+    found = []
+    for w in _WORD.findall((text or "").lower()):
+        row = cache.get(w)
+        if row is None:
+            row = cache[w] = (_bucket(w), _bucket("^" + w[:PREFIX]) if len(w) > PREFIX else 0)
+        found.append(row)
+    return np.array(found + [(0, 0)] * max(0, max(WIDTHS) - len(found)), np.int32)
 
 
 class Model:
     def __init__(self, seed: int = 7):
         rng = np.random.default_rng(seed)
+        self.row = np.arange(BUCKETS, dtype=np.int32)
         self.emb = rng.normal(0, 0.3, (BUCKETS, DIM))
+        self.emb[0] = 0
         self.filters = [rng.normal(0, 1 / np.sqrt(w * DIM), (w * DIM, FILTERS)) for w in WIDTHS]
         self.bias = [np.zeros(FILTERS) for _ in WIDTHS]
         self.out, self.shift = rng.normal(0, 0.3, len(WIDTHS) * FILTERS), 0.0
@@ -49,7 +66,7 @@ class Model:
         for w, f, b in zip(WIDTHS, self.filters, self.bias):
             top, place = np.full(FILTERS, -np.inf), np.zeros(FILTERS, np.int64)
             for at in range(0, len(ids) - w + 1, _BLOCK):
-                x = self.emb[ids[at : at + _BLOCK + w - 1]]
+                x = self.emb[ids[at : at + _BLOCK + w - 1]].sum(1)
                 n = len(x) - w + 1
                 z = sum(x[i : i + n] @ f[i * DIM : (i + 1) * DIM] for i in range(w)) + b
                 arg = z.argmax(0)
@@ -61,11 +78,16 @@ class Model:
         return np.concatenate(tops), places
 
     def logit(self, ids: np.ndarray) -> float:
-        return float(np.maximum(self.pooled(ids)[0], 0) @ self.out + self.shift)
+        return float(np.maximum(self.pooled(self.row[ids])[0], 0) @ self.out + self.shift)
 
     def fit(self, texts: list[np.ndarray], labels: np.ndarray, rate: float = 0.05, seed: int = 7) -> None:
         """Adagrad, one text at a time, classes weighted alike."""
         rng = np.random.default_rng(seed)
+        seen = np.zeros(BUCKETS, np.int64)
+        for ids in texts:
+            seen[np.unique(ids)] += 1
+        self.row = np.where(seen >= LEAST_TEXTS, np.arange(BUCKETS), 0).astype(np.int32)
+        texts = [self.row[ids] for ids in texts]
         positive = max(1, int(labels.sum()))
         weight = {1: len(labels) / (2 * positive), 0: len(labels) / (2 * max(1, len(labels) - positive))}
         g_emb = np.full(BUCKETS, 1e-2)
@@ -83,8 +105,8 @@ class Model:
                 for j, w in enumerate(WIDTHS):
                     g = back[j * FILTERS : (j + 1) * FILTERS]
                     rows = ids[places[j][:, None] + np.arange(w)]
-                    x = self.emb[rows].reshape(FILTERS, w * DIM)
-                    d_f, d_x = x.T * g, (self.filters[j].T * g[:, None]).reshape(-1, DIM)
+                    x = self.emb[rows].sum(2).reshape(FILTERS, w * DIM)
+                    d_f, d_x = x.T * g, np.repeat((self.filters[j].T * g[:, None]).reshape(-1, DIM), 2, axis=0)
                     g_f[j] += d_f**2
                     g_b[j] += g**2
                     self.filters[j] -= rate * d_f / np.sqrt(g_f[j])
@@ -127,7 +149,7 @@ def train(labelled: DataFrame, langs: list[str], log_p: np.ndarray, sample_rows:
             )
 
     got = sample.select("text", "toxic").mapInPandas(encode, "ids binary, lang string, toxic int").toPandas()
-    texts = [np.frombuffer(b, np.int32) for b in got["ids"]]
+    texts = [np.frombuffer(b, np.int32).reshape(-1, 2) for b in got["ids"]]
     labels, lang = got["toxic"].to_numpy(np.int64), got["lang"].to_numpy()
     checked = np.arange(len(texts)) % 5 == 0
     model = Model()
