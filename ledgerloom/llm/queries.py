@@ -11,7 +11,8 @@ from ledgerloom.llm.simhash import op1_simhash
 from ledgerloom.llm.topk import OP8_SQL, op8_topk
 from ledgerloom.llm.toxicity import op9_toxicity
 from ledgerloom.llm.urls import OP6_SQL, op6_url_filter
+from ledgerloom.llm.wrappers import op10_main_text
 
-_OPERATORS = (op1_simhash, op2_secrets, op3_licenses, op4_packing, op5_decontaminate, op6_url_filter, op7_language, op8_topk, op9_toxicity)
+_OPERATORS = (op1_simhash, op2_secrets, op3_licenses, op4_packing, op5_decontaminate, op6_url_filter, op7_language, op8_topk, op9_toxicity, op10_main_text)
 QUERIES = {f.__name__: f for f in _OPERATORS}
 ORACLES = {"op6_url_filter": OP6_SQL, "op8_topk": OP8_SQL}
