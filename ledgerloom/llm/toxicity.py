@@ -87,7 +87,9 @@ class Model:
         for ids in texts:
             seen[np.unique(ids)] += 1
         self.row = np.where(seen >= LEAST_TEXTS, np.arange(BUCKETS), 0).astype(np.int32)
-        texts = [self.row[ids] for ids in texts]
+        blank = max(1, len(texts) // 50)  # texts without a known word are clean
+        texts = [self.row[ids] for ids in texts] + [hashed("")] * blank
+        labels = np.concatenate([labels, np.zeros(blank, np.int64)])
         positive = max(1, int(labels.sum()))
         weight = {1: len(labels) / (2 * positive), 0: len(labels) / (2 * max(1, len(labels) - positive))}
         g_emb = np.full(BUCKETS, 1e-2)
@@ -114,6 +116,7 @@ class Model:
                     flat = rows.reshape(-1)
                     np.add.at(g_emb, flat, (d_x**2).mean(1))
                     np.add.at(self.emb, flat, -rate * d_x / np.sqrt(g_emb[flat])[:, None])
+                    self.emb[0] = 0
                 d_out = error * h
                 g_out += d_out**2
                 g_shift += error**2

@@ -250,16 +250,11 @@ def main_text(pages: DataFrame) -> DataFrame:
                     items = json.loads(wrapper)
                     read[wrapper] = [x["path"] for x in items], main_items(items)
                 names, main = read[wrapper]
-                keep = [False] * len(paths)
+                # A block the alignment passes over is judged by its own path.
+                own = any(_is_main(p) for p in names)
+                keep = [_is_main(p) if own else True for p in paths]
                 for a, c, n in SequenceMatcher(None, names, list(paths), autojunk=False).get_matching_blocks():
-                    for i in range(n):
-                        keep[c + i] = main[a + i]
-                # A block the alignment passed over is judged by its own path.
-                matched = {c + i for a, c, n in SequenceMatcher(None, names, list(paths), autojunk=False).get_matching_blocks() for i in range(n)}
-                own = any(main) and any(m and _is_main(p) for m, p in zip(main, names))
-                for g, p in enumerate(paths):
-                    if g not in matched:
-                        keep[g] = _is_main(p) if own else True
+                    keep[c : c + n] = main[a : a + n]
                 out.append(" ".join(t for g, t in zip(at, texts) if keep[g]))
             yield b[["page_id", "url"]].assign(text=out, n_chars=[len(t) for t in out])
 
