@@ -11,7 +11,7 @@ from ledgerloom.functions.scalars import (
     after_first, aging_days, clean_list, day_text, decode, elapsed_days, first_name, is_blank,
     keep_unless, parse_date, part_of,
 )
-from ledgerloom.functions.text import keyword_levels, keyword_region, mask_digits, protect_columns, unprotect_columns
+from ledgerloom.functions.text import keyword_region, mask_digits, protect_columns, tag_by_keywords, unprotect_columns
 from ledgerloom.operators.windows import latest_per_key
 from ledgerloom.plans.catalogue import bill_lines
 from ledgerloom.sources.json import active_items, explode_items, json_field
@@ -79,9 +79,9 @@ def status_decode(t: Tables) -> DataFrame:
     "SELECT CAST(l_orderkey AS VARCHAR) AS bill_no, l_partkey AS project_id, p_name AS project_no FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE l_orderkey = 7",
 )
 def point_lookup(t: Tables) -> DataFrame:
-    rows = t["lineitem"].select(F.col("l_orderkey").cast("string").alias("bill_no"), F.col("l_partkey").alias("project_id"))
+    rows = t["lineitem"].select(F.col("l_orderkey").alias("bill_no"), F.col("l_partkey").alias("project_id"))
     projects = t["part"].select(F.col("p_partkey").alias("project_id"), F.col("p_name").alias("project_no"))
-    return bill_lines(rows, projects, "7")
+    return bill_lines(rows, projects, 7).withColumn("bill_no", F.col("bill_no").cast("string"))
 
 
 def _customers_with_last_purchase(t: Tables) -> DataFrame:
@@ -239,7 +239,7 @@ def keyword_region_dim(t: Tables) -> DataFrame:
     parts = t["part"]
     rows = [(lv, i, k, v) for lv, words in enumerate([COLOURS, NOUNS]) for i, (k, v) in enumerate(words)]
     dim = parts.sparkSession.createDataFrame(rows, "level int, ord int, keyword string, label string")
-    return parts.select("p_partkey", keyword_region("p_name", keyword_levels(dim)).alias("region"))
+    return tag_by_keywords(parts.select("p_partkey", "p_name"), "p_name", dim, "region").select("p_partkey", "region")
 
 
 @query(

@@ -106,7 +106,7 @@ def _ledger(t: Tables, period: str, whole_year: bool) -> DataFrame:
     money_cols = [dec("o_totalprice").alias(n) for n in ("debit", "credit", "ending")]
     frames = {
         "balances": orders.select(
-            F.date_format("o_orderdate", "yyyyMM").alias("period"), F.col("o_custkey").alias("company_id"), F.col("o_orderstatus").alias("account_id"),
+            F.col("o_orderdate").alias("period"), F.col("o_custkey").alias("company_id"), F.col("o_orderstatus").alias("account_id"),
             F.substring("o_orderpriority", 1, 1).alias("currency_id"), F.when(F.col("o_orderstatus") == "P", "1").otherwise("5").alias("balance_type"), *money_cols,
         ),
         "companies": t["customer"].select(F.col("c_custkey").alias("company_id"), F.col("c_mktsegment").alias("company_no"), F.col("c_name").alias("company_name")),

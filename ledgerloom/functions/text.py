@@ -13,17 +13,13 @@ from ledgerloom.functions.scalars import ColumnLike, as_col
 MASK_PATTERN = r"\d{4}(?=\d{4})"
 MASK_TEXT = "1254"
 
-MAX_KEYWORDS = 10_000
-
 
 def _first_label(text: Column, words: Sequence[tuple[str, str]]) -> Column:
     """Label of the first listed keyword contained in ``text``, NULL if none is.
 
-    The word list is one constant array, so the plan stays small however long it is.
+    The first hit ends the search. For long lists see ``tag_by_keywords``.
     """
-    listed = F.array(*[F.struct(F.lit(k).alias("keyword"), F.lit(v).alias("label")) for k, v in words])
-    hits = F.filter(listed, lambda w: F.contains(text, w["keyword"]))
-    return F.get(hits, F.lit(0))["label"]
+    return F.coalesce(*[F.when(F.contains(text, F.lit(k)), F.lit(v)) for k, v in words])
 
 
 def keyword_region(c: ColumnLike, levels: Sequence[Sequence[tuple[str, str]]]) -> Column:
@@ -43,18 +39,30 @@ def address_region(c: ColumnLike, cities: Sequence[tuple[str, str]]) -> Column:
     return keyword_region(c, [[(p, p) for p in PROVINCES], cities])
 
 
-def keyword_levels(dim: DataFrame) -> list[list[tuple[str, str]]]:
-    """Read a keyword table (level, ord, keyword, label) into lists.
+def tag_by_keywords(df: DataFrame, col: str, dim: DataFrame, out: str) -> DataFrame:
+    """``df`` with ``out``: ``keyword_region`` for a keyword table (level, ord, keyword, label).
 
-    The table is a hand-kept word list; its size is checked before it reaches the driver.
+    The table may have any size and never leaves the executors. Each distinct text is cut
+    into its parts of the lengths that keywords have, which meet the keywords in an equi
+    join; the lowest (level, ord) wins. No hit gives ``''``; NULL text gives NULL. Keywords
+    without a text or label are ignored.
     """
-    rows = dim.select("level", "ord", "keyword", "label").limit(MAX_KEYWORDS + 1).collect()
-    if len(rows) > MAX_KEYWORDS:
-        raise ValueError(f"keyword table has more than {MAX_KEYWORDS} rows")
-    levels: dict[int, list] = {}
-    for row in sorted(rows, key=lambda r: (r["level"], r["ord"])):
-        levels.setdefault(row["level"], []).append((row["keyword"], row["label"]))
-    return [levels[k] for k in sorted(levels)]
+    words = dim.where("keyword is not null and label is not null")
+    sizes = words.agg(F.sort_array(F.collect_set(F.length("keyword")))).scalar()
+    texts = df.select(F.col(col).alias("__text")).where("__text is not null").distinct()
+    room = F.length("__text")
+
+    def cut(n: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), room + 1), lambda i: i + n <= room + 1)
+        return F.transform(starts, lambda i: F.substring(F.col("__text"), i, n))
+
+    sized = texts.withColumn("__sizes", sizes)
+    parts = sized.select("__text", F.explode(F.array_distinct(F.flatten(F.transform("__sizes", cut)))).alias("__part"))
+    hits = parts.join(words, F.col("__part") == F.col("keyword"))
+    best = hits.groupBy("__text").agg(F.min_by("label", F.struct("level", "ord", "keyword", "label")).alias("__label"))
+    tagged = df.join(best, df[col] == best["__text"], "left")
+    label = F.when(df[col].isNotNull(), F.coalesce("__label", F.lit("")))
+    return tagged.select(*[df[c] for c in df.columns], label.alias(out))
 
 
 def mask_digits(c: ColumnLike) -> Column:

@@ -30,7 +30,7 @@ class Dim:
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count; empty when a join on them is 1:1."""
-    return df.where(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    return df.where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
 def star_join(fact: DataFrame, dims: Sequence[Dim], check_unique: bool = False) -> DataFrame:
@@ -126,7 +126,7 @@ def membership_join(
     return df.join(grouped, row_id, "left").withColumn(out, F.coalesce(F.col(out), F.lit("")))
 
 
-def _all_present(keys: Sequence[str]) -> Column:
+def all_present(keys: Sequence[str]) -> Column:
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).isNotNull()

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.scalars import int_part
-from ledgerloom.operators.joins import full_join_split
+from ledgerloom.operators.joins import all_present
 
 
 def upsert(base: DataFrame, delta: DataFrame, key: Sequence[str], insert_new: bool = True) -> DataFrame:
@@ -65,33 +65,67 @@ def outer_chain(
     to the first; either way facts absent from the joined-to side start rows of their
     own, so one key may take several rows. Each fact is (frame, measure name). Output
     keys are the first non-NULL over the chain (blank texts skipped with ``blank_keys``).
-    Facts hold one row per key, except the measures named in ``single_lines``: those join
-    in a form whose hot keys can be split.
+    Facts hold one row per key (checked), except the last, whose rows join each on its own;
+    ``single_lines`` names it where that is meant.
+
+    No outer join is planned, as rows absent from one side would all meet on a NULL key:
+    the facts are stacked and grouped once by key, and each key is unfolded into its rows.
+    Keys with a NULL part match nothing and stay single rows.
     """
     if key_rule not in ("neighbour", "first"):
         raise ValueError(key_rule)
-    sides = [
-        frame.select(*[F.col(k).alias(f"__{i}_{k}") for k in keys], measure)
-        for i, (frame, measure) in enumerate(facts)
-    ]
-    out = sides[0]
-    for i in range(1, len(sides)):
-        to = i - 1 if key_rule == "neighbour" else 0
-        on = {f"__{to}_{k}": f"__{i}_{k}" for k in keys}
-        if facts[i][1] in single_lines:
-            out = full_join_split(out, sides[i], on)
+    keys, names = list(keys), [measure for _, measure in facts]
+    last = len(facts) - 1
+    if set(single_lines) - {names[last]}:
+        raise ValueError("only the last fact may repeat its keys")
+    lines = facts[last][0].select(*keys, names[last])
+
+    stacked = None
+    for i, (frame, measure) in enumerate(facts):
+        value = F.struct(measure) if i < last else F.lit(True)
+        part = frame.select(*keys, *[value.alias(f"__{j}") if j == i else F.lit(None).alias(f"__{j}") for j in range(last + 1)])
+        stacked = part if stacked is None else stacked.unionByName(part)
+    present = [F.col(f"__{i}").isNotNull() for i in range(last + 1)]
+
+    def once(i: int) -> Column:
+        """The fact's measure of a key, NULL if absent; of the last fact, only its presence."""
+        value = F.max(f"__{i}")
+        if i == last:
+            return value
+        twice = F.raise_error(F.lit(f"{names[i]}: a key occurs twice"))
+        return F.when(F.count(f"__{i}") <= 1, value).otherwise(twice.cast(stacked.schema[f"__{i}"].dataType))
+
+    found = stacked.where(all_present(keys)).groupBy(*keys).agg(*[once(i).alias(f"__{i}") for i in range(last + 1)])
+
+    def unfolded(start: int) -> Column:
+        """The row that begins with fact ``start``, NULL if none does."""
+        if key_rule == "neighbour":
+            begins = present[start] if start == 0 else present[start] & ~present[start - 1]
+            held = [F.lit(False)] * start
+            for i in range(start, last):
+                held.append(present[i] if i == start else held[-1] & present[i])
+            joined = held[last - 1] & present[last]
         else:
-            out = out.join(sides[i], [out[a] == sides[i][b] for a, b in on.items()], "full")
+            begins = present[0] if start == 0 else present[start] & ~present[0]
+            held = [present[i] if start == 0 else F.lit(i == start) for i in range(last)]
+            joined = present[last] if start == 0 else F.lit(False)
+        values = [F.when(held[i], F.col(f"__{i}")[names[i]]).alias(names[i]) for i in range(last)]
+        return F.when(begins, F.struct(*values, joined.alias("__joined")))
+
+    none = F.lit(None).cast(lines.schema[names[last]].dataType).alias(names[last])
+    rows = found.select(*keys, F.inline(F.array_compact(F.array(*[unfolded(i) for i in range(last)]))))
+    apart = rows.where("not __joined").select(*keys, *names[:last], none)
+    # A left join may be split on its left side, where the hot keys are.
+    met = rows.where("__joined").select(*[F.col(k).alias(f"__{k}") for k in keys], *names[:last])
+    placed = lines.join(met, [F.col(k) == F.col(f"__{k}") for k in keys], "left").select(*keys, *names)
+    # Rows of the last fact without a whole key are in ``placed`` already.
+    alone = stacked.where(~all_present(keys) & ~present[last])
+    alone = alone.select(*keys, *[F.col(f"__{i}")[names[i]].alias(names[i]) for i in range(last)], none)
+    out = apart.unionByName(placed).unionByName(alone)
 
     kinds = dict(facts[0][0].dtypes)
-
-    def pick(k: str) -> Column:
-        found = [F.col(f"__{i}_{k}") for i in range(len(sides))]
-        if blank_keys and kinds[k] == "string":
-            found = [F.nullif(c, F.lit("")) for c in found]
-        return F.coalesce(*found).alias(k)
-
-    return out.select(*[pick(k) for k in keys], *[m for _, m in facts])
+    picked = [F.nullif(F.col(k), F.lit("")).alias(k) if blank_keys and kinds[k] == "string" else F.col(k) for k in keys]
+    return out.select(*picked, *names)
 
 
 def multi_fact_merge(facts: Mapping[str, DataFrame], keys: Sequence[str], measure: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerloom.functions import codes
 from ledgerloom.functions.scalars import decode, keep_unless, part_of
@@ -87,12 +87,14 @@ def ledger_balances(
 ) -> DataFrame:
     """Account balances of one company for a period (``yyyyMM``) or its year to date.
 
-    balances: period, company_id, account_id, currency_id, balance_type, debit, credit,
+    balances: period (``yyyyMM`` or a day, which reaches the scan as a range), company_id, account_id, currency_id, balance_type, debit, credit,
     ending; dims: companies (company_id, company_no, company_name), accounts, currencies.
     """
     rows = period_slice(t["balances"], "period", period, whole_year).where(F.col("balance_type") == balance_type)
     companies = t["companies"].where(F.col("company_no") == company)
     currencies = t["currencies"].where(F.col("currency_no") == currency).select("currency_id")
+    if not isinstance(rows.schema["period"].dataType, T.StringType):
+        rows = rows.withColumn("period", F.date_format("period", "yyyyMM"))
     rows = rows.join(currencies, "currency_id", "left_semi").join(companies.select("company_id", "company_name"), "company_id")
     rows = star_join(rows, [Dim(t["accounts"], {"account_id": "account_id"}, {"account_name": "account_name", "account_no": "account_no"})])
     money = "decimal(19,4)"
@@ -163,7 +165,7 @@ def unit_mismatch(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     return ours.select("code", "unit").join(other, "code").where(F.col("unit") != F.col("other_unit"))
 
 
-def bill_lines(lines: DataFrame, projects: DataFrame, bill_no: str) -> DataFrame:
-    """Project numbers of the lines of one bill."""
+def bill_lines(lines: DataFrame, projects: DataFrame, bill_no) -> DataFrame:
+    """Project numbers of the lines of one bill; ``bill_no`` in the column's own type, so the scan can skip."""
     found = lines.where(F.col("bill_no") == bill_no)
     return star_join(found, [Dim(projects, {"project_id": "project_id"}, {"project_no": "project_no"})])

@@ -161,19 +161,19 @@ def daily_workload(requests: DataFrame, orders: DataFrame, payments: DataFrame,
     defines it.
     """
 
-    def counted(df: DataFrame, tag: str, name: str) -> DataFrame:
-        return df.groupBy(F.col("day").alias(f"{tag}_day"), F.col("buyer").alias(f"{tag}_buyer")).agg(F.count(F.lit(1)).alias(name))
+    keys = ["day", "buyer"]
 
-    a, b, c = counted(requests, "a", "requests"), counted(orders, "b", "orders"), counted(payments, "c", "payments")
-    d = amounts.groupBy(F.col("day").alias("d_day"), F.col("buyer").alias("d_buyer"), "pay_type").agg(F.sum("amount").alias("paid"))
+    def counted(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), name
 
-    def to_first(left: DataFrame, right: DataFrame, tag: str) -> DataFrame:
-        return left.join(right, (F.col("a_day") == F.col(f"{tag}_day")) & (F.col("a_buyer") == F.col(f"{tag}_buyer")), "full")
-
-    out = to_first(to_first(to_first(a, b, "b"), c, "c"), d, "d")
+    paid = amounts.groupBy(*keys, "pay_type").agg(F.sum("amount").alias("paid"))
+    paid = paid.select(*keys, F.struct("pay_type", "paid").alias("pay"))
+    facts = [counted(requests, "requests"), counted(orders, "orders"), counted(payments, "payments"), (paid, "pay")]
+    out = outer_chain(facts, keys, "first", single_lines=["pay"])
     return out.select(
-        F.coalesce("a_day", "b_day").alias("approved_day"), F.coalesce("c_day", "d_day").alias("paid_day"),
-        F.coalesce("a_buyer", "b_buyer", "c_buyer", "d_buyer").alias("buyer"), "pay_type", "requests", "orders", "payments", "paid",
+        F.expr("CASE WHEN requests IS NOT NULL OR orders IS NOT NULL THEN day END").alias("approved_day"),
+        F.expr("CASE WHEN payments IS NOT NULL OR pay IS NOT NULL THEN day END").alias("paid_day"),
+        "buyer", "pay.pay_type", "requests", "orders", "payments", "pay.paid",
     )
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,32 +31,55 @@ def build_session(app: str, master: str | None = None, extra: dict | None = None
     return builder.getOrCreate()
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="ledgerloom-")
+#: Folder named by a program for sessions without ``spark.checkpoint.dir``.
+_named: list[str] = []
+#: Paths of the tables written so far and not deleted.
+_written: list[str] = []
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors see: ``spark.checkpoint.dir``.
+def name_own_folder(spark: SparkSession) -> None:
+    """Name a temporary folder for a local trial session without ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder; on a cluster a missing
-    setting is an error, because a machine-local path would be lost with its machine.
+    For programs that start jobs on one machine (checks, trials), never called by a job.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not _named and not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
+        _named.append(tempfile.mkdtemp(prefix="ledgerloom-"))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors see: ``spark.checkpoint.dir``, else the one a program named."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or next(iter(_named), None)
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_folder()
+    return folder.rstrip("/")
 
 
 def written_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Fixes row placement and cuts lineage: a lost executor later on costs a re-read of
-    files, never a recomputation that could place rows differently.
+    files, never a recomputation that could place rows differently. The table stays until
+    ``drop_written``, or until the end of the ``scratch`` block it was written in.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_written(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the tables written by ``written_table``, but for the first ``keep``."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    while len(_written) > keep:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written[-1])
+        path.getFileSystem(conf).delete(path, True)
+        _written.pop()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted on leaving; an error leaves them to be looked at."""
+    before = len(_written)
+    yield
+    drop_written(spark, before)

@@ -6,11 +6,10 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from ledgerloom.session import written_table
+from ledgerloom.session import scratch, shared_folder, written_table
 from ledgerloom.sources.tables import JdbcTarget
 
 BATCH_ROWS = 10_000
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def write_table(
@@ -30,11 +29,17 @@ def write_table(
 def staged_overwrite(df: DataFrame, path: str) -> None:
     """Replace ``path`` with rows that may have been read from ``path`` itself.
 
-    The rows are first written to the shared folder. Should the second write be lost
-    half-way, the staged copy is still whole.
+    The rows are first written to the shared folder, and deleted there once ``path`` is
+    whole. Should the second write be lost half-way, the staged copy stays and the error
+    names its folder.
     """
-    staged = written_table(df, "staged")
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    with scratch(df.sparkSession):
+        staged = written_table(df, "staged")
+        try:
+            staged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        except Exception as error:
+            error.add_note(f"{path} can be restored from the staged copy in {shared_folder(df.sparkSession)}: {staged.inputFiles()[:1]}")
+            raise
 
 
 def replace_slice(df: DataFrame, path: str, part_col: str) -> None:
@@ -47,17 +52,14 @@ def replace_slice(df: DataFrame, path: str, part_col: str) -> None:
     )
 
 
-def write_report_csv(df: DataFrame, path: str, single_file_rows: int = SINGLE_FILE_ROWS) -> int:
-    """Write a CSV report and return its row count.
+def write_report_csv(df: DataFrame, path: str, files: int | None = None) -> int:
+    """Write a CSV report and return its row count, taken while writing.
 
-    A report of up to ``single_file_rows`` rows becomes one file. The rows are computed
-    once, into the shared folder; counting that copy reads file footers only.
+    The number of files follows the data unless ``files`` asks for a redistribution
+    (1 for a report that is to be opened by hand).
     """
-    staged = written_table(df, "report")
-    rows = staged.count()
-    out = staged.coalesce(1) if rows <= single_file_rows else staged
-    out.write.mode("overwrite").csv(path, header=True)
-    return rows
+    out = df.repartition(files) if files else df
+    return write_counted(out, lambda rows: rows.write.mode("overwrite").csv(path, header=True))
 
 
 def observed_count(df: DataFrame, name: str = "written") -> tuple[DataFrame, Observation]:
@@ -74,7 +76,7 @@ def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
 
 
 def jdbc_write_options(
-    target: JdbcTarget, table: str, column_types: Mapping[str, str] | None = None, max_connections: int = 16
+    target: JdbcTarget, table: str, max_connections: int, column_types: Mapping[str, str] | None = None
 ) -> dict[str, str]:
     options = {
         **target.options(),
@@ -92,14 +94,15 @@ def write_jdbc(
     df: DataFrame,
     target: JdbcTarget,
     table: str,
+    max_connections: int,
     mode: str = "overwrite",
     column_types: Mapping[str, str] | None = None,
 ) -> None:
     """Overwrite or append a JDBC table; ``column_types`` declares the created columns.
 
-    The number of connections is bounded however many partitions the result has.
+    ``max_connections`` bounds the connections however many partitions the result has.
     """
-    df.write.format("jdbc").mode(mode).options(**jdbc_write_options(target, table, column_types)).save()
+    df.write.format("jdbc").mode(mode).options(**jdbc_write_options(target, table, max_connections, column_types)).save()
 
 
 def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 @dataclass(frozen=True)
@@ -62,13 +63,13 @@ def jdbc_read_options(
     table: str,
     partition_col: str | None = None,
     bounds: tuple[str, str] | None = None,
-    partitions: int = 16,
+    partitions: int | None = None,
     fetch_size: int = 10_000,
 ) -> dict[str, str]:
     options = {**target.options(), "dbtable": table, "fetchsize": str(fetch_size)}
     if partition_col:
-        if bounds is None:
-            raise ValueError("a partitioned read needs the bounds of its column")
+        if bounds is None or partitions is None:
+            raise ValueError("a partitioned read needs the bounds of its column and a number of slices")
         options |= {
             "partitionColumn": partition_col,
             "lowerBound": bounds[0],
@@ -84,10 +85,14 @@ def read_jdbc(spark: SparkSession, target: JdbcTarget, table: str, **kwargs) ->
 
 
 def period_slice(df: DataFrame, col: str, period: str, whole_year: bool = False) -> DataFrame:
-    """Rows of one ``yyyyMM`` period, or of its whole year.
+    """Rows of one ``yyyyMM`` period, or of its whole year; ``col`` holds such texts or days.
 
     Written as a range on the column itself, so files and partitions can be skipped.
     """
+    if not isinstance(df.schema[col].dataType, T.StringType):
+        year, month = int(period[:4]), 1 if whole_year else int(period[4:])
+        after = (year + 1, 1) if whole_year or month == 12 else (year, month + 1)
+        return df.where((df[col] >= F.lit(dt.date(year, month, 1))) & (df[col] < F.lit(dt.date(*after, 1))))
     if whole_year:
         return df.where(df[col].between(period[:4] + "01", period[:4] + "12"))
     return df.where(df[col] == period)

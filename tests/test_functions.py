@@ -143,12 +143,15 @@ def test_protect_round_trip(spark, mode):
     assert {r["id"]: r["name"] for r in back.collect()} == {1: "Anna", 2: "Anna", 3: None, 4: ""}
 
 
-def test_keyword_table_size_is_checked(spark, monkeypatch):
-    dim = spark.createDataFrame([(1, 0, "b", "B"), (0, 1, "c", "C"), (0, 0, "a", "A")], "level int, ord int, keyword string, label string")
-    assert x.keyword_levels(dim) == [[("a", "A"), ("c", "C")], [("b", "B")]]
-    monkeypatch.setattr(x, "MAX_KEYWORDS", 2)
-    with pytest.raises(ValueError):
-        x.keyword_levels(dim)
+def test_tag_by_keywords_equals_the_listed_form(spark):
+    levels = [[("aa", "A"), ("c", "C")], [("b", "B"), ("abc", "D")]]
+    listed = [(lv, i, k, v) for lv, ws in enumerate(levels) for i, (k, v) in enumerate(ws)]
+    dim = spark.createDataFrame([*listed, (0, 9, None, "N"), (0, -1, "x", None)], "level int, ord int, keyword string, label string")
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(["", None, "a", "xb", "abc", "caa", "aac", "caa", "zzabz"])], "id int, v string")
+    want = texts.select("id", x.keyword_region("v", levels).alias("r")).collect()
+    got = x.tag_by_keywords(texts, "v", dim, "r").select("id", "r").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert {tuple(r) for r in x.tag_by_keywords(texts, "v", dim.limit(0), "r").select("r").collect()} == {("",), (None,)}
 
 
 @pytest.mark.parametrize(

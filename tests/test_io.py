@@ -1,6 +1,7 @@
 """Sources and sinks."""
 
 import json
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -73,14 +74,13 @@ def test_write_table_replaces_everything_by_name(spark, orders, tmp_path):
     assert back.columns == ["id", "v"] and [tuple(r) for r in back.collect()] == [(1, 5)]
 
 
-@pytest.mark.parametrize("limit, files", [(10, 1), (2, 3)])
-def test_report_csv(spark, orders, tmp_path, limit, files):
+@pytest.mark.parametrize("files", [1, None])
+def test_report_csv(spark, orders, tmp_path, files):
     path = tmp_path / "report"
     wide = orders.repartition(3, "id").repartitionByRange(3, "id")
     for _ in range(2):
-        assert sinks.write_report_csv(wide, str(path), single_file_rows=limit) == 3
-    written = list(path.glob("part-*.csv"))
-    assert len(written) <= files and (limit == 2 or len(written) == 1)
+        assert sinks.write_report_csv(wide, str(path), files) == 3
+    assert files is None or len(list(path.glob("part-*.csv"))) == files
     assert spark.read.csv(str(path), header=True).count() == 3
 
 
@@ -105,10 +105,10 @@ def test_jdbc_options():
     split = tables.jdbc_read_options(target, "t", partition_col="id", bounds=("1", "9"), partitions=4)
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("id", "1", "9", "4")
     with pytest.raises(ValueError):
-        tables.jdbc_read_options(target, "t", partition_col="id")
-    out = sinks.jdbc_write_options(target, "t", {"a": "varchar(255)", "b": "decimal(19,4)"})
+        tables.jdbc_read_options(target, "t", partition_col="id", bounds=("1", "9"))
+    out = sinks.jdbc_write_options(target, "t", 4, {"a": "varchar(255)", "b": "decimal(19,4)"})
     assert out["createTableColumnTypes"] == "a varchar(255), b decimal(19,4)"
-    assert out["batchsize"] == "10000" and out["truncate"] == "false"
+    assert out["numPartitions"] == "4" and out["batchsize"] == "10000" and out["truncate"] == "false"
 
 
 def test_typed(spark, orders):
@@ -162,9 +162,34 @@ def session_with(master, folder=None):
     return SimpleNamespace(sparkContext=SimpleNamespace(master=master), conf=SimpleNamespace(get=get))
 
 
-def test_shared_folder():
+def test_shared_folder(monkeypatch):
+    monkeypatch.setattr(session, "_named", [])
     assert session.shared_folder(session_with("spark://host:7077", "hdfs:///scratch/")) == "hdfs:///scratch"
-    with pytest.raises(ValueError):
-        session.shared_folder(session_with("spark://host:7077"))
-    local = session.shared_folder(session_with("local[2]"))
-    assert local == session.shared_folder(session_with("local[2]"))
+    for master in ("spark://host:7077", "local[2]"):
+        with pytest.raises(ValueError):
+            session.shared_folder(session_with(master))
+    session.name_own_folder(session_with("spark://host:7077"))
+    assert not session._named
+    session.name_own_folder(session_with("local[2]"))
+    assert session.shared_folder(session_with("local[2]")) == session._named[0]
+
+
+def test_written_tables_are_deleted(spark, orders):
+    with session.scratch(spark):
+        kept = session.written_table(orders, "kept")
+        assert kept.count() == 3
+        folder = kept.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert not os.path.exists(folder)
+
+
+def test_staged_overwrite_leaves_no_copy(spark, orders, tmp_path):
+    path, before = str(tmp_path / "t"), len(session._written)
+    sinks.write_table(orders, path)
+    sinks.staged_overwrite(spark.read.parquet(path).where("id > 1"), path)
+    assert spark.read.parquet(path).count() == 2 and len(session._written) == before
+
+
+@pytest.mark.parametrize("whole, n", [(False, 1), (True, 2)])
+def test_period_of_days(spark, whole, n):
+    days = spark.sql("select * from values (timestamp'2023-12-31 23:59:59'), (timestamp'2023-01-01 00:00:00'), (timestamp'2024-01-01 00:00:00') as t(day)")
+    assert tables.period_slice(days, "day", "202312", whole).count() == n

@@ -135,6 +135,17 @@ def test_outer_chain_rules(spark, rows):
         m.outer_chain(facts, ["k"], "last")
 
 
+def test_outer_chain_plans_no_outer_join_on_absent_keys(spark, rows):
+    """Most keys are in one fact only: no step may gather them on a NULL key."""
+    facts = [(spark.range(i * 1000, i * 1000 + 1001).selectExpr("id as k", f"id as {n}"), n) for i, n in enumerate("abcd")]
+    chain = m.outer_chain(facts, ["k"], "neighbour")
+    assert "FullOuter" not in chain._jdf.queryExecution().toString() and chain.count() == 4001
+    assert chain.where("a is not null and b is not null").count() == 1
+    twice = [(facts[0][0].unionByName(facts[0][0]), "a"), *facts[1:]]
+    with pytest.raises(Exception, match="occurs twice"):
+        m.outer_chain(twice, ["k"], "first").count()
+
+
 def test_multi_fact_merge_keeps_every_total(spark, rows):
     facts = {name: f.withColumnRenamed(name, "v") for f, name in chain_facts(spark)}
     got = m.multi_fact_merge(facts, ["k"], "v")

@@ -5,12 +5,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from ledgerloom.checks import all_queries
 from ledgerloom.operators import joins as j
 from ledgerloom.operators import windows as w
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = all_queries()
 
 
 def plan_of(df) -> str:
@@ -35,7 +35,7 @@ def test_no_product_joins_and_no_single_partition(shuffled, name):
     for line in plan.splitlines():
         assert not re.search(r"\bWindow(Exec)?\b.*\[\]", line), line
     # One partition is right only for one-row totals, to which each task sends one row.
-    assert "SinglePartition" not in plan or name in ("not_in_subquery", "receivable_board_v2")
+    assert "SinglePartition" not in plan or name in ("not_in_subquery", "receivable_board_v2", "keyword_region_dim")
 
 
 def test_newest_row_is_picked_before_the_shuffle(spark):
@@ -116,3 +116,15 @@ def test_hot_full_join_is_split(small_skew):
     out = j.full_join_split(left, right, {"x": "y"})
     assert "skew=true" in plan_of_final(out)
     assert out.count() == left.join(right, left.x == right.y, "full").count()
+
+
+def test_key_and_period_reach_the_scan(spark):
+    assert "EqualTo(l_orderkey,7)" in plan_of(QUERIES["point_lookup"](spark, FOLDER))
+    for name in ("ledger_period", "ledger_ytd"):
+        plan = plan_of(QUERIES[name](spark, FOLDER))
+        assert "GreaterThanOrEqual(o_orderdate,2000-0" in plan and "LessThan(o_orderdate,2" in plan
+
+
+@pytest.mark.parametrize("name", ["outer_chain_asis", "outer_chain_first", "purchase_amounts", "daily_workload"])
+def test_chains_plan_no_full_join(shuffled, name):
+    assert "FullOuter" not in plan_of(QUERIES[name](shuffled, FOLDER))

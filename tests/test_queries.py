@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare, connect, types_of
+from ledgerloom.checks import all_oracles, all_queries
 
 FOLDER = os.environ.get("CHECK_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
