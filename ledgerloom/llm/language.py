@@ -28,12 +28,12 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the text's letter trigrams (other characters are one space) and counts."""
+def gram_buckets(text: str | None) -> np.ndarray:
+    """Bucket of each letter trigram of the text (other characters are one space)."""
     codes = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
     letter = _letters()[codes]
     if not letter.any():
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64)
     codes = np.where(letter, codes, 32)
     keep = letter | np.concatenate([[True], letter[:-1]])
     codes = np.concatenate([[32], codes[keep], [32]])
@@ -41,8 +41,12 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         codes = np.concatenate([codes, [32]])
     mixed = (codes[:-2] * 1000003 + codes[1:-1]) * 1000003 + codes[2:]
     mixed ^= mixed >> 21
-    found, counts = np.unique((mixed * 0x9E3779B1 >> 13) & (BUCKETS - 1), return_counts=True)
-    return found, counts
+    return (mixed * 0x9E3779B1 >> 13) & (BUCKETS - 1)
+
+
+def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of the text's letter trigrams and their counts."""
+    return np.unique(gram_buckets(text), return_counts=True)
 
 
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:

@@ -29,6 +29,7 @@ PREFIX = 5
 #: Labelled rows the classifier is fitted on, at most; the smallest hashes are taken.
 SAMPLE_ROWS = 6000
 _BLOCK = 1 << 14
+_REMEMBERED = 1 << 18
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -36,17 +37,27 @@ def _bucket(part: str) -> int:
     return zlib.crc32(part.encode("utf-8", "replace")) % (BUCKETS - 1) + 1
 
 
+class _Words(dict):
+    """Both buckets of a word in one number, remembered for up to ``_REMEMBERED`` words."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= _REMEMBERED:
+            self.clear()
+        start = _bucket("^" + word[:PREFIX]) if len(word) > PREFIX else 0
+        self[word] = out = _bucket(word) << 32 | start
+        return out
+
+
+_words = _Words()
+
+
 def hashed(text: str | None) -> np.ndarray:
     """Buckets of each word (lower case) and of its first letters, one row per word, padded
     to the widest filter; 0 is padding."""
-    cache: dict[str, tuple[int, int]] = {}
-    found = []
-    for w in _WORD.findall((text or "").lower()):
-        row = cache.get(w)
-        if row is None:
-            row = cache[w] = (_bucket(w), _bucket("^" + w[:PREFIX]) if len(w) > PREFIX else 0)
-        found.append(row)
-    return np.array(found + [(0, 0)] * max(0, max(WIDTHS) - len(found)), np.int32)
+    found = _WORD.findall((text or "").lower())
+    packed = np.zeros(max(len(found), max(WIDTHS)), np.int64)
+    packed[: len(found)] = np.fromiter(map(_words.__getitem__, found), np.int64, len(found))
+    return np.stack([packed >> 32, packed & 0xFFFFFFFF], axis=1).astype(np.int32)
 
 
 class Model:
@@ -62,19 +73,20 @@ class Model:
     def pooled(self, ids: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """Maxima of all filters over the whole text, and where they stand; long texts go in
         overlapping blocks."""
-        tops, places = [], []
-        for w, f, b in zip(WIDTHS, self.filters, self.bias):
-            top, place = np.full(FILTERS, -np.inf), np.zeros(FILTERS, np.int64)
-            for at in range(0, len(ids) - w + 1, _BLOCK):
-                x = self.emb[ids[at : at + _BLOCK + w - 1]].sum(1)
-                n = len(x) - w + 1
+        tops = [np.full(FILTERS, -np.inf) for _ in WIDTHS]
+        places = [np.zeros(FILTERS, np.int64) for _ in WIDTHS]
+        for at in range(0, len(ids), _BLOCK):
+            part = ids[at : at + _BLOCK + max(WIDTHS) - 1]
+            x = self.emb[part[:, 0]] + self.emb[part[:, 1]]
+            for j, (w, f, b) in enumerate(zip(WIDTHS, self.filters, self.bias)):
+                n = min(_BLOCK, len(x) - w + 1)
+                if n < 1:
+                    continue
                 z = sum(x[i : i + n] @ f[i * DIM : (i + 1) * DIM] for i in range(w)) + b
                 arg = z.argmax(0)
                 best = z[arg, np.arange(FILTERS)]
-                place = np.where(best > top, arg + at, place)
-                top = np.maximum(best, top)
-            tops.append(top)
-            places.append(place)
+                places[j] = np.where(best > tops[j], arg + at, places[j])
+                tops[j] = np.maximum(best, tops[j])
         return np.concatenate(tops), places
 
     def logit(self, ids: np.ndarray) -> float:
@@ -122,6 +134,8 @@ class Model:
                 g_shift += error**2
                 self.out -= rate * d_out / np.sqrt(g_out)
                 self.shift -= rate * error / np.sqrt(g_shift)
+        self.emb = self.emb.astype(np.float32)
+        self.filters = [f.astype(np.float32) for f in self.filters]
 
 
 def threshold(logits: np.ndarray, labels: np.ndarray, fallback: float) -> float:
@@ -169,8 +183,8 @@ def train(labelled: DataFrame, langs: list[str], log_p: np.ndarray, sample_rows:
 
 def predicted(text: str | None, langs: list[str], log_p: np.ndarray) -> str:
     """Likeliest single language of a text."""
-    found, counts = language.grams(text)
-    return langs[int(np.argmax(log_p[:, found] @ counts))] if len(found) and langs else language.UNKNOWN
+    found = language.gram_buckets(text)
+    return langs[int(np.argmax(log_p[:, found].sum(1)))] if len(found) and langs else language.UNKNOWN
 
 
 def score(docs: DataFrame, labelled: DataFrame, training: DataFrame) -> DataFrame:
