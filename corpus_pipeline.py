@@ -6,12 +6,14 @@ stage's docs. All but the last return the columns of documents.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, language, packing, secrets, simhash
 from ledgerloom.llm.common import table
-from ledgerloom.session import written_table
+from ledgerloom.session import name_own_folder, written_table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MASK = "[secret]"
@@ -69,12 +71,23 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, "byte_bpe_50k.json")
 
 
+def _stage(function):
+    """The stage, also for a local session that names no ``spark.checkpoint.dir`` (trials)."""
+
+    @functools.wraps(function)
+    def apply(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        name_own_folder(spark)
+        return function(spark, docs, sf_dir)
+
+    return apply
+
+
 STAGES = [
-    ("language_id", keep_known_languages),
-    ("simhash_dedup", one_per_group),
-    ("decontaminate", drop_leaks),
-    ("mask_secrets", mask_secrets),
-    ("pack", pack),
+    ("language_id", _stage(keep_known_languages)),
+    ("simhash_dedup", _stage(one_per_group)),
+    ("decontaminate", _stage(drop_leaks)),
+    ("mask_secrets", _stage(mask_secrets)),
+    ("pack", _stage(pack)),
 ]
 
 # Packing and fingerprints are not expressible in SQL; a brute-force version tests run().
