@@ -3,8 +3,9 @@
 A page becomes a stream of block tags with texts. Adjacent equal blocks fold into a
 repeated group. The folded streams of a host are aligned one after the other into a
 union-free expression: what only some streams have turns optional, what repeats anywhere
-repeats, texts that differ turn into slots, equal ones stay fixed. The wrapper then says
-which of its blocks hold the main text, and every page is matched with its host's wrapper.
+repeats, texts that differ turn into slots, equal ones stay fixed. A page with an article or
+main element of its own gives that element's blocks; every other page is matched with its
+host's wrapper, whose slots that are not mostly links hold the main text.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ LEFT_OUT_NAMES = re.compile(
     r"^(ad|ads|advert\w*|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent|notice\w*|sidebar\w*|side|menu\w*|nav|navbar|navigation|breadcrumbs?|"
     r"footer|header|masthead|share|sharing|social|related|newsletter|popup|modal|comments?|replies|reply|disqus\w*|contentinfo|complementary)$"
 )
+# Elements that hold the page or its main text; their class names only describe a layout.
+ROOTS = {"html", "body", "article", "main"}
 MAIN = re.compile(r"^(article|main)\b|[.](article|content|entry|post|story|main)\b")
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -65,7 +68,8 @@ class _Page(HTMLParser):
             return
         given = dict(attrs)
         names = " ".join(given.get(k) or "" for k in ("class", "id", "role")).lower().split()
-        out = tag in LEFT_OUT or "hidden" in given or any(LEFT_OUT_NAMES.match(part) for n in names for part in {n, *re.split(r"[-_]", n)[:1]})
+        named = tag not in ROOTS and any(LEFT_OUT_NAMES.match(part) for n in names for part in {n, *re.split(r"[-_]", n)[:1]})
+        out = tag in LEFT_OUT or "hidden" in given or named
         inner = bool(self.stack) and self.stack[-1][2]
         self.stack.append((tag, ".".join([tag, *(given.get("class") or "").lower().split()]), inner or out))
 
@@ -154,12 +158,9 @@ def _is_main(path: str) -> bool:
     return any(MAIN.search(part) for part in path.split("/"))
 
 
-def main_items(wrapper: list[dict]) -> list[bool]:
-    """Which items hold main text: those in an article or main element if there are any;
-    else the slots that are not mostly links."""
-    inside = [_is_main(x["path"]) for x in wrapper]
-    if any(inside):
-        return inside
+def slot_items(wrapper: list[dict]) -> list[bool]:
+    """Which items are slots that are not mostly links: the main text of pages without an
+    article or main element."""
     return [x["fixed"] is None and 2 * x["links"] <= x["size"] for x in wrapper]
 
 
@@ -248,13 +249,15 @@ def main_text(pages: DataFrame) -> DataFrame:
                     if len(read) > 100:
                         read.clear()
                     items = json.loads(wrapper)
-                    read[wrapper] = [x["path"] for x in items], main_items(items)
-                names, main = read[wrapper]
-                # A block the alignment passes over is judged by its own path.
-                own = any(_is_main(p) for p in names)
-                keep = [_is_main(p) if own else True for p in paths]
-                for a, c, n in SequenceMatcher(None, names, list(paths), autojunk=False).get_matching_blocks():
-                    keep[c : c + n] = main[a : a + n]
+                    read[wrapper] = [x["path"] for x in items], slot_items(items)
+                # Other pages of the host may be of another template, so only the page's own
+                # elements count. A block the alignment passes over is kept.
+                keep = [_is_main(p) for p in paths]
+                if not any(keep):
+                    names, main = read[wrapper]
+                    keep = [True] * len(paths)
+                    for a, c, n in SequenceMatcher(None, names, list(paths), autojunk=False).get_matching_blocks():
+                        keep[c : c + n] = main[a : a + n]
                 out.append(" ".join(t for g, t in zip(at, texts) if keep[g]))
             yield b[["page_id", "url"]].assign(text=out, n_chars=[len(t) for t in out])
 

@@ -210,6 +210,18 @@ def test_main_text(spark):
     assert wrappers.main_text(pages.limit(0)).count() == 0
 
 
+def test_main_text_of_mixed_hosts(spark):
+    plain = "<html class='header-fixed'><body class='sidebar-first'><div class=top>Site</div><p>text {}</p></body>"
+    rows = [
+        (1, "http://a/1", "<body><div>top</div><article class='post side'><p>story</p></article>"), (2, "http://a/2", plain.format(1)), (3, "http://a/3", plain.format(2)),
+        (4, "http://a/4", "<div class=content><p>inside</p></div><div class='sidebar-first'>x</div>"),
+        (5, None, "<main><p>one</p></main>"), (6, "no host", "<div><p>two</p></div>"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.main_text(pages).collect()}
+    assert got == {1: "story", 2: "text 1", 3: "text 2", 4: "inside", 5: "one", 6: "two"}
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
