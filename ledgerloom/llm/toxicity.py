@@ -1,8 +1,9 @@
 """Toxicity by a small convolutional text classifier, trained in numpy.
 
 Words are hashed to embedding rows; filters of several widths slide over the whole text
-and are max-pooled; a logistic layer scores them. Thresholds are calibrated by predicted
-language and folded into the score, so 0.5 is the threshold everywhere.
+and are max-pooled; a logistic layer scores them. The classifier is fitted on a bounded
+sample; thresholds are calibrated by predicted language on all labelled rows it was not
+fitted on, and folded into the score, so 0.5 is the threshold everywhere.
 """
 
 from __future__ import annotations
@@ -13,11 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import language
 from ledgerloom.llm.common import table
+from ledgerloom.session import written_table
 
 BUCKETS = 1 << 17
 #: Words of fewer sampled texts share the padding row, so that none is learned by heart.
@@ -28,6 +30,8 @@ DIM, FILTERS, EPOCHS = 16, 16, 8
 PREFIX = 5
 #: Labelled rows the classifier is fitted on, at most; the smallest hashes are taken.
 SAMPLE_ROWS = 6000
+#: Cells of the histograms that set thresholds, per unit of logit, and the largest logit.
+CELLS, LARGEST = 64, 64
 _BLOCK = 1 << 14
 _REMEMBERED = 1 << 18
 _WORD = re.compile(r"[^\W_]+")
@@ -138,47 +142,58 @@ class Model:
         self.filters = [f.astype(np.float32) for f in self.filters]
 
 
-def threshold(logits: np.ndarray, labels: np.ndarray, fallback: float) -> float:
-    """Logit between two scores with the best F1; ``fallback`` when a class is missing."""
-    if len(set(labels.tolist())) < 2:
+def threshold(cells: np.ndarray, rows: np.ndarray, toxic: np.ndarray, fallback: float) -> float:
+    """Logit between two histogram cells with the best F1; ``fallback`` when a class is missing."""
+    if not toxic.sum() or toxic.sum() == rows.sum():
         return fallback
-    order = np.argsort(-logits, kind="stable")
-    hit = np.cumsum(labels[order])
-    f1 = 2 * hit / (np.arange(1, len(order) + 1) + labels.sum())
-    at = int(np.argmax(f1))
-    low = logits[order[at + 1]] if at + 1 < len(order) else logits[order[at]] - 1.0
-    return float((logits[order[at]] + low) / 2)
+    order = np.argsort(-cells)
+    hit = np.cumsum(toxic[order])
+    at = int(np.argmax(2 * hit / (np.cumsum(rows[order]) + toxic.sum())))
+    low = cells[order[at + 1]] + 1 if at + 1 < len(order) else cells[order[at]] - CELLS
+    return float(cells[order[at]] + low) / (2 * CELLS)
 
 
-def train(labelled: DataFrame, langs: list[str], log_p: np.ndarray, sample_rows: int = SAMPLE_ROWS, least: int = 10):
-    """(model, thresholds by language, "" for the rest) from (doc_id, text, toxic).
+def thresholds(checked: DataFrame, least: int = 10) -> dict[str, float]:
+    """Thresholds by language, "" for the rest, from (logit, lang, toxic, n) of all ``checked``.
 
-    A fifth of the sample sets thresholds; languages with fewer than ``least`` toxic
-    rows in it use the common one.
+    Languages with fewer than ``least`` toxic rows use the common one. At most two cells
+    per histogram step and language reach the driver.
     """
-    order = F.xxhash64("doc_id", "text")
-    sample = labelled.where("toxic is not null").orderBy(order).limit(sample_rows)
+    cell = F.floor(F.least(F.greatest(F.col("logit"), F.lit(-LARGEST)), F.lit(LARGEST)) * CELLS)
+    counted = checked.groupBy("lang", cell.alias("cell")).agg(F.sum("n").alias("rows"), F.sum(F.col("toxic") * F.col("n")).alias("toxic"))
+    got = counted.toPandas().astype({"cell": np.int64, "rows": np.int64, "toxic": np.int64})
+
+    def cut(part: pd.DataFrame, fallback: float) -> float:
+        return threshold(part["cell"].to_numpy(), part["rows"].to_numpy(), part["toxic"].to_numpy(), fallback)
+
+    cuts = {"": cut(got.groupby("cell", as_index=False)[["rows", "toxic"]].sum(), 0.0)}
+    for name, part in got.groupby("lang"):
+        if part["toxic"].sum() >= least:
+            cuts[name] = cut(part, cuts[""])
+    return cuts
+
+
+def _key() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
+def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Model, Column]:
+    """Model, and whether a row's key is fitted on, from (doc_id, text, toxic).
+
+    Four fifths of the sample are fitted on; copies of a row fall on the same side.
+    """
+    sample = labelled.where("toxic is not null").select(_key().alias("key"), "text", "toxic").orderBy("key").limit(sample_rows)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame(
-                {"ids": [hashed(t).tobytes() for t in b["text"]], "lang": [predicted(t, langs, log_p) for t in b["text"]], "toxic": b["toxic"].astype(int)}
-            )
-
-    got = sample.select("text", "toxic").mapInPandas(encode, "ids binary, lang string, toxic int").toPandas()
-    texts = [np.frombuffer(b, np.int32).reshape(-1, 2) for b in got["ids"]]
-    labels, lang = got["toxic"].to_numpy(np.int64), got["lang"].to_numpy()
-    checked = np.arange(len(texts)) % 5 == 0
+            yield pd.DataFrame({"key": b["key"], "ids": [hashed(t).tobytes() for t in b["text"]], "toxic": b["toxic"].astype(int)})
+
+    got = sample.mapInPandas(encode, "key long, ids binary, toxic int").toPandas().sort_values("key", kind="stable")
+    mine = got[got["key"] % 5 != 0]
     model = Model()
-    model.fit([t for t, c in zip(texts, checked) if not c], labels[~checked])
-    logits = np.array([model.logit(t) for t, c in zip(texts, checked) if c])
-    y, lang = labels[checked], lang[checked]
-    cuts = {"": threshold(logits, y, 0.0)}
-    for name in sorted(set(lang)):
-        mine = lang == name
-        if y[mine].sum() >= least:
-            cuts[name] = threshold(logits[mine], y[mine], cuts[""])
-    return model, cuts
+    model.fit([np.frombuffer(b, np.int32).reshape(-1, 2) for b in mine["ids"]], mine["toxic"].to_numpy(np.int64))
+    last = int(got["key"].max()) if len(got) else 0
+    return model, (F.col("key") <= last) & (F.pmod("key", F.lit(5)) != 0)
 
 
 def predicted(text: str | None, langs: list[str], log_p: np.ndarray) -> str:
@@ -187,23 +202,48 @@ def predicted(text: str | None, langs: list[str], log_p: np.ndarray) -> str:
     return langs[int(np.argmax(log_p[:, found].sum(1)))] if len(found) and langs else language.UNKNOWN
 
 
-def score(docs: DataFrame, labelled: DataFrame, training: DataFrame) -> DataFrame:
-    """doc_id, score, predicted per row of ``docs``, from the text alone.
+def rate(docs: DataFrame, labelled: DataFrame, training: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, dict[str, float]]:
+    """(doc_id, key, logit, lang) per row of ``docs``, and the thresholds by language.
 
-    Null and empty texts are scored as a text of padding. Without labels every score
-    comes from the untrained model. Repeated rows get equal scores.
+    Labelled rows that are among ``docs`` are not scored twice. Copies of a labelled row
+    are counted before they are joined.
     """
     langs, log_p = language.train(training)
-    model, cuts = train(labelled, langs, log_p)
-    shared = docs.sparkSession.sparkContext.broadcast((model, cuts, langs, log_p))  # fixed sizes
+    model, fitted = train(labelled, sample_rows)
+    shared = docs.sparkSession.sparkContext.broadcast((model, langs, log_p))  # fixed sizes
 
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model, cuts, langs, log_p = shared.value
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model, langs, log_p = shared.value
         for batch in texts:
-            z = [model.logit(hashed(t)) - cuts.get(predicted(t, langs, log_p), cuts[""]) for t in batch]
-            yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(z, float), -500, 500))))
+            yield pd.DataFrame({"logit": np.array([model.logit(hashed(t)) for t in batch], float), "lang": [predicted(t, langs, log_p) for t in batch]})
+
+    judge = F.pandas_udf(run, "logit double, lang string")(F.col("text"))
+
+    def rated(rows: DataFrame, label: str) -> DataFrame:
+        judged = rows.select("doc_id", _key().alias("key"), judge.alias("r"))
+        return written_table(judged.select("doc_id", "key", "r.logit", "r.lang"), label)
 
-    scored = docs.select("doc_id", F.pandas_udf(run, "double")(F.col("text")).alias("score"))
+    out = rated(docs, "rated")
+    open_rows = labelled.where("toxic is not null").withColumn("key", _key()).where(~fitted)
+    marks = written_table(open_rows.groupBy("key", F.col("toxic").cast("long").alias("toxic")).agg(F.count("*").alias("n")), "marks")
+    seen = out.select("key", "logit", "lang")
+    lost = written_table(marks.select("key").distinct().join(seen, "key", "left_anti"), "lost")
+    if not lost.isEmpty():
+        seen = seen.unionByName(rated(open_rows.join(lost, "key", "left_semi"), "rated-labels").select("key", "logit", "lang"))
+    once = seen.join(marks.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("logit").alias("logit"), F.first("lang").alias("lang"))
+    return out, thresholds(marks.join(once, "key"))
+
+
+def score(docs: DataFrame, labelled: DataFrame, training: DataFrame) -> DataFrame:
+    """doc_id, score, predicted per row of ``docs``, from the text alone.
+
+    Null and empty texts are scored as a text of padding. Without labels every score
+    comes from the untrained model. Repeated rows get equal scores.
+    """
+    rated, cuts = rate(docs, labelled, training)
+    known = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])
+    z = F.col("logit") - F.coalesce(F.try_element_at(known, F.col("lang")), F.lit(cuts[""]))
+    scored = rated.select("doc_id", (1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-500.0)), F.lit(500.0))))).alias("score"))
     return scored.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

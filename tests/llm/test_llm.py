@@ -197,6 +197,21 @@ def test_toxicity_learns(spark):
     assert got == {1: (1, True), 2: (0, True), 3: (0, True), 4: (0, True), 5: (1, True)}
 
 
+def test_thresholds_cover_all_labels(spark):
+    mother = {"en": "the cat and the house with the thing ", "de": "der hund und das haus mit dem ding "}
+    texts = {i: (mother[g] + " ".join(WORDS[i % 300 : i % 300 + 9]) + (" awful" if i % 3 == 0 else ""), g) for i, g in enumerate(["en", "en", "en", "en", "de"] * 80)}
+    known = spark.createDataFrame([(i, t, g) for i, (t, g) in texts.items()], "doc_id long, text string, lang string")
+    labelled = known.select("doc_id", "text", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    for docs in (known, known.limit(0)):
+        rated, cuts = toxicity.rate(docs, labelled, known, sample_rows=100)
+        assert rated.count() == docs.count()
+        assert set(cuts) == {"", "en", "de"}
+    again = toxicity.rate(known, labelled, known, sample_rows=100)[1]
+    assert again == cuts
+    want = toxicity.threshold(*map(toxicity.np.array, ([-64, 0, 64], [5, 2, 3], [0, 0, 3])), 9.0)
+    assert 0 < want <= 1 and toxicity.threshold(*map(toxicity.np.array, ([0, 1], [2, 2], [0, 0])), 9.0) == 9.0
+
+
 def test_main_text(spark):
     article = "<html><head><title>T</title></head><body><nav>menu</nav><div class='ad'>buy</div><article><h1>Head &amp; tail</h1><p>one\n <b>two</b><p>three{}</article><div id='comments'>c</div><footer>f</footer>"
     plain = "<body><div class=top>Site</div><p>text {}</p><p>more {}</p><ul><li><a href=x>link {}</a></li></ul></body>"
