@@ -1,7 +1,7 @@
 """Secret scan behind trigram queries, in DataFrame functions only.
 
-Every rule has a Boolean trigram query, derived from the literals each match must hold: a
-list of alternatives, each a literal whose trigrams must all occur. The index is kept per
+Every rule has a Boolean trigram query, derived from its pattern: a list of alternatives,
+each a literal whose trigrams must all occur, so that every match holds one. The index is kept per
 document: the set of rule trigrams in its lower-cased text. A rule's pattern runs only on
 documents whose postings satisfy its query; a rule without mandatory literals scans all.
 Spans need offsets: the pieces between matches and the matches come from the same pattern,
@@ -11,6 +11,8 @@ so running lengths give starts in code points.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
+from re import _parser as parser
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,14 +20,88 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import table
 
 
+#: Alternatives a literal query may have, at most.
+_MOST = 64
+
+
+def _strings(node) -> tuple[set[str] | None, list[set[str]]]:
+    """All lower-case texts a parsed pattern can match (null: too many to list), and sets of
+    literals of which each match holds one."""
+    exact: set[str] | None = {""}  # all texts since the last part that was not listable
+    whole, held = True, []
+    for op, value in node:
+        name, part, more = str(op), None, []
+        if name == "LITERAL":
+            part = {chr(value).lower()}
+        elif name == "IN" and len(value) <= 8 and all(str(o) == "LITERAL" for o, _ in value):
+            part = {chr(v).lower() for _, v in value}
+        elif name == "SUBPATTERN":
+            part, more = _strings(value[-1])
+        elif name == "ATOMIC_GROUP":
+            part, more = _strings(value)
+        elif name in ("AT", "ASSERT", "ASSERT_NOT"):
+            part = {""}
+        elif name == "BRANCH":
+            found = [_strings(b) for b in value[1]]
+            if all(f[0] is not None for f in found):
+                part = set().union(*(f[0] for f in found))
+            best = [_best([*f[1], *([f[0]] if f[0] else [])]) for f in found]
+            if all(best):
+                more = [set().union(*best)]
+        elif name in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
+            low, high, inner = value
+            one, inside = _strings(inner)
+            more = inside if low else []
+            if one is not None and high == 1:
+                part = one | ({""} if low == 0 else set())
+            elif one is not None and low:
+                more = [*more, {a + b for a in exact for b in one}]
+        held += more
+        joined = None if part is None else {a + b for a in exact for b in part}
+        if joined is not None and len(joined) <= _MOST:
+            exact = joined
+            held.append(exact)
+        else:
+            whole, exact = False, {""}
+            if part is not None and len(part) <= _MOST:
+                exact = part
+                held.append(exact)
+    return (exact if whole else None), held
+
+
+def _best(held: list[set[str]]) -> set[str]:
+    """The set whose shortest literal is longest, of these the smallest; trigrams need three letters."""
+    usable = [h for h in held if h and len(h) <= _MOST and min(map(len, h)) >= 3]
+    return max(usable, key=lambda h: (min(map(len, h)), -len(h), sorted(h)), default=set())
+
+
+@lru_cache
+def mandatory(pattern: str) -> tuple[str, ...]:
+    """Literals, lower case, of which every match of a pattern holds one; empty if none is sure."""
+    return tuple(sorted(_best(_strings(parser.parse(pattern))[1])))
+
+
 @dataclass(frozen=True)
 class Rule:
     kind: str
-    pattern: str
+    pattern: str  # read alike by Java and Python
     group: int = 0  # the group whose length is checked
     least: int = 1
-    literals: tuple[str, ...] = ()  # alternatives; each match holds one of them, in any case
 
+    @property
+    def literals(self) -> tuple[str, ...]:
+        return mandatory(self.pattern)
+
+
+# A key reaches to its END line. Where that is missing, to the end of its base64 lines: long
+# ones, parted by space, quotes or written line ends, and a short one that fills a line.
+_PEM_GAP = r"""(?:\\[nrt]|[\s"'+,;#*>])++"""
+_PEM = (
+    r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----"
+    r"(?:[^-]*+(?:-{1,4}[^-]++)*+-----END \1PRIVATE KEY-----"
+    rf"|(?:{_PEM_GAP}(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+"
+    rf"""(?:(?:{_PEM_GAP}[A-Za-z0-9+/]{{16,}}+={{0,2}}+)++(?:(?:\r?\n|\\n)[A-Za-z0-9+/]++={{0,2}}+(?![ \t]*[^\s\\"']))?+)?+)"""
+)
 
 # The three base kinds.
 BASE = (
@@ -34,15 +110,14 @@ BASE = (
         r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
         2,
         12,
-        ("password", "passwd", "secret", "token", "apikey", "api_key"),
     ),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 18, ("akia",)),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", r"[0-9a-f]+", 0, 16),
 )
 EXTRA = (
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1, ("-----begin ",)),
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+", 0, 24, ("eyj",)),
+    Rule("pem", _PEM),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+", 0, 24),
 )
 
 

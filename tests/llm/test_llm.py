@@ -79,6 +79,35 @@ def test_secret_spans(spark):
     assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_whole_keys_are_masked(spark):
+    import corpus_pipeline
+
+    body = "\n".join("MIIEpAIBAAKCAQEA0Z3VS5JJcds3xfn/ygWyF8PbnGy0AHB7MhgwMbRvI0MBZhpI"[i:] for i in range(4)) + "\nQ2hhcg=="
+    begin, end = "-----BEGIN {}PRIVATE KEY-----", "-----END {}PRIVATE KEY-----"
+    whole = {n: f"{begin.format(n)}\n{body}\n{end.format(n)}" for n in ("RSA ", "")}
+    headed = whole["RSA "].replace("KEY-----\n", "KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n", 1)
+    cut = begin.format("EC ") + "\n" + body
+    texts = {
+        1: (f"a {whole['RSA ']} b", "a [secret] b"), 2: (f"{whole['']}\n{whole['RSA ']}", "[secret]\n[secret]"), 3: (headed, "[secret]"),
+        4: (cut + "\nand so on", "[secret]\nand so on"), 12: (cut[:-9] + "\nand so on", "[secret]\nand so on"), 5: (f"k = '{whole['']}'".replace("\n", "\\n"), "k = '[secret]'"),
+        6: (begin.format("") + " is a marker", "[secret] is a marker"), 7: (cut + "\n" + whole["RSA "], "[secret]\n[secret]"), 8: (body, body),
+        9: (f"{cut}\n\n{end.format('RSA ')}", f"[secret]\n\n{end.format('RSA ')}"), 10: ("x " + cut.replace("\n", " ")[:120] + " rest", "x [secret] rest"),
+        11: (begin.format("") + "\n" + "- x\n" * 50000, "[secret]\n" + "- x\n" * 50000),
+    }
+    masked = corpus_pipeline.mask_secrets(spark, docs_of(spark, [(i, t) for i, (t, _) in texts.items()]), "")
+    assert {r.doc_id: r.text for r in masked.collect()} == {i: w for i, (_, w) in texts.items()}
+
+
+def test_literals_follow_the_pattern():
+    found = {r.kind: r.literals for r in secrets.BASE + secrets.EXTRA}
+    assert found == {
+        "assign": ("api_key", "apikey", "passwd", "password", "secret", "token"), "access": ("akia",), "hex": (), "pem": ("private key-----",),
+        "github": ("gho_", "ghp_", "ghr_", "ghs_", "ghu_"), "jwt": ("eyj",),
+    }
+    assert secrets.mandatory("ab?c") == () and secrets.mandatory("(abc)*x") == () and secrets.mandatory("(?:abc|x+)") == ()
+    assert secrets.mandatory("x*(?:FOO|barn)+[0-9]") == ("barn", "foo") and secrets.mandatory("(abc)?defg") == ("abcdefg", "defg")
+
+
 def test_packing_round_trip(spark):
     texts = [(1, None), (2, ""), (3, LONG), (3, LONG), (4, "a b c")] + [(10 + i, " ".join(WORDS[: 3 * i + 1])) for i in range(60)]
     rows = packing.pack(docs_of(spark, texts), "byte_bpe_50k.json").collect()
