@@ -27,11 +27,9 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of each SimHash component (of equal rows, one)."""
-    groups = simhash.near_duplicates(docs)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(first, "doc_id", "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """Keep one row of each SimHash component: the smallest doc_id, then text hash; a row
+    without doc_id only if no other is there. Different texts under one doc_id both stay."""
+    return simhash.one_per_component(docs.select(*COLUMNS))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

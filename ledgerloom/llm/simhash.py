@@ -111,6 +111,39 @@ def links(distinct_fps: DataFrame) -> DataFrame:
     return edges.distinct()
 
 
+def rooted(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (distinct fp and more) with the root of each fingerprint's component."""
+    found = roots(links(nodes.select("fp"))).withColumnRenamed("node", "fp")
+    return nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def one_per_component(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
+    """The row of each component with the smallest doc_id, null ids last, then text hash.
+
+    Rows with one doc_id and different texts are judged apart, each in the component of its
+    own text; a component all of whose ids are null keeps one row. Equal rows count once.
+    """
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    key = {
+        "no_id": F.col("doc_id").isNull(),
+        "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
+        "text_hash": F.xxhash64("text"),
+        "rest_hash": F.xxhash64(*rest) if rest else F.lit(0).cast("long"),
+    }
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            values = np.array([fingerprint(t, words_per_shingle) for t in b["text"]], np.uint64)
+            yield b.drop(columns="text").assign(fp=values.view(np.int64))
+
+    keyed = docs.select(*[c.alias(k) for k, c in key.items()], "text")
+    fps = keyed.mapInPandas(run, "no_id boolean, id long, text_hash long, rest_hash long, fp long")
+    nodes = written_table(fps.groupBy("fp").agg(F.min(F.struct(*key)).alias("first")), "nodes")
+    chosen = rooted(nodes).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    marked = docs.withColumns(key)
+    return marked.join(chosen, list(key), "left_semi").dropDuplicates(list(key)).select(*docs.columns)
+
+
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -121,10 +154,9 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
     """
     fps = written_table(fingerprints(docs, words_per_shingle), "fingerprints")
     nodes = written_table(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
-    found = roots(links(nodes.select("fp"))).withColumnRenamed("node", "fp")
-    rooted = nodes.join(found, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
+    grouped = rooted(nodes)
+    smallest = grouped.groupBy("root").agg(F.min("low").alias("component_id"))
+    named = grouped.join(smallest, "root").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return fps.join(named, "fp", "left").select("doc_id", hexed.alias("fingerprint"), "component_id")
 

@@ -266,6 +266,20 @@ def test_main_text_of_mixed_hosts(spark):
     assert got == {1: "story", 2: "text 1", 3: "text 2", 4: "inside", 5: "one", 6: "two"}
 
 
+def test_one_row_per_component(spark):
+    import corpus_pipeline
+
+    other = " ".join(f"sache{i}" for i in range(40))
+    third = " ".join(f"drittes{i}" for i in range(40))
+    big = 2**60 + 1
+    texts = [(1, LONG), (1, other), (1, other), (2, other), (None, third), (None, third), (None, LONG), (big, "alone here now"), (None, None), (9, "")]
+    docs = docs_of(spark, texts).drop("score")
+    for rows in (docs, docs.orderBy(F.desc("text"), F.desc("doc_id")).coalesce(1)):
+        got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.one_per_group(spark, rows, "").collect()), key=str)
+        assert got == sorted([(1, LONG), (1, other), (None, third), (big, "alone here now"), (9, "")], key=str)
+    assert corpus_pipeline.one_per_group(spark, docs.limit(0), "").count() == 0
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
