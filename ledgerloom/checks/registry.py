@@ -28,7 +28,7 @@ SQL_PARTS = {
     "ratio_amt": "CAST(CASE WHEN l_tax <> 0 THEN round(l_extendedprice / round(l_tax * 100) * 100, 6) ELSE l_extendedprice END AS DECIMAL(28,6))",
 }
 
-MODULES = ("basics", "joins", "aggregates", "windows", "merging", "sales", "procurement", "receivables", "stock", "catalogue")
+MODULES = ("basics", "joins", "aggregates", "windows", "merging", "sales", "procurement", "receivables", "stock", "catalogue", "stores")
 
 
 def query(name: str, sql: str | None = None):

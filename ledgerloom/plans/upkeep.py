@@ -1,4 +1,4 @@
-"""Keeping stored tables fresh: newest versions, deltas, slices."""
+"""Keeping stored tables fresh: newest versions, deltas, slices, dated snapshots."""
 
 from __future__ import annotations
 
@@ -8,8 +8,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ledgerloom.operators.merge import upsert
+from ledgerloom.operators.merge import change_flag, upsert
 from ledgerloom.operators.windows import latest_per_key
+from ledgerloom.sources.versions import VersionedTable
 
 
 @dataclass(frozen=True)
@@ -44,6 +45,48 @@ def merged_deltas(
         yield spec.table, upsert(tables[spec.table], newest, [spec.key], insert_new)
 
 
+def refresh_stores(
+    stores: Mapping[str, VersionedTable], specs: Sequence[TableSpec], ties: Mapping[str, Sequence[str]] | None = None
+) -> None:
+    """Reduce every listed stored table to the newest row per key, each in one step."""
+    stored = {spec.table: stores[spec.table].read() for spec in specs}
+    for name, newest in newest_versions(stored, specs, ties):
+        stores[name].publish(newest)
+
+
+def apply_deltas(
+    stores: Mapping[str, VersionedTable], deltas: Mapping[str, DataFrame], specs: Sequence[TableSpec], insert_new: bool = True
+) -> dict[str, list[str]]:
+    """Apply deltas to tables stored by key; returns the buckets rewritten of each table.
+
+    Versions inside a delta are reduced first. A table whose delta fails stays as it was,
+    as do the tables after it.
+    """
+    return {
+        spec.table: stores[spec.table].upsert(latest_per_key(deltas[spec.table], [spec.key], spec.order), insert_new)
+        for spec in specs
+    }
+
+
+def publish_flagged(
+    store: VersionedTable,
+    status: DataFrame,
+    run: str,
+    key: Sequence[str],
+    text_cols: Sequence[str],
+    int_cols: Mapping[str, int | None],
+    name: str = "changed",
+) -> DataFrame:
+    """Publish a run's status rows, flagged against the last run before it.
+
+    ``run`` orders the runs (a date as text). A repeated run is flagged against the same
+    earlier one as the first time, not against itself; the first run meets no rows.
+    """
+    earlier = store.before(run)
+    flagged = change_flag(status, status.limit(0) if earlier is None else earlier, key, text_cols, int_cols, name)
+    return store.read(store.publish(flagged, label=run))
+
+
 def previous_month(as_of: str) -> str:
     """Month (``yyyy-MM``) of the day before ``as_of``."""
     return (dt.date.fromisoformat(as_of) - dt.timedelta(days=1)).strftime("%Y-%m")

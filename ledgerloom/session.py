@@ -68,6 +68,13 @@ def written_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted like the tables of ``written_table``."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def drop_written(spark: SparkSession, keep: int = 0) -> None:
     """Delete the tables written by ``written_table``, but for the first ``keep``."""
     conf = spark._jsparkSession.sessionState().newHadoopConf()

@@ -8,19 +8,23 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ledgerloom.sources.versions import VersionedTable
+
 
 @dataclass(frozen=True)
 class Catalog(Mapping[str, DataFrame]):
     """Logical table name to DataFrame.
 
-    A name resolves to its entry in ``paths`` (parquet), else in ``tables`` (metastore),
-    else to ``<root>/<name>.parquet``.
+    A name resolves to its entry in ``stores`` (the newest version of a versioned table),
+    else in ``paths`` (parquet), else in ``tables`` (metastore), else to
+    ``<root>/<name>.parquet``.
     """
 
     spark: SparkSession
     root: str | None = None
     paths: Mapping[str, str] = field(default_factory=dict)
     tables: Mapping[str, str] = field(default_factory=dict)
+    stores: Mapping[str, str] = field(default_factory=dict)
     _opened: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -30,6 +34,8 @@ class Catalog(Mapping[str, DataFrame]):
         return self._opened[name]
 
     def _open(self, name: str) -> DataFrame:
+        if name in self.stores:
+            return VersionedTable(self.spark, self.stores[name]).read()
         if name in self.paths:
             return self.spark.read.parquet(self.paths[name])
         if name in self.tables:
@@ -39,10 +45,10 @@ class Catalog(Mapping[str, DataFrame]):
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
     def __iter__(self) -> Iterator[str]:
-        return iter({**self.paths, **self.tables})
+        return iter({**self.stores, **self.paths, **self.tables})
 
     def __len__(self) -> int:
-        return len({**self.paths, **self.tables})
+        return len({**self.stores, **self.paths, **self.tables})
 
 
 @dataclass(frozen=True)
