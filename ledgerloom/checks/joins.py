@@ -240,13 +240,11 @@ def full_outer_net(t: Tables) -> DataFrame:
 
 @query(
     "full_join_split",
-    """SELECT o_orderkey, event_id, o_custkey, user_id FROM (SELECT * FROM orders WHERE o_orderstatus = 'P')
-       FULL JOIN (SELECT * FROM events WHERE event_type = 'purchase') ON o_custkey = user_id""",
+    """SELECT o_orderkey, event_id, o_custkey, user_id FROM orders FULL JOIN events ON o_custkey = user_id""",
 )
 def full_join_split_query(t: Tables) -> DataFrame:
-    pending = t["orders"].where("o_orderstatus = 'P'").select("o_orderkey", "o_custkey")
-    bought = purchases(t).select("event_id", "user_id")
-    return full_join_split(pending, bought, {"o_custkey": "user_id"}).select("o_orderkey", "event_id", "o_custkey", "user_id")
+    """All orders against all events; a customer's orders meet all of a user's events."""
+    return full_join_split(t["orders"].select("o_orderkey", "o_custkey"), t["events"].select("event_id", "user_id"), {"o_custkey": "user_id"})
 
 
 @query(

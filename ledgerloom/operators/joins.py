@@ -96,16 +96,48 @@ def not_in(df: DataFrame, col: str, sub: DataFrame, sub_col: str) -> DataFrame:
     return kept.where((counted["all"] == 0) | ((counted["nulls"] == 0) & F.col(col).isNotNull()))
 
 
+#: Stand-in rows that take the rows without a partner; they spread over as many tasks, and
+#: adaptive execution splits those further.
+SPARES = 1024
+
+
+def spare(*cols: Column) -> Column:
+    """Number of the stand-in that takes a row, the same whenever the row is computed anew."""
+    return F.pmod(F.xxhash64(*cols), F.lit(SPARES))
+
+
 def full_join_split(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFrame:
-    """Full outer join as matched pairs plus the unmatched rows of each side.
+    """Full outer join as one inner join in which every row has a partner.
 
-    Adaptive execution can split a hot key of an inner or anti join, whichever side has
-    it, but not of a full outer join. Column names of the two sides must differ.
+    Adaptive execution can split a hot key of an inner join, whichever side has it, but not
+    of a full outer join. One aggregate over the keys of both sides finds those that only
+    one side has; a stand-in row without values joins the other side for each. Rows with a
+    NULL key, which match nothing, share numbered stand-ins. Column names of the two sides
+    must differ.
     """
-    pairs = left.join(right, [left[a] == right[b] for a, b in on.items()])
-    only_left = anti_by(left, right, on)
-    only_right = anti_by(right, left, {b: a for a, b in on.items()})
-    return pairs.unionByName(only_left, allowMissingColumns=True).unionByName(only_right, allowMissingColumns=True)
+    spark, keys = left.sparkSession, {f"__k{i}": pair for i, pair in enumerate(on.items())}
+
+    def tagged(df: DataFrame, cols: Sequence[str], tag: int) -> DataFrame:
+        return df.where(all_present(cols)).select(*[F.col(c).alias(k) for k, c in zip(keys, cols)], F.lit(tag).alias("__sides"))
+
+    def whole(df: DataFrame, cols: Sequence[str], first: int) -> DataFrame:
+        """Rows with join keys apart from their own columns, and stand-ins of NULL keys."""
+        whole_key = all_present(cols)
+        plain = [F.col(c) for c, kind in df.dtypes if not kind.startswith(("map", "variant"))]
+        number = F.when(whole_key, F.lit(-1)).otherwise(spare(*plain) + first)
+        return df.select(number.alias("__spare"), *[F.when(whole_key, F.col(c)).alias(k) for k, c in zip(keys, cols)], "*")
+
+    numbers = spark.range(SPARES)
+    sides = tagged(left, list(on), 1).unionByName(tagged(right, list(on.values()), 2)).groupBy(*keys).agg(F.bit_or("__sides").alias("__sides"))
+    only_left = sides.where("__sides = 1").select(F.lit(-1).alias("__spare"), *keys)
+    only_right = sides.where("__sides = 2").select(F.lit(-1).alias("__spare"), *keys)
+    a = whole(left, list(on), 0).unionByName(only_right, allowMissingColumns=True)
+    a = a.unionByName(numbers.select((F.col("id") + SPARES).alias("__spare")), allowMissingColumns=True)
+    b = whole(right, list(on.values()), SPARES).unionByName(only_left, allowMissingColumns=True)
+    b = b.unionByName(numbers.select(F.col("id").alias("__spare")), allowMissingColumns=True)
+    b = b.withColumnsRenamed({k: f"{k}r" for k in ["__spare", *keys]})
+    same = [F.col("__spare") == F.col("__sparer"), *[F.col(k).eqNullSafe(F.col(f"{k}r")) for k in keys]]
+    return a.join(b, same).select(*left.columns, *right.columns)
 
 
 def membership_join(

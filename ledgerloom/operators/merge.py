@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.scalars import int_part
-from ledgerloom.operators.joins import all_present
+from ledgerloom.operators.joins import SPARES, all_present, spare
 
 
 def upsert(base: DataFrame, delta: DataFrame, key: Sequence[str], insert_new: bool = True) -> DataFrame:
@@ -70,7 +70,9 @@ def outer_chain(
 
     No outer join is planned, as rows absent from one side would all meet on a NULL key:
     the facts are stacked and grouped once by key, and each key is unfolded into its rows.
-    Keys with a NULL part match nothing and stay single rows.
+    Keys with a NULL part match nothing and stay single rows. The rows of the last fact are
+    then placed by one inner join, whose hot keys can be split on either side: rows that
+    the last fact has no part in join numbered stand-ins.
     """
     if key_rule not in ("neighbour", "first"):
         raise ValueError(key_rule)
@@ -78,12 +80,13 @@ def outer_chain(
     last = len(facts) - 1
     if set(single_lines) - {names[last]}:
         raise ValueError("only the last fact may repeat its keys")
-    lines = facts[last][0].select(*keys, names[last])
 
     stacked = None
     for i, (frame, measure) in enumerate(facts):
         value = F.struct(measure) if i < last else F.lit(True)
-        part = frame.select(*keys, *[value.alias(f"__{j}") if j == i else F.lit(None).alias(f"__{j}") for j in range(last + 1)])
+        # A row with a NULL key part is a group of its own, but for rows of the last fact.
+        own = F.lit(0) if i == last else F.when(all_present(keys), F.lit(0)).otherwise(F.monotonically_increasing_id() + 1)
+        part = frame.select(*keys, own.cast("long").alias("__own"), *[value.alias(f"__{j}") if j == i else F.lit(None).alias(f"__{j}") for j in range(last + 1)])
         stacked = part if stacked is None else stacked.unionByName(part)
     present = [F.col(f"__{i}").isNotNull() for i in range(last + 1)]
 
@@ -95,7 +98,13 @@ def outer_chain(
         twice = F.raise_error(F.lit(f"{names[i]}: a key occurs twice"))
         return F.when(F.count(f"__{i}") <= 1, value).otherwise(twice.cast(stacked.schema[f"__{i}"].dataType))
 
-    found = stacked.where(all_present(keys)).groupBy(*keys).agg(*[once(i).alias(f"__{i}") for i in range(last + 1)])
+    found = stacked.groupBy(*keys, "__own").agg(*[once(i).alias(f"__{i}") for i in range(last + 1)])
+
+    def row(values: Sequence[Column], joined: Column) -> Column:
+        return F.struct(*[v.alias(n) for v, n in zip(values, names)], joined.alias("__joined"))
+
+    def measure(i: int) -> Column:
+        return F.col(f"__{i}")[names[i]]
 
     def unfolded(start: int) -> Column:
         """The row that begins with fact ``start``, NULL if none does."""
@@ -109,19 +118,20 @@ def outer_chain(
             begins = present[0] if start == 0 else present[start] & ~present[0]
             held = [present[i] if start == 0 else F.lit(i == start) for i in range(last)]
             joined = present[last] if start == 0 else F.lit(False)
-        values = [F.when(held[i], F.col(f"__{i}")[names[i]]).alias(names[i]) for i in range(last)]
-        return F.when(begins, F.struct(*values, joined.alias("__joined")))
-
-    none = F.lit(None).cast(lines.schema[names[last]].dataType).alias(names[last])
-    rows = found.select(*keys, F.inline(F.array_compact(F.array(*[unfolded(i) for i in range(last)]))))
-    apart = rows.where("not __joined").select(*keys, *names[:last], none)
-    # A left join may be split on its left side, where the hot keys are.
-    met = rows.where("__joined").select(*[F.col(k).alias(f"__{k}") for k in keys], *names[:last])
-    placed = lines.join(met, [F.col(k) == F.col(f"__{k}") for k in keys], "left").select(*keys, *names)
-    # Rows of the last fact without a whole key are in ``placed`` already.
-    alone = stacked.where(~all_present(keys) & ~present[last])
-    alone = alone.select(*keys, *[F.col(f"__{i}")[names[i]].alias(names[i]) for i in range(last)], none)
-    out = apart.unionByName(placed).unionByName(alone)
+        return F.when(begins, row([F.when(held[i], measure(i)) for i in range(last)], joined))
+
+    # Rows of the last fact that no other fact has a row for join a row without measures.
+    meets = last - 1 if key_rule == "neighbour" else 0
+    bare = F.when(present[last] & ~present[meets], row([F.when(F.lit(False), measure(i)) for i in range(last)], F.lit(True)))
+    rows = found.select(*keys, "__own", F.inline(F.array_compact(F.array(*[unfolded(i) for i in range(last)], bare))))
+    number = F.when(F.col("__joined"), F.lit(-1)).otherwise(spare(F.col("__own"), *[F.col(k) for k in keys]))
+    rows = rows.select(*keys, *names[:last], number.alias("__spare"), *[F.when(F.col("__joined"), F.col(k)).alias(f"__{k}") for k in keys])
+
+    lines = facts[last][0].select(F.lit(-1).alias("__no"), *[F.col(k).alias(f"__to_{k}") for k in keys], names[last])
+    numbers = lines.sparkSession.range(SPARES).select(F.col("id").alias("__no"))
+    lines = lines.unionByName(numbers, allowMissingColumns=True)
+    same = [F.col("__spare") == F.col("__no"), *[F.col(f"__{k}").eqNullSafe(F.col(f"__to_{k}")) for k in keys]]
+    out = rows.join(lines, same).select(*keys, *names)
 
     kinds = dict(facts[0][0].dtypes)
     picked = [F.nullif(F.col(k), F.lit("")).alias(k) if blank_keys and kinds[k] == "string" else F.col(k) for k in keys]

@@ -44,9 +44,18 @@ def test_semi_and_anti_with_repeated_keys(spark, rows):
 
 def test_full_join_split_equals_full_join(spark, rows):
     left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "x int, l string")
-    right = spark.createDataFrame([(1, "p"), (1, "q"), (3, "r"), (None, "s")], "y int, r string")
-    got = j.full_join_split(left, right, {"x": "y"})
-    assert rows(got, "x", "l", "y", "r") == rows(left.join(right, left.x == right.y, "full"), "x", "l", "y", "r")
+    right = spark.createDataFrame([(1, "p"), (1, "q"), (3, "r"), (None, "s"), (None, "s")], "y int, r string")
+    for a, b in ((left, right), (left.limit(0), right), (left, right.limit(0)), (left.limit(0), right.limit(0))):
+        got = j.full_join_split(a, b, {"x": "y"})
+        assert rows(got, "x", "l", "y", "r") == rows(a.join(b, a.x == b.y, "full"), "x", "l", "y", "r")
+
+
+def test_full_join_split_on_two_keys(spark, rows):
+    left = spark.createDataFrame([(1, "a", 5), (1, None, 6), (None, None, 7), (2, "b", 8)], "x int, s string, l int")
+    right = spark.createDataFrame([("a", 1, 50), (None, 1, 60), ("b", 3, 70)], "t string, y int, r int")
+    got = j.full_join_split(left, right, {"x": "y", "s": "t"})
+    assert got.columns == ["x", "s", "l", "t", "y", "r"]
+    assert rows(got) == rows(left.join(right, (left.x == right.y) & (left.s == right.t), "full"))
 
 
 def test_membership_join(spark, rows):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.checks import all_queries
 from ledgerloom.operators import joins as j
+from ledgerloom.operators import merge as m
 from ledgerloom.operators import windows as w
 
 FOLDER = "/root/testdata/sf0.001"
@@ -118,6 +119,22 @@ def test_hot_full_join_is_split(small_skew):
     assert out.count() == left.join(right, left.x == right.y, "full").count()
 
 
+def test_full_join_reads_its_keys_once(shuffled):
+    """Two scans of rows and one key table, whose shuffle both sides use."""
+    plan = plan_of_final(QUERIES["full_join_split"](shuffled, "/root/testdata/sf0.001"))
+    final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert "ReusedExchange" in final and "FullOuter" not in final
+
+
+@pytest.mark.parametrize("rule", ["neighbour", "first"])
+def test_hot_line_of_a_chain_is_split(small_skew, rule):
+    facts = [(small_skew.range(6_000).select(F.col("id").alias("k"), F.lit(1).alias(n)), n) for n in "abc"]
+    lines = hot_children(small_skew).select("k", F.struct("v", "pad").alias("d"))
+    out = m.outer_chain([*facts, (lines, "d")], ["k"], rule, single_lines=["d"])
+    assert "skew=true" in plan_of_final(out)
+    assert out.count() == 60_000 + 1_000
+
+
 def test_key_and_period_reach_the_scan(spark):
     assert "EqualTo(l_orderkey,7)" in plan_of(QUERIES["point_lookup"](spark, FOLDER))
     for name in ("ledger_period", "ledger_ytd"):
@@ -125,6 +142,12 @@ def test_key_and_period_reach_the_scan(spark):
         assert "GreaterThanOrEqual(o_orderdate,2000-0" in plan and "LessThan(o_orderdate,2" in plan
 
 
+SCANS = {"outer_chain_asis": 5, "outer_chain_first": 5, "purchase_amounts": 12, "daily_workload": 5}
+
+
 @pytest.mark.parametrize("name", ["outer_chain_asis", "outer_chain_first", "purchase_amounts", "daily_workload"])
 def test_chains_plan_no_full_join(shuffled, name):
-    assert "FullOuter" not in plan_of(QUERIES[name](shuffled, FOLDER))
+    """Each fact is read once, and the keys of the last one besides."""
+    plan = plan_of(QUERIES[name](shuffled, FOLDER))
+    assert "FullOuter" not in plan
+    assert plan.count("FileScan") <= SCANS[name]
