@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import base64
 import functools
-from array import array
+import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,50 +29,64 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import table
 
-#: States, remembered pieces and remembered decoder moves kept per Python worker; a full
-#: memory is cleared, which costs time and changes nothing.
-REMEMBERED = 1 << 18
+#: States, pairs of tokens, decoder moves and pieces kept per Python worker; what a full
+#: memory lacks is found anew, which costs time and changes nothing.
+REMEMBERED, PIECES = 1 << 16, 1 << 18
+#: Inputs that meet a state without the move they need before moves are compiled.
+VISITS = 2
 _WHOLE = 1 << 20
+_NONE = np.zeros(0, np.int32)
 
 
 class Merges:
-    """Tokens with their ranks, and which two may stand side by side."""
+    """Tokens with their ranks, the trie of those that merges make, and which two may stand
+    side by side."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
-        self.starts = {t[:i] for t in ranks for i in range(1, len(t))}
-        self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
+        self.halves: dict[bytes, tuple[bytes, bytes]] = {}
         self._sides: dict[tuple[bytes, int], list[tuple[bytes, float, float]]] = {}
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
+        #: Nodes by parent and byte, the token of a node (-1: none), whether it has children.
+        self.trie: dict[int, int] = {}
+        self.token_at, self.open_at = [-1], [True]
+        for token, rank in ranks.items():
+            parts = self.merged(token, rank) if len(token) > 1 else []
+            if len(parts) == 2:
+                self.halves[token] = (parts[0], parts[1])
+            elif len(token) > 1:
+                continue  # no merges make it, so it is only ever a whole piece
+            node = 0
+            for byte in token:
+                self.open_at[node] = True
+                edge = node << 8 | byte
+                node = self.trie.get(edge, -1)
+                if node < 0:
+                    node = self.trie[edge] = len(self.token_at)
+                    self.token_at.append(-1)
+                    self.open_at.append(False)
+            self.token_at[node] = rank
 
     def merged(self, data: bytes, below: float = float("inf")) -> list[bytes]:
         """``data`` after all merges of a rank under ``below``, lowest rank and leftmost first."""
         parts = [data[i : i + 1] for i in range(len(data))]
         while len(parts) > 1:
-            rank, at = min((self.ranks.get(a + b, below), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            ranks = [self.ranks.get(a + b, below) for a, b in zip(parts, parts[1:])]
+            rank = min(ranks)
             if rank >= below:
                 break
+            at = ranks.index(rank)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def halves(self, token: bytes) -> tuple[bytes, bytes] | None:
-        """The two parts the token is merged from; None for one byte and for tokens no merge makes."""
-        if token not in self._halves:
-            parts = self.merged(token, self.ranks[token]) if len(token) > 1 else []
-            self._halves[token] = (parts[0], parts[1]) if len(parts) == 2 else None
-        return self._halves[token]
-
-    def made(self, token: bytes) -> bool:
-        return token in self.ranks and (len(token) == 1 or self.halves(token) is not None)
-
     def _side(self, token: bytes, side: int) -> list[tuple[bytes, float, float]]:
         """Outermost parts of a token on one side, each with the ranks that make and take it."""
         key = (token, side)
         if key not in self._sides:
             out, taken = [], float("inf")
             while True:
-                halves = self.halves(token)
+                halves = self.halves.get(token)
                 made = self.ranks[token] if halves else -1
                 out.append((token, made, taken))
                 if not halves:
@@ -83,86 +97,141 @@ class Merges:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether BPE leaves the two tokens apart."""
-        key = (left, right)
-        if key not in self._fits:
+        key = left << 32 | right
+        found = self._fits.get(key)
+        if found is None:
             if len(self._fits) >= 4 * REMEMBERED:
                 self._fits.clear()
-            self._fits[key] = not any(self._crossings(self.tokens[left], self.tokens[right]))
-        return self._fits[key]
+            found = self._fits[key] = not self._cross(self.tokens[left], self.tokens[right])
+        return found
 
-    def _crossings(self, left: bytes, right: bytes) -> Iterator[bool]:
+    def _cross(self, left: bytes, right: bytes) -> bool:
+        ranks, starts = self.ranks, self._side(right, 0)
         for x, x_made, x_taken in self._side(left, 1):
-            for y, y_made, y_taken in self._side(right, 0):
-                rank = self.ranks.get(x + y)
+            for y, y_made, y_taken in starts:
+                rank = ranks.get(x + y)
                 # Of equal ranks the leftmost merges first: that inside ``left`` before the
                 # crossing one, the crossing one before that inside ``right``.
-                yield rank is not None and rank < x_taken and rank <= y_taken and x_made < y_taken and y_made < x_taken
+                if rank is not None and rank < x_taken and rank <= y_taken and x_made < y_taken and y_made < x_taken:
+                    return True
+        return False
+
+
+#: A guess: last token (-1: none), trie node of the open bytes, tokens not yet emitted.
+Guess = tuple[int, int, tuple[int, ...]]
 
 
 class _State:
-    __slots__ = ("guesses", "moves", "rest")
+    __slots__ = ("guesses", "moves", "rest", "seen")
 
-    def __init__(self, guesses: tuple):
-        self.guesses = guesses  # (last token, open bytes, tokens not yet emitted)
+    def __init__(self, guesses: tuple[Guess, ...]):
+        self.guesses = guesses
         self.moves: dict[int, tuple[tuple[int, ...], _State]] = {}
-        self.rest = next((held for _, begun, held in guesses if not begun), ())
+        self.rest = guesses[-1][2]
+        self.seen = 0
+
+
+def _agreed(guesses: list[Guess]) -> int:
+    """How many tokens all guesses have written alike."""
+    least, most = min(g[2] for g in guesses), max(g[2] for g in guesses)
+    size = 0
+    while size < len(least) and least[size] == most[size]:
+        size += 1
+    return size
 
 
 class Transducer:
-    """Deterministic transducer from bytes to token ids, built as inputs ask for it."""
+    """Deterministic transducer from bytes to token ids, built as inputs ask for it.
+
+    Moves of a state are compiled once ``VISITS`` inputs lacked one, while there is room;
+    other input runs through the guesses themselves.
+    """
 
     def __init__(self, merges: Merges):
         self.merges = merges
-        self.start = _State(((-1, b"", ()),))
-        self.states: dict[tuple, _State] = {}
+        self.start = _State(((-1, 0, ()),))
+        self.states: dict[tuple[Guess, ...], _State] = {}
+
+    def _read(self, guesses: Iterable[Guess], data: bytes) -> list[Guess]:
+        """The guesses after more bytes: those with open bytes, oldest first, and the one that
+        has none. There is always one such, as BPE splits every text in one way."""
+        m = self.merges
+        child, token_at, open_at, fits, known = m.trie.get, m.token_at, m.open_at, m.fits, m._fits.get
+        for byte in data:
+            out, whole = [], None
+            for last, node, held in guesses:
+                node = child(node << 8 | byte)
+                if node is None:
+                    continue
+                if whole is None:
+                    token = token_at[node]
+                    if token >= 0:
+                        fit = last < 0 or known(last << 32 | token)
+                        if fit or (fit is None and fits(last, token)):
+                            whole = (token, 0, held + (token,))
+                if open_at[node]:
+                    out.append((last, node, held))
+            out.append(whole)
+            guesses = out
+        return guesses
 
     def _move(self, state: _State, byte: int) -> tuple[tuple[int, ...], _State]:
-        m, guesses = self.merges, []
-        for last, begun, held in state.guesses:
-            begun += bytes((byte,))
-            if m.made(begun):
-                token = m.ranks[begun]
-                if last < 0 or m.fits(last, token):
-                    guesses.append((token, b"", held + (token,)))
-            if begun in m.starts:
-                guesses.append((last, begun, held))
-        agreed = min(len(held) for _, _, held in guesses)
-        first = guesses[0][2]
-        while any(held[:agreed] != first[:agreed] for _, _, held in guesses):
-            agreed -= 1
-        key = tuple(sorted((last, begun, held[agreed:]) for last, begun, held in guesses))
-        if len(self.states) >= REMEMBERED:
-            self.states.clear()
-            self.start.moves.clear()
-        after = self.states.setdefault(key, _State(key))
-        state.moves[byte] = move = (first[:agreed], after)
+        guesses = self._read(state.guesses, bytes((byte,)))
+        size = _agreed(guesses)
+        emitted = guesses[0][2][:size]
+        key = tuple([(last, node, held[size:]) for last, node, held in guesses] if size else guesses)
+        after = self.states.get(key)
+        if after is None:
+            after = self.states[key] = _State(key)
+        state.moves[byte] = move = (emitted, after)
         return move
 
-    def write(self, data: bytes) -> array:
+    def write(self, data: bytes) -> tuple[int, ...]:
         """Token ids of one piece."""
-        out, state = array("i"), self.start
-        for byte in data:
-            emitted, state = state.moves.get(byte) or self._move(state, byte)
+        out, state = (), self.start
+        for at, byte in enumerate(data):
+            move = state.moves.get(byte)
+            if move is None:
+                state.seen += 1
+                if state.seen < VISITS or len(self.states) >= REMEMBERED:
+                    return out + self._guessed(state.guesses, data[at:])
+                move = self._move(state, byte)
+            emitted, state = move
             if emitted:
-                out.extend(emitted)
-        out.extend(state.rest)
-        return out
+                out += emitted
+        return out + state.rest
+
+    def _guessed(self, guesses: Iterable[Guess], data: bytes) -> tuple[int, ...]:
+        out: list[int] = []
+        while len(data) > 64:
+            guesses = self._read(guesses, data[:64])
+            size = _agreed(guesses)
+            out += guesses[0][2][:size]
+            guesses, data = [(last, node, held[size:]) for last, node, held in guesses], data[64:]
+        return (*out, *self._read(guesses, data)[-1][2])
 
 
 class _Pieces(dict):
-    """Token ids of remembered pieces; a piece that is a token is that token, merged or not."""
+    """Token ids of remembered pieces; a piece that is a token is that token, merged or not.
+
+    When the memory is full its pieces become old ones, and those still old are forgotten.
+    """
 
     def __init__(self, merges: Merges):
         super().__init__()
         self.merges, self.transducer = merges, Transducer(merges)
-
-    def __missing__(self, piece: str) -> array:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        data = piece.encode("utf-8", "replace")
-        whole = self.merges.ranks.get(data)
-        out = self.transducer.write(data) if whole is None else array("i", [whole])
-        if len(data) <= 64:
+        self.old: dict[str, tuple[int, ...]] = {}
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        out = self.old.get(piece)
+        if out is None:
+            data = piece.encode("utf-8", "replace")
+            whole = self.merges.ranks.get(data)
+            out = self.transducer.write(data) if whole is None else (whole,)
+        if len(piece) <= 32:
+            if len(self) >= PIECES:
+                self.old = dict(self)
+                self.clear()
             self[piece] = out
         return out
 
@@ -266,12 +335,9 @@ def _decoder(vocabulary: str) -> Decoder:
     return Decoder(_merges(vocabulary))
 
 
-def encode_text(text: str, vocabulary: str, pattern: str = public_tokenizers.PATTERN) -> array:
+def encode_text(text: str, vocabulary: str, pattern: str = public_tokenizers.PATTERN) -> np.ndarray:
     cut, pieces = _coder(vocabulary, pattern)
-    ids = array("i")
-    for piece in cut(text):
-        ids.extend(pieces[piece])
-    return ids
+    return np.fromiter(itertools.chain.from_iterable(map(pieces.__getitem__, cut(text))), np.int32)
 
 
 def decode_ids(ids: Iterable[int], vocabulary: str) -> str:
@@ -287,11 +353,9 @@ def encode(text: Column, vocabulary: str, pattern: str = public_tokenizers.PATTE
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            ids, ends = array("i"), [0]
-            for text in batch:
-                ids.extend(encode_text(text.as_py() or "", vocabulary, pattern))
-                ends.append(len(ids))
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32) if ids else [], pa.int32()))
+            ids = [encode_text(text.as_py() or "", vocabulary, pattern) for text in batch]
+            ends = np.cumsum([0, *map(len, ids)])
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([_NONE, *ids])))
 
     return F.arrow_udf(run, "array<int>")(text)
 
@@ -301,8 +365,8 @@ def decode(ids: Column, vocabulary: str) -> Column:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            lists = (row.as_py() for row in batch)
-            yield pa.array([None if row is None else decode_ids((i for i in row if i is not None), vocabulary) for row in lists], pa.string())
+            rows = (row.values.drop_null().to_pylist() if row.is_valid else None for row in batch)
+            yield pa.array([None if row is None else decode_ids(row, vocabulary) for row in rows], pa.string())
 
     return F.arrow_udf(run, "string")(ids)
 
