@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,28 +36,32 @@ from ledgerloom.session import written_table
 LONGEST = 5
 #: Bits of the bitmaps of frequent words and pairs; as many small rows reach the driver at most.
 BITMAP_BITS = 1 << 22
-#: Words a shard holds at least before it is counted; a long text is dealt to several shards.
-SHARD_WORDS = 1 << 20
+#: Words and different words at which a shard is counted, and bytes of a text that is cut at once.
+SHARD_WORDS, SHARD_NAMES, TEXT_BYTES = 1 << 22, 1 << 20, 1 << 20
 _ROWS = 1 << 16
+#: Number of a word in a packed n-gram, and what keeps n-grams of two texts apart.
+_FIELD = (1 << 21) - 1
+_GAP = np.zeros(1, np.int32)
 _SEED = 42
-_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
-_TOKEN = re.compile(rb"\n|[^ \n]+")
-_END = b"\n"
+#: Marks the end of a piece; no byte of UTF-8.
+_END = b"\xff"
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + _END * 10 + b" ")
+_TOKEN = re.compile(rb"\xff|[^ \xff]+")
 
 
 def tokens(text: str | None) -> Iterator[tuple[list[bytes], int]]:
     """Words and piece ends of a text in lists of bounded size, each with the number of its
     items that n-grams may begin at; the others begin the next list."""
     data = (text or "").encode("utf-8").translate(_PLAIN)
-    if len(data) <= SHARD_WORDS:
-        found = _TOKEN.findall(data)
+    if len(data) <= TEXT_BYTES:
+        found = data.replace(_END, b" \xff ").split()
         yield found, len(found)
         return
     rest, held = (m[0] for m in _TOKEN.finditer(data)), []
     while True:
-        more = list(itertools.islice(rest, SHARD_WORDS // 2))
+        more = list(itertools.islice(rest, TEXT_BYTES // 2))
         found = held + more
-        begun = len(found) if len(more) < SHARD_WORDS // 2 else len(found) - (LONGEST - 1)
+        begun = len(found) if len(more) < TEXT_BYTES // 2 else len(found) - (LONGEST - 1)
         yield found, begun
         if begun == len(found):
             return
@@ -88,7 +93,7 @@ class Shard:
         self.names, self.langs, self.digests = [b""], [""], [0]
         self.ids: dict[str, _Ids] = {}
         self.parts: list[np.ndarray] = []
-        self.begun: list[np.ndarray] = []
+        self.unbegun: list[np.ndarray] = []
         self.size = 0
 
     def name(self, word: bytes, lang: str, digest: int) -> int:
@@ -101,83 +106,113 @@ class Shard:
         ids = self.ids.get(lang)
         if ids is None:
             ids = self.ids[lang] = _Ids(self, lang)
-        self.parts.append(np.fromiter(map(ids.__getitem__, found), np.int64, len(found)))
-        self.parts.append(np.zeros(LONGEST, np.int64))
-        self.begun.append(np.arange(len(found) + LONGEST) < begun)
-        self.size += len(found)
+        self.parts += [np.fromiter(map(ids.__getitem__, found), np.int32, len(found)), _GAP]
+        if begun < len(found):
+            self.unbegun.append(np.arange(self.size + begun, self.size + len(found)))
+        self.size += len(found) + len(_GAP)
+
+    def full(self) -> bool:
+        return self.size >= SHARD_WORDS or len(self.names) >= SHARD_NAMES
 
     def ngrams(self) -> Iterator[pa.RecordBatch]:
         """(lang, phrase, n) in the order of the words; empties the shard."""
         if not self.parts:
             return
-        ids, begun = np.concatenate(self.parts), np.concatenate(self.begun)
+        ids = np.concatenate(self.parts)
+        linked = (ids[:-1] != 0) & (ids[1:] != 0)
+        if self.pairs is not None:
+            at = np.flatnonzero(linked)
+            digests = np.array(self.digests, np.uint64)
+            linked[at] = self.pairs[((digests[ids[at]] >> np.uint64(7)) ^ digests[ids[at + 1]]) & np.uint64(BITMAP_BITS - 1)]
+        size = (ids != 0).astype(np.int8)
+        for _ in range(self.most - 1):
+            size[:-1] += linked * (size[1:] - size[:-1] + 1)
+        for part in self.unbegun:
+            size[part] = 0
+        at = np.flatnonzero(size >= self.least)
+        size = size[at]
         order = np.array(sorted(range(1, len(self.names)), key=self.names.__getitem__), np.int64)
         rank = np.zeros(len(self.names), np.int64)
         rank[order] = np.arange(1, len(order) + 1)
         names = pa.array([None, *(self.names[i] for i in order)], pa.binary()).cast(pa.string())
         langs = pa.array(["", *(self.langs[i] for i in order)], pa.string()).dictionary_encode()
-        digests = np.array(self.digests, np.uint64)[ids]
-        linked = (ids[:-1] != 0) & (ids[1:] != 0)
-        if self.pairs is not None:
-            linked &= self.pairs[((digests[:-1] >> np.uint64(7)) ^ digests[1:]) & np.uint64(BITMAP_BITS - 1)]
-        ids = rank[ids]
         self.clear()
-        size = np.ones(len(ids), np.int64)
-        for _ in range(self.most - 1):
-            size[:-1] = 1 + linked * size[1:]
-        at = np.flatnonzero(begun & (ids != 0) & (np.minimum(size, self.most) >= self.least))
-        size = np.minimum(size[at], self.most)
-        cols = [np.where(size > j, ids[np.minimum(at + j, len(ids) - 1)], 0) for j in range(LONGEST)]
-        high = cols[0] << 42 | cols[1] << 21 | cols[2]
-        low = cols[3] << 21 | cols[4]
-        order = np.lexsort((low, high))
-        high, low = high[order], low[order]
-        new = np.flatnonzero(np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])])) if len(order) else order
-        counts = np.diff(np.append(new, len(order)))
-        first = order[new]
-        for i in range(0, len(first), _ROWS):
-            rows = first[i : i + _ROWS]
-            parts = [names.take(pa.array(c[rows])) for c in cols[: self.most]]
-            phrase = pc.binary_join_element_wise(*parts, " ", null_handling="skip")
-            lang = langs.take(pa.array(cols[0][rows])).dictionary_decode()
+
+        def word(j: int) -> np.ndarray:
+            return rank[np.where(size > j, ids[np.minimum(at + j, len(ids) - 1)], 0)]
+
+        high = word(0) << 42 | word(1) << 21 | word(2)
+        if self.most <= 3:
+            high, counts = np.unique(high, return_counts=True)
+            low = np.zeros(len(high), np.int64)
+        else:
+            low = word(3) << 21 | word(4)
+            order = np.lexsort((low, high))
+            high, low = high[order], low[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+            new = np.flatnonzero(new)
+            counts = np.diff(np.append(new, len(order)))
+            high, low = high[new], low[new]
+        for i in range(0, len(high), _ROWS):
+            first, second = high[i : i + _ROWS], low[i : i + _ROWS]
+            cols = [(first >> 42), (first >> 21) & _FIELD, first & _FIELD, second >> 21, second & _FIELD]
+            phrase = pc.binary_join_element_wise(*[names.take(pa.array(c)) for c in cols[: self.most]], " ", null_handling="skip")
+            lang = langs.take(pa.array(cols[0])).dictionary_decode()
             yield pa.RecordBatch.from_arrays([lang, phrase, pa.array(counts[i : i + _ROWS], pa.int64())], ["lang", "phrase", "n"])
 
 
 class OpenPath:
-    """The open end of an automaton built from sorted n-grams, ``least`` words and more."""
+    """The open end of an automaton built from sorted n-grams, ``least`` words and more.
+
+    A state's weight is added to that of the state before it when it is closed.
+    """
 
-    def __init__(self, least: int):
-        self.least = least
+    def __init__(self, least_words: int, least: int):
+        self.least_words, self.least = least_words, least
+        self.lang: str | None = None
         self.path: list[str] = []
         self.weights: list[int] = []
-        self.lang: str | None = None
-        self.first: list[bool] = []
-
-    def close(self, keep: int, ends: bool = False) -> Iterator[tuple[str, str, int, bool]]:
-        """(lang, phrase, weight, whether it may go on in another range) of states left behind."""
-        while len(self.path) > keep:
-            if len(self.path) >= self.least:
-                yield self.lang, " ".join(self.path), self.weights[-1], ends or self.first[-1]
-            self.path.pop(), self.weights.pop(), self.first.pop()
-
-    def add(self, lang: str, phrase: list[str], n: int) -> Iterator[tuple[str, str, int, bool]]:
-        shared, start = 0, self.lang is None
+        self.first = 0  # states that were opened by the first n-gram
+        self.closed: list[tuple[str, str, int]] = []
+
+    def close(self, keep: int, ends: bool = False) -> None:
+        """Leave all states but the first ``keep``. States on the first or last path of a
+        range may have weight elsewhere, and are kept whatever their own is."""
+        path, weights = self.path, self.weights
+        while len(path) > keep:
+            weight, size = weights.pop(), len(path)
+            if size >= self.least_words and (weight >= self.least or ends or size <= self.first):
+                self.closed.append((self.lang, " ".join(path), weight))
+            path.pop()
+            if weights:
+                weights[-1] += weight
+        self.first = min(self.first, keep)
+
+    def add(self, lang: str, phrase: str, n: int) -> None:
+        words, path, shared = phrase.split(" "), self.path, 0
         if lang == self.lang:
-            while shared < min(len(phrase), len(self.path)) and phrase[shared] == self.path[shared]:
+            for a, b in zip(words, path):
+                if a != b:
+                    break
                 shared += 1
-        yield from self.close(shared)
+        if shared < len(path):
+            self.close(shared)
+        if self.lang is None:
+            self.first = len(words)
         self.lang = lang
-        for word in phrase[shared:]:
-            self.path.append(word)
-            self.weights.append(0)
-            self.first.append(start)
-        self.weights = [w + n for w in self.weights]
+        more = words[shared:]
+        path += more
+        self.weights += [0] * len(more)
+        self.weights[-1] += n
 
 
-def _joined(rows: list[tuple]) -> pa.RecordBatch:
+def _drained(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows)) or [(), (), ()]
     kinds = {"lang": pa.string(), "phrase": pa.string(), "n": pa.int64()}
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds.values())], list(kinds))
+    out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds.values())], list(kinds))
+    rows.clear()
+    return out
 
 
 def united(shards: DataFrame, least_words: int, least: int) -> DataFrame:
@@ -185,19 +220,19 @@ def united(shards: DataFrame, least_words: int, least: int) -> DataFrame:
     of ``shards`` (lang, phrase, n) whose weights add up to ``least``."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_, out = OpenPath(least_words), []
+        open_ = OpenPath(least_words, least)
         for batch in batches:
             for lang, phrase, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for row in open_.add(lang, phrase.split(" "), n):
-                    if row[3] or row[2] >= least:
-                        out.append(row[:3])
-            if len(out) >= _ROWS:
-                yield _joined(out)
-                out = []
-        out += [row[:3] for row in open_.close(0, ends=True)]
-        yield _joined(out)
-
-    key = [F.col("lang"), F.split("phrase", " ")]
+                open_.add(lang, phrase, n)
+            if len(open_.closed) >= _ROWS:
+                yield _drained(open_.closed)
+        open_.close(0, ends=True)
+        yield _drained(open_.closed)
+
+    # Sorted as lists of words: the space between words becomes the least byte, which words
+    # do not hold once it is spelled with two others.
+    spelled = F.replace(F.replace("phrase", F.lit("\x01"), F.lit("\x01\x02")), F.lit("\x00"), F.lit("\x01\x01"))
+    key = [F.col("lang"), F.replace(spelled, F.lit(" "), F.lit("\x00"))]
     ranges = shards.repartitionByRange(*key).sortWithinPartitions(*key)
     states = ranges.mapInArrow(build, "lang string, phrase string, n long")
     return states.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
@@ -206,29 +241,24 @@ def united(shards: DataFrame, least_words: int, least: int) -> DataFrame:
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, phrase, f) of all words of ``docs`` (lang, text)."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, dict[bytes, int]] = {}
-        held = 0
-
-        def drained() -> Iterator[pa.RecordBatch]:
-            for lang, counts in sums.items():
-                counts.pop(_END, None)
-                names = pa.array(list(counts), pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(names), pa.string()), names, pa.array(list(counts.values()), pa.int64())], ["lang", "phrase", "n"])
-            sums.clear()
+    def drained(sums: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, counts in sums.items():
+            counts.pop(_END, None)
+            names = pa.array(list(counts), pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(names), pa.string()), names, pa.array(list(counts.values()), pa.int64())], ["lang", "phrase", "n"])
+        sums.clear()
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
-                counts = sums.setdefault(lang.as_py(), {})
-                before = len(counts)
+                counts = sums.setdefault(lang.as_py(), Counter())
                 for found, begun in tokens(text.as_py()):
-                    for word in itertools.islice(found, begun):
-                        counts[word] = counts.get(word, 0) + 1
-                held += len(counts) - before
-                if held >= SHARD_WORDS:
-                    yield from drained()
-                    held = 0
-        yield from drained()
+                    counts.update(found if begun == len(found) else found[:begun])
+                    if sum(map(len, sums.values())) >= SHARD_NAMES:
+                        yield from drained(sums)
+                        counts = sums.setdefault(lang.as_py(), Counter())
+        yield from drained(sums)
 
     return docs.mapInArrow(count, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
 
@@ -244,7 +274,7 @@ def ngram_counts(docs: DataFrame, least_words: int, most_words: int, words: np.n
             for lang, text in zip(batch.column(0), batch.column(1)):
                 for found, begun in tokens(text.as_py()):
                     shard.add(lang.as_py(), found, begun)
-                    if shard.size >= SHARD_WORDS:
+                    if shard.full():
                         yield from shard.ngrams()
         yield from shard.ngrams()
 
