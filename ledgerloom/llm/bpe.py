@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import base64
 import functools
-import itertools
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -68,6 +68,11 @@ class Merges:
                     self.open_at.append(False)
             self.token_at[node] = rank
 
+    @functools.cached_property
+    def whole(self) -> dict[int, str]:
+        decoded = {i: token.decode("utf-8", "ignore") for i, token in self.tokens.items()}
+        return {i: text for i, text in decoded.items() if text.encode() == self.tokens[i]}
+
     def merged(self, data: bytes, below: float = float("inf")) -> list[bytes]:
         """``data`` after all merges of a rank under ``below``, lowest rank and leftmost first."""
         parts = [data[i : i + 1] for i in range(len(data))]
@@ -212,7 +217,8 @@ class Transducer:
 
 
 class _Pieces(dict):
-    """Token ids of remembered pieces; a piece that is a token is that token, merged or not.
+    """Token ids of remembered pieces, as 32-bit numbers; a piece that is a token is that
+    token, merged or not.
 
     When the memory is full its pieces become old ones, and those still old are forgotten.
     """
@@ -220,14 +226,14 @@ class _Pieces(dict):
     def __init__(self, merges: Merges):
         super().__init__()
         self.merges, self.transducer = merges, Transducer(merges)
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> bytes:
         out = self.old.get(piece)
         if out is None:
             data = piece.encode("utf-8", "replace")
             whole = self.merges.ranks.get(data)
-            out = self.transducer.write(data) if whole is None else (whole,)
+            out = array("i", self.transducer.write(data) if whole is None else (whole,)).tobytes()
         if len(piece) <= 32:
             if len(self) >= PIECES:
                 self.old = dict(self)
@@ -278,6 +284,8 @@ class Decoder:
     def __init__(self, merges: Merges):
         self.tokens = merges.tokens
         self.moves: dict[tuple[bytes, int], tuple[str, bytes]] = {}
+        #: Text of the tokens that leave the machine as they find it, between two characters.
+        self.whole = merges.whole
 
     @staticmethod
     def _byte(held: bytes, byte: int) -> tuple[str, bytes]:
@@ -297,25 +305,32 @@ class Decoder:
         size = 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
         return ("", held) if len(held) < size else (held.decode(), b"")
 
+    def _token(self, i: int, held: bytes = b"") -> tuple[str, bytes]:
+        text = ""
+        for byte in self.tokens.get(i, b"\xff"):
+            more, held = self._byte(held, byte)
+            text += more
+        return text, held
+
     def feed(self, ids: Iterable[int], held: bytes = b"") -> tuple[str, bytes]:
         """Text finished by ``ids``, and the bytes that wait for more."""
         out = []
         for i in ids:
             move = self.moves.get((held, i))
             if move is None:
-                text, after = "", held
-                for byte in self.tokens.get(i, b"\xff"):
-                    more, after = self._byte(after, byte)
-                    text += more
                 if len(self.moves) >= REMEMBERED:
                     self.moves.clear()
-                move = self.moves[held, i] = (text, after)
+                move = self.moves[held, i] = self._token(i, held)
             out.append(move[0])
             held = move[1]
         return "".join(out), held
 
     def text(self, ids: Iterable[int]) -> str:
-        out, held = self.feed(ids)
+        ids = list(ids)
+        try:
+            return "".join(map(self.whole.__getitem__, ids))
+        except KeyError:
+            out, held = self.feed(ids)
         return out + "�" if held else out
 
 
@@ -337,13 +352,18 @@ def _decoder(vocabulary: str) -> Decoder:
 
 def encode_text(text: str, vocabulary: str, pattern: str = public_tokenizers.PATTERN) -> np.ndarray:
     cut, pieces = _coder(vocabulary, pattern)
-    return np.fromiter(itertools.chain.from_iterable(map(pieces.__getitem__, cut(text))), np.int32)
+    return np.frombuffer(b"".join(map(pieces.__getitem__, cut(text))), np.int32)
 
 
 def decode_ids(ids: Iterable[int], vocabulary: str) -> str:
     return _decoder(vocabulary).text(ids)
 
 
+def _lists(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([_NONE, *ids])))
+
+
 def encode(text: Column, vocabulary: str, pattern: str = public_tokenizers.PATTERN) -> Column:
     """Token ids of a text column, an array of int per row; null and empty texts have none.
 
@@ -353,9 +373,7 @@ def encode(text: Column, vocabulary: str, pattern: str = public_tokenizers.PATTE
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            ids = [encode_text(text.as_py() or "", vocabulary, pattern) for text in batch]
-            ends = np.cumsum([0, *map(len, ids)])
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([_NONE, *ids])))
+            yield _lists([encode_text(text.as_py() or "", vocabulary, pattern) for text in batch])
 
     return F.arrow_udf(run, "array<int>")(text)
 
@@ -371,15 +389,27 @@ def decode(ids: Column, vocabulary: str) -> Column:
     return F.arrow_udf(run, "string")(ids)
 
 
+def round_trip(text: Column, vocabulary: str, pattern: str = public_tokenizers.PATTERN) -> Column:
+    """Struct of ``ids``, as of ``encode``, and ``decoded``, their text, in one Python worker."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            ids = [encode_text(text.as_py() or "", vocabulary, pattern) for text in batch]
+            decoded = pa.array([decode_ids(row.tolist(), vocabulary) for row in ids], pa.string())
+            yield pa.StructArray.from_arrays([_lists(ids), decoded], ["ids", "decoded"])
+
+    return F.arrow_udf(run, "ids array<int>, decoded string")(text)
+
+
 def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Null and empty texts: no tokens and the digest of nothing. Repeated rows stay rows of
     their own, an empty table gives no rows, other columns are ignored."""
     name = "byte_bpe_multi_50k.tiktoken"
-    coded = table(spark, folder, "documents").select("doc_id", encode(F.col("text"), name).alias("ids"))
-    joined = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    coded = table(spark, folder, "documents").select("doc_id", round_trip(F.col("text"), name).alias("r")).select("doc_id", "r.ids", "r.decoded")
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), name).cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
