@@ -8,13 +8,18 @@ so a task never holds more than GROUP_PIECES small rows; tokens are not moved.
 
 from __future__ import annotations
 
+import functools
+import sys
+import unicodedata
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import regex
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import table
@@ -22,7 +27,9 @@ from ledgerloom.session import written_table
 
 CAPACITY = 1024
 GROUP_PIECES = 50_000
-_BATCH_CHARS = 1 << 20
+#: Matches kept per Python worker, in each of two halves.
+REMEMBERED = 1 << 18
+_WHOLE = 1 << 20
 _CUT_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -82,50 +89,116 @@ def best_fit(lengths, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return place, offset
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
-    """Cut documents: doc_id, start, length, ids_crc32, doc_tokens per piece.
+class _Known(dict):
+    """Ids of matches; when full, they become old ones and those still old are forgotten."""
+
+    def __init__(self, plain: Callable[[str], bytes]):
+        super().__init__()
+        self.plain, self.old = plain, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        out = self.old.get(piece) or self.plain(piece)
+        if len(piece) <= 32:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = out
+        return out
 
-    ``tokenizer`` names a public tokenizer's file. Null text is empty: one piece with the
-    end id alone.
+
+class Coder:
+    """Token ids of whole texts as little-endian unsigned 32-bit bytes.
+
+    Equal to one call of the byte-level tokenizer in ``file``, which merges within the
+    matches of ``pattern`` only: the ids of a match are found once and remembered (those of
+    the last 2 * REMEMBERED different ones).
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def __init__(self, file: str, pattern: str):
         from tokenizers import Tokenizer
 
-        coder = Tokenizer.from_file(public_tokenizers.path(tokenizer))
-        coder.encode_special_tokens = False
-        for b in batches:
-            out: list[tuple] = []
-            for doc, text in zip(b["doc_id"], b["text"]):
-                ids = np.array(coder.encode(text or "", add_special_tokens=False).ids + [end_id], "<u4")
-                for at in range(0, len(ids), capacity):
-                    part = ids[at : at + capacity]
-                    out.append((None if pd.isna(doc) else int(doc), at, len(part), zlib.crc32(part.tobytes()), len(ids)))
-            yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype({"doc_id": "Int64"})
+        self.tokenizer = Tokenizer.from_file(file)
+        self.tokenizer.encode_special_tokens = False
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.cut = regex.compile(pattern)
+        self.apart = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
+        self.known = _Known(self.plain)
+        # Letters and digits newer than the interpreter's tables: the two packages may differ.
+        self.unsure = frozenset(c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn" and regex.match(r"[\p{L}\p{N}]", c))
+
+    def plain(self, text: str) -> bytes:
+        ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def __call__(self, text: str) -> bytes:
+        if not text.isascii() and not self.unsure.isdisjoint(text):
+            return self.plain(text)
+        out = []
+        for part in self.apart.split(text) if any(t in text for t in self.added) else (text,):
+            if part in self.added:
+                out.append(self.added[part])
+            elif len(part) <= _WHOLE:
+                out += map(self.known.__getitem__, self.cut.findall(part))
+            else:
+                out += (self.known[m[0]] for m in self.cut.finditer(part))
+        return b"".join(out)
+
+
+@functools.cache
+def coder(tokenizer: str) -> Coder:
+    return Coder(public_tokenizers.path(tokenizer), public_tokenizers.PATTERN)
+
+
+def cut_text(text: Column, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0) -> Column:
+    """Pieces of a text's ids and the end id: array of (start, length, ids_crc32, doc_tokens).
+
+    ``tokenizer`` names the file of a byte-level public tokenizer. Null text is empty: one
+    piece with the end id alone.
+    """
+    end = np.array([end_id], "<u4").tobytes()
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encode = coder(tokenizer)
+        for batch in batches:
+            rows = []
+            for text in batch:
+                ids = encode(text.as_py() or "") + end
+                size = len(ids) // 4
+                rows.append([(at, min(capacity, size - at), zlib.crc32(ids[4 * at : 4 * (at + capacity)]), size) for at in range(0, size, capacity)])
+            ends = np.cumsum([0, *map(len, rows)])
+            flat = np.array([p for row in rows for p in row], np.int64).reshape(-1, 4)
+            parts = pa.StructArray.from_arrays([pa.array(flat[:, i]) for i in range(4)], ["start", "length", "ids_crc32", "doc_tokens"])
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts)
+
+    return F.arrow_udf(run, "array<struct<start:bigint,length:bigint,ids_crc32:bigint,doc_tokens:bigint>>")(text)
+
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(cut, _CUT_SCHEMA)
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
+    """Cut documents: doc_id, start, length, ids_crc32, doc_tokens per piece."""
+    return docs.select(F.col("doc_id").cast("long"), F.inline(cut_text(F.col("text"), tokenizer, capacity, end_id)))
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """Pieces of all documents with sequence_id and offset; offsets have no gaps.
 
     A group of pieces fills its own sequences, so at most a few sequences of a group stay
     part empty. Groups are dealt by row position in the written pieces, which no repeated
-    key can skew. An empty table gives no rows; repeated rows are packed each.
+    key can skew. An empty table gives no rows; repeated rows are packed each, rows with a
+    null doc_id too, and ids are carried untouched; other columns are ignored.
     """
     cut = written_table(pieces(docs, tokenizer, capacity), "pieces")
-    groups = max(1, -(-cut.count() // GROUP_PIECES))
+    groups = max(1, -(-cut.count() // group_pieces))
     dealt = cut.withColumn("part", F.monotonically_increasing_id() % groups)
 
-    def fill(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable")
-        place, offset = best_fit(part["length"], capacity)
-        return part.assign(sequence_id=part["part"] * (1 << 32) + place, offset=offset)[_COLUMNS]
-
-    return dealt.groupBy("part").applyInPandas(fill, f"{_CUT_SCHEMA}, sequence_id long, offset long")
-
+    def fill(part: pa.Table) -> pa.Table:
+        part = part.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
+        place, offset = best_fit(part["length"].to_numpy(), capacity)
+        sequence = part["part"].to_numpy() * (1 << 32) + place
+        return part.drop_columns("part").append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
-_COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    return dealt.groupBy("part").applyInArrow(fill, f"{_CUT_SCHEMA}, sequence_id long, offset long")
 
 
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
