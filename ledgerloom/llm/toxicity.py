@@ -32,6 +32,8 @@ PREFIX = 5
 SAMPLE_ROWS = 6000
 #: Cells of the histograms that set thresholds, per unit of logit, and the largest logit.
 CELLS, LARGEST = 64, 64
+#: Toxic rows that the histogram of all languages counts for in that of one.
+PRIOR = 20
 _BLOCK = 1 << 14
 _REMEMBERED = 1 << 18
 _WORD = re.compile(r"[^\W_]+")
@@ -153,23 +155,25 @@ def threshold(cells: np.ndarray, rows: np.ndarray, toxic: np.ndarray, fallback:
     return float(cells[order[at]] + low) / (2 * CELLS)
 
 
-def thresholds(checked: DataFrame, least: int = 10) -> dict[str, float]:
+def thresholds(checked: DataFrame) -> dict[str, float]:
     """Thresholds by language, "" for the rest, from (logit, lang, toxic, n) of all ``checked``.
 
-    Languages with fewer than ``least`` toxic rows use the common one. At most two cells
-    per histogram step and language reach the driver.
+    A language's histogram is joined by that of all languages, scaled to ``PRIOR`` toxic
+    rows, so a language with few labels stays near the common threshold and one with many
+    has its own. At most two cells per histogram step and language reach the driver.
     """
     cell = F.floor(F.least(F.greatest(F.col("logit"), F.lit(-LARGEST)), F.lit(LARGEST)) * CELLS)
     counted = checked.groupBy("lang", cell.alias("cell")).agg(F.sum("n").alias("rows"), F.sum(F.col("toxic") * F.col("n")).alias("toxic"))
-    got = counted.toPandas().astype({"cell": np.int64, "rows": np.int64, "toxic": np.int64})
+    got = counted.toPandas().astype({"cell": np.int64, "rows": np.float64, "toxic": np.float64})
 
     def cut(part: pd.DataFrame, fallback: float) -> float:
         return threshold(part["cell"].to_numpy(), part["rows"].to_numpy(), part["toxic"].to_numpy(), fallback)
 
-    cuts = {"": cut(got.groupby("cell", as_index=False)[["rows", "toxic"]].sum(), 0.0)}
+    pooled = got.groupby("cell")[["rows", "toxic"]].sum()
+    cuts = {"": cut(pooled.reset_index(), 0.0)}
+    prior = pooled * (PRIOR / max(1.0, pooled["toxic"].sum()))
     for name, part in got.groupby("lang"):
-        if part["toxic"].sum() >= least:
-            cuts[name] = cut(part, cuts[""])
+        cuts[name] = cut(part.set_index("cell")[["rows", "toxic"]].add(prior, fill_value=0.0).reset_index(), cuts[""])
     return cuts
 
 
@@ -177,18 +181,26 @@ def _key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Model, Column]:
-    """Model, and whether a row's key is fitted on, from (doc_id, text, toxic).
+def marked(keyed: DataFrame) -> DataFrame:
+    """(key, toxic, n): copies of labelled rows counted, from (key, toxic)."""
+    return keyed.where("toxic is not null").groupBy("key", F.col("toxic").cast("long").alias("toxic")).agg(F.count("*").alias("n"))
 
-    Four fifths of the sample are fitted on; copies of a row fall on the same side.
+
+def train(texts: DataFrame, marks: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Model, Column]:
+    """Model, and whether a row's key is fitted on, from (doc_id, text) and ``marked`` rows.
+
+    The sample is the ``sample_rows`` smallest keys; four fifths of it are fitted on, each
+    different row once. Only texts of the sample leave the scan.
     """
-    sample = labelled.where("toxic is not null").select(_key().alias("key"), "text", "toxic").orderBy("key").limit(sample_rows)
+    keys = marks.select("key").distinct().orderBy("key").limit(sample_rows)
+    sample = marks.join(F.broadcast(keys), "key").select("key", "toxic").toPandas()  # keys are bounded
+    same = texts.withColumn("key", _key()).join(F.broadcast(keys), "key").groupBy("key").agg(F.first("text").alias("text"))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"key": b["key"], "ids": [hashed(t).tobytes() for t in b["text"]], "toxic": b["toxic"].astype(int)})
+            yield pd.DataFrame({"key": b["key"], "ids": [hashed(t).tobytes() for t in b["text"]]})
 
-    got = sample.mapInPandas(encode, "key long, ids binary, toxic int").toPandas().sort_values("key", kind="stable")
+    got = same.mapInPandas(encode, "key long, ids binary").toPandas().merge(sample, on="key").sort_values(["key", "toxic"], kind="stable")
     mine = got[got["key"] % 5 != 0]
     model = Model()
     model.fit([np.frombuffer(b, np.int32).reshape(-1, 2) for b in mine["ids"]], mine["toxic"].to_numpy(np.int64))
@@ -202,14 +214,19 @@ def predicted(text: str | None, langs: list[str], log_p: np.ndarray) -> str:
     return langs[int(np.argmax(log_p[:, found].sum(1)))] if len(found) and langs else language.UNKNOWN
 
 
-def rate(docs: DataFrame, labelled: DataFrame, training: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, dict[str, float]]:
+def rate(
+    docs: DataFrame, labelled: DataFrame, training: DataFrame, sample_rows: int = SAMPLE_ROWS, marks: DataFrame | None = None
+) -> tuple[DataFrame, dict[str, float]]:
     """(doc_id, key, logit, lang) per row of ``docs``, and the thresholds by language.
 
-    Labelled rows that are among ``docs`` are not scored twice. Copies of a labelled row
-    are counted before they are joined.
+    ``labelled`` has doc_id, text and toxic, or, where ``marks`` gives the labels by key,
+    doc_id and text of the labelled rows and any others. Labelled rows that are among
+    ``docs`` are not scored twice. Rows are known by a hash of doc_id and text: no text is
+    shuffled but those of the sample, and those that are not among ``docs``.
     """
     langs, log_p = language.train(training)
-    model, fitted = train(labelled, sample_rows)
+    marks = written_table(marked(labelled.select(_key().alias("key"), "toxic")) if marks is None else marks, "marks")
+    model, fitted = train(labelled.select("doc_id", "text"), marks, sample_rows)
     shared = docs.sparkSession.sparkContext.broadcast((model, langs, log_p))  # fixed sizes
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -223,24 +240,28 @@ def rate(docs: DataFrame, labelled: DataFrame, training: DataFrame, sample_rows:
         judged = rows.select("doc_id", _key().alias("key"), judge.alias("r"))
         return written_table(judged.select("doc_id", "key", "r.logit", "r.lang"), label)
 
+    def once(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+        return rows.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("logit").alias("logit"), F.first("lang").alias("lang"))
+
     out = rated(docs, "rated")
-    open_rows = labelled.where("toxic is not null").withColumn("key", _key()).where(~fitted)
-    marks = written_table(open_rows.groupBy("key", F.col("toxic").cast("long").alias("toxic")).agg(F.count("*").alias("n")), "marks")
-    seen = out.select("key", "logit", "lang")
-    lost = written_table(marks.select("key").distinct().join(seen, "key", "left_anti"), "lost")
+    open_marks = marks.where(~fitted)
+    wanted = open_marks.select("key").distinct()
+    seen = written_table(once(out.select("key", "logit", "lang"), wanted), "seen")
+    lost = written_table(wanted.join(seen, "key", "left_anti"), "lost")
     if not lost.isEmpty():
-        seen = seen.unionByName(rated(open_rows.join(lost, "key", "left_semi"), "rated-labels").select("key", "logit", "lang"))
-    once = seen.join(marks.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("logit").alias("logit"), F.first("lang").alias("lang"))
-    return out, thresholds(marks.join(once, "key"))
+        rest = labelled.select("doc_id", "text").withColumn("key", _key()).join(lost, "key", "left_semi")
+        seen = seen.unionByName(once(rated(rest, "rated-labels").select("key", "logit", "lang"), lost))
+    return out, thresholds(open_marks.join(seen, "key"))
 
 
-def score(docs: DataFrame, labelled: DataFrame, training: DataFrame) -> DataFrame:
+def score(docs: DataFrame, labelled: DataFrame, training: DataFrame, marks: DataFrame | None = None) -> DataFrame:
     """doc_id, score, predicted per row of ``docs``, from the text alone.
 
-    Null and empty texts are scored as a text of padding. Without labels every score
-    comes from the untrained model. Repeated rows get equal scores.
+    ``labelled`` and ``marks`` as in ``rate``. Null and empty texts are scored as a text of
+    padding. Without labels every score comes from the untrained model; an empty table
+    gives no rows. Repeated rows get equal scores; of conflicting labels each counts.
     """
-    rated, cuts = rate(docs, labelled, training)
+    rated, cuts = rate(docs, labelled, training, marks=marks)
     known = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])
     z = F.col("logit") - F.coalesce(F.try_element_at(known, F.col("lang")), F.lit(cuts[""]))
     scored = rated.select("doc_id", (1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-500.0)), F.lit(500.0))))).alias("score"))
@@ -251,6 +272,6 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     out = language.held_out(F.col("doc_id"), 5, 0)
     known = docs.where(~out).select("doc_id", "text", "lang")
-    labelled = known.join(labels.select("doc_id", "toxic"), "doc_id").select("doc_id", "text", "toxic")
-    scored = score(docs.select("doc_id", "text"), labelled, known)
+    marks = marked(known.select("doc_id", _key().alias("key")).join(labels.select("doc_id", "toxic"), "doc_id"))
+    scored = score(docs.select("doc_id", "text"), known, known, marks)
     return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
