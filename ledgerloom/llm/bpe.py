@@ -27,11 +27,11 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import table
+from ledgerloom.llm.common import slices, table
 
 #: States, pairs of tokens, decoder moves and pieces kept per Python worker; what a full
 #: memory lacks is found anew, which costs time and changes nothing.
-REMEMBERED, PIECES = 1 << 16, 1 << 18
+REMEMBERED, PIECES = 1 << 16, 1 << 17
 #: Inputs that meet a state without the move they need before moves are compiled.
 VISITS = 2
 _WHOLE = 1 << 20
@@ -372,8 +372,8 @@ def encode(text: Column, vocabulary: str, pattern: str = public_tokenizers.PATTE
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield _lists([encode_text(text.as_py() or "", vocabulary, pattern) for text in batch])
+        for part in (part for batch in batches for part in slices(batch)):
+            yield _lists([encode_text(text.as_py() or "", vocabulary, pattern) for text in part])
 
     return F.arrow_udf(run, "array<int>")(text)
 
@@ -393,8 +393,8 @@ def round_trip(text: Column, vocabulary: str, pattern: str = public_tokenizers.P
     """Struct of ``ids``, as of ``encode``, and ``decoded``, their text, in one Python worker."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            ids = [encode_text(text.as_py() or "", vocabulary, pattern) for text in batch]
+        for part in (part for batch in batches for part in slices(batch)):
+            ids = [encode_text(text.as_py() or "", vocabulary, pattern) for text in part]
             decoded = pa.array([decode_ids(row.tolist(), vocabulary) for row in ids], pa.string())
             yield pa.StructArray.from_arrays([_lists(ids), decoded], ["ids", "decoded"])
 

@@ -2,8 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def slices(texts: pa.StringArray, most: int = 1 << 20) -> Iterator[pa.StringArray]:
+    """Parts of a batch of about ``most`` bytes, so that results are handed on early; a longer
+    text is a part of its own."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += text.as_buffer().size if text.is_valid else 0
+        if size >= most:
+            yield texts.slice(start, i + 1 - start)
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield texts.slice(start)
