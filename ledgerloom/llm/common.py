@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -23,3 +25,25 @@ def slices(texts: pa.StringArray, most: int = 1 << 20) -> Iterator[pa.StringArra
             start, size = i + 1, 0
     if start < len(texts):
         yield texts.slice(start)
+
+
+def is_latin(text: str) -> bool:
+    """Whether all characters are among the first 256."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def latin_pattern(pattern: str) -> re.Pattern | None:
+    """``pattern`` for texts of the first 256 characters, its Unicode classes spelled out, which
+    matches the same twice as fast; None if it has other classes."""
+    chars = [chr(c) for c in range(256)]
+    listed = {kind: "".join(f"\\x{ord(c):02x}" for c in chars if regex.match(kind, c)) for kind in (r"\p{L}", r"\p{N}", r"\s")}
+    out, spaces = pattern, listed[r"\s"]
+    out = re.sub(r"\[\^((?:\\s|\\p\{[LN]\})+)\]", lambda m: "[^" + "".join(listed[k] for k in re.findall(r"\\s|\\p\{[LN]\}", m[1])) + "]", out)
+    for kind, chars_ in listed.items():
+        out = out.replace(kind, f"[{chars_}]")
+    out = out.replace(r"\S", f"[^{spaces}]")
+    return None if re.search(r"\\[A-Za-wyz]", out) else re.compile(out)

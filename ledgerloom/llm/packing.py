@@ -22,13 +22,13 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import table
+from ledgerloom.llm.common import is_latin, latin_pattern, table
 from ledgerloom.session import written_table
 
 CAPACITY = 1024
 GROUP_PIECES = 50_000
 #: Matches kept per Python worker, in each of two halves.
-REMEMBERED = 1 << 18
+REMEMBERED = 3 << 17
 _WHOLE = 1 << 20
 _CUT_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -120,7 +120,7 @@ class Coder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = False
         self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.cut = regex.compile(pattern)
+        self.cut, self.latin = regex.compile(pattern), latin_pattern(pattern)
         self.apart = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.known = _Known(self.plain)
         # Letters and digits newer than the interpreter's tables: the two packages may differ.
@@ -133,16 +133,20 @@ class Coder:
         return ids.tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if not text.isascii() and not self.unsure.isdisjoint(text):
+        if self.latin and is_latin(text):
+            cut = self.latin
+        elif self.unsure.isdisjoint(text):
+            cut = self.cut
+        else:
             return self.plain(text)
         out = []
         for part in self.apart.split(text) if any(t in text for t in self.added) else (text,):
             if part in self.added:
                 out.append(self.added[part])
             elif len(part) <= _WHOLE:
-                out += map(self.known.__getitem__, self.cut.findall(part))
+                out += map(self.known.__getitem__, cut.findall(part))
             else:
-                out += (self.known[m[0]] for m in self.cut.finditer(part))
+                out += (self.known[m[0]] for m in cut.finditer(part))
         return b"".join(out)
 
 
