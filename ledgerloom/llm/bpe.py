@@ -27,7 +27,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import slices, table
+from ledgerloom.llm.common import is_latin, latin_pattern, slices, table
 
 #: States, pairs of tokens, decoder moves and pieces kept per Python worker; what a full
 #: memory lacks is found anew, which costs time and changes nothing.
@@ -262,13 +262,16 @@ class _Cut:
     """Pieces of a text by ``pattern``."""
 
     def __init__(self, pattern: str):
-        self.usual, self.newer = regex.compile(pattern), _newer()
+        self.usual, self.latin, self.newer = regex.compile(pattern), latin_pattern(pattern), _newer()
         gone = f"[{''.join(sorted(self.newer))}]" if self.newer else ""
         strict = pattern.replace(r"[^\s\p{L}\p{N}]", r"(?:(?:NEW)|[^\s\p{L}\p{N}])").replace(r"\p{L}+", r"(?:(?!NEW)\p{L})+").replace(r"\p{N}+", r"(?:(?!NEW)\p{N})+")
         self.strict = regex.compile(strict.replace("NEW", gone)) if gone else self.usual
 
     def __call__(self, text: str) -> Iterable[str]:
-        pattern = self.usual if text.isascii() or self.newer.isdisjoint(text) else self.strict
+        if self.latin and is_latin(text):
+            pattern = self.latin
+        else:
+            pattern = self.usual if self.newer.isdisjoint(text) else self.strict
         if len(text) <= _WHOLE:
             return pattern.findall(text)
         return (m[0] for m in pattern.finditer(text))
