@@ -39,28 +39,56 @@ def address_region(c: ColumnLike, cities: Sequence[tuple[str, str]]) -> Column:
     return keyword_region(c, [[(p, p) for p in PROVINCES], cities])
 
 
-def tag_by_keywords(df: DataFrame, col: str, dim: DataFrame, out: str) -> DataFrame:
-    """``df`` with ``out``: ``keyword_region`` for a keyword table (level, ord, keyword, label).
+#: Places of the table of marks that tells parts of texts from keywords before the shuffle.
+MARKS = 1 << 16
+
+
+def _place(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(MARKS))
 
-    The table may have any size and never leaves the executors. Each distinct text is cut
-    into its parts of the lengths that keywords have, which meet the keywords in an equi
-    join; the lowest (level, ord) wins. No hit gives ``''``; NULL text gives NULL. Keywords
-    without a text or label are ignored.
+
+def keyword_parts(df: DataFrame, col: str, words: DataFrame) -> DataFrame:
+    """(__a, __b, __part): parts of the texts that may be a keyword of ``words``.
+
+    A text is known by two 64-bit hashes of it. Parts have the length of some keyword and a
+    hash that some keyword has: a one-row table of marks, of a fixed size, is looked at in
+    the scan, so nearly all other parts never leave it. False marks cost rows only.
     """
-    words = dim.where("keyword is not null and label is not null")
     sizes = words.agg(F.sort_array(F.collect_set(F.length("keyword")))).scalar()
-    texts = df.select(F.col(col).alias("__text")).where("__text is not null").distinct()
-    room = F.length("__text")
+    places = words.select(_place(F.col("keyword")).alias("id")).distinct().withColumn("__hit", F.lit("1"))
+    marked = df.sparkSession.range(MARKS).join(places, "id", "left").select("id", F.coalesce("__hit", F.lit("0")).alias("hit"))
+    marks = marked.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "hit"))), lambda m: m["hit"]), "").cast("binary")).scalar()
+    text, room = F.col("__text"), F.length("__text")
 
     def cut(n: Column) -> Column:
         starts = F.filter(F.sequence(F.lit(1), room + 1), lambda i: i + n <= room + 1)
-        return F.transform(starts, lambda i: F.substring(F.col("__text"), i, n))
+        return F.transform(starts, lambda i: F.substring(text, i, n))
+
+    sized = df.select(F.col(col).alias("__text")).where("__text is not null").withColumn("__sizes", sizes)
+    parts = F.explode(F.array_distinct(F.flatten(F.transform("__sizes", cut))))
+    cut_up = sized.select(*text_key(text), parts.alias("__part"))
+    place = (_place(F.col("__part")) + 1).cast("int")
+    return cut_up.where(F.substring(marks, place, F.lit(1)) == F.lit("1").cast("binary"))
 
-    sized = texts.withColumn("__sizes", sizes)
-    parts = sized.select("__text", F.explode(F.array_distinct(F.flatten(F.transform("__sizes", cut)))).alias("__part"))
-    hits = parts.join(words, F.col("__part") == F.col("keyword"))
-    best = hits.groupBy("__text").agg(F.min_by("label", F.struct("level", "ord", "keyword", "label")).alias("__label"))
-    tagged = df.join(best, df[col] == best["__text"], "left")
+
+def text_key(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text).alias("__a"), F.xxhash64(F.lit(1), text).alias("__b")
+
+
+def tag_by_keywords(df: DataFrame, col: str, dim: DataFrame, out: str) -> DataFrame:
+    """``df`` with ``out``: ``keyword_region`` for a keyword table (level, ord, keyword, label).
+
+    The table may have any size and never leaves the executors. ``keyword_parts`` of the
+    texts meet the keywords in an equi join; the lowest (level, ord) wins. Texts are not
+    shuffled, only hashes of those that may hold a keyword. No hit gives ``''``; NULL text
+    gives NULL. Keywords without a text or label are ignored.
+    """
+    words = dim.where("keyword is not null and label is not null")
+    hits = keyword_parts(df, col, words).join(words, F.col("__part") == F.col("keyword"))
+    best = hits.groupBy("__a", "__b").agg(F.min_by("label", F.struct("level", "ord", "keyword", "label")).alias("__label"))
+    best = best.withColumnsRenamed({"__a": "__found_a", "__b": "__found_b"})
+    a, b = text_key(df[col])
+    tagged = df.join(best, (a == F.col("__found_a")) & (b == F.col("__found_b")), "left")
     label = F.when(df[col].isNotNull(), F.coalesce("__label", F.lit("")))
     return tagged.select(*[df[c] for c in df.columns], label.alias(out))
 

@@ -21,11 +21,13 @@ def money_sum(amount: ColumnLike) -> Column:
 def collect_names(df: DataFrame, keys: Sequence[str], col: str, out: str, sep: str = "/") -> DataFrame:
     """Sorted, separated list of the distinct names per key; NULLs are skipped.
 
-    Names are made distinct per key before they are collected, so a group holds at most
-    as many as the table the names come from, however many rows the key owns.
+    The distinct names are dealt to ranges of (keys, name), so the names of a hot key are
+    sorted and joined in many tasks, and only the joined pieces of a key meet, in their order.
     """
-    names = df.select(*keys, col).distinct()
-    return names.groupBy(*keys).agg(F.concat_ws(sep, F.sort_array(F.collect_list(col))).alias(out))
+    ranges = df.select(*keys, F.col(col).alias("__name")).distinct().repartitionByRange(*keys, "__name")
+    listed = ranges.withColumn("__piece", F.spark_partition_id()).groupBy(*keys, "__piece").agg(F.sort_array(F.collect_list("__name")).alias("__names"))
+    pieces = listed.select(*keys, F.struct("__piece", F.when(F.size("__names") > 0, F.array_join("__names", sep)).alias("names")).alias("__part"))
+    return pieces.groupBy(*keys).agg(F.array_join(F.transform(F.sort_array(F.collect_list("__part")), lambda p: p["names"]), sep).alias(out))
 
 
 def preagg_join(

@@ -19,13 +19,15 @@ class Dim:
     """A lookup table of a star join.
 
     ``on`` maps fact (or earlier output) columns to key columns of ``frame``; ``take``
-    maps output names to columns of ``frame``.
+    maps output names to columns of ``frame``. ``unique`` says that a key is meant to occur
+    once; a lookup that repeats fact rows on purpose has it off.
     """
 
     frame: DataFrame
     on: Mapping[str, str]
     take: Mapping[str, str] = field(default_factory=dict)
     name: str = "dim"
+    unique: bool = True
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -33,21 +35,36 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
-def star_join(fact: DataFrame, dims: Sequence[Dim], check_unique: bool = False) -> DataFrame:
+def one_per_key(side: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``side``, which fails when it is read if a whole key occurs twice; keys with a NULL go.
+
+    The copies are counted by the shuffle on the key that a join of large sides needs
+    anyway, and before it in each task; no job and no scan is added.
+    """
+    rest = [c for c in side.columns if c not in keys]
+    value = F.first(F.struct(F.lit(1).alias("__one"), *rest))
+    twice = F.raise_error(F.concat(F.lit(f"{name}: join key {list(keys)} is not unique: "), F.to_json(F.struct(*keys))))
+    once = side.where(all_present(keys)).groupBy(*keys).agg(value.alias("__value"), F.count(F.lit(1)).alias("__copies"))
+    checked = F.when(F.col("__copies") == 1, F.col("__value")).otherwise(twice.cast(once.schema["__value"].dataType))
+    return once.select(*keys, checked.alias("__value")).select(*keys, *[F.col("__value")[c].alias(c) for c in rest])
+
+
+def star_join(fact: DataFrame, dims: Sequence[Dim], check_unique: bool = True) -> DataFrame:
     """Left join each dim, keeping only the columns it is asked for.
 
-    The key columns of a dim are renamed apart first, so one table can play many roles.
-    ``check_unique`` runs one job per dim and refuses a dim that would repeat fact rows.
+    The key columns of a dim are renamed apart first, so one table can play many roles. A
+    dim that would repeat fact rows fails the job, unless ``check_unique`` or its own
+    ``unique`` says that rows are meant to be repeated.
     """
     out, spent = fact, []
     for i, dim in enumerate(dims):
-        if check_unique and not repeated_keys(dim.frame, list(dim.on.values())).isEmpty():
-            raise ValueError(f"{dim.name}: join key {list(dim.on.values())} is not unique")
         keys = {right: f"__{i}_{right}" for right in dim.on.values()}
         side = dim.frame.select(
             *[F.col(right).alias(tmp) for right, tmp in keys.items()],
             *[F.col(src).alias(name) for name, src in dim.take.items()],
         )
+        if check_unique and dim.unique:
+            side = one_per_key(side, list(keys.values()), dim.name)
         cond = [F.col(left) == F.col(keys[right]) for left, right in dim.on.items()]
         out = out.join(side, cond, "left")
         spent += keys.values()

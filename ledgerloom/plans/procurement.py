@@ -11,7 +11,7 @@ from ledgerloom.functions.scalars import decode, elapsed_days, is_blank
 from ledgerloom.operators.joins import Dim, header_join, star_join
 from ledgerloom.operators.lineage import residual_reversed, residual_union, trace_source
 from ledgerloom.operators.merge import multi_fact_merge, outer_chain
-from ledgerloom.operators.windows import latest_with_total
+from ledgerloom.operators.windows import first_per_key, latest_with_total
 from ledgerloom.session import written_table
 
 REQ_COLS = [
@@ -185,7 +185,7 @@ def lead_time(t: Mapping[str, DataFrame], org: str, one_line_per_order: bool = F
     dept_id, seller_id, order_no, status; requisitions: bill_id, entry_id, req_no,
     req_approved; sale_lines: order_no, material_no, project_no, project_name; dims by
     their ids. A sales order with several lines of a material repeats the row, as written;
-    ``one_line_per_order`` keeps one.
+    ``one_line_per_order`` keeps the one of the smallest project number, then name.
     """
     rows = t["purchases"].where((F.col("org_id") == org) & ~is_blank("source_bill_no", trim=False))
     rows = trace_source(
@@ -194,7 +194,7 @@ def lead_time(t: Mapping[str, DataFrame], org: str, one_line_per_order: bool = F
     ).where(F.col("req_no").isNotNull())
     sale_lines = t["sale_lines"]
     if one_line_per_order:
-        sale_lines = sale_lines.dropDuplicates(["order_no", "material_no"])
+        sale_lines = first_per_key(sale_lines, ["order_no", "material_no"], "project_no", ["project_name"])
     rows = star_join(
         rows,
         [
@@ -206,7 +206,7 @@ def lead_time(t: Mapping[str, DataFrame], org: str, one_line_per_order: bool = F
             Dim(t["users"], {"creator_id": "user_id"}, {"creator": "user_name"}),
             Dim(t["depts"], {"dept_id": "dept_id"}, {"dept": "dept_name"}),
             Dim(t["sellers"], {"seller_id": "seller_id"}, {"seller": "seller_name", "seller_company": "company"}),
-            Dim(sale_lines, {"order_no": "order_no", "material_no": "material_no"}, {"project_no": "project_no", "project_name": "project_name"}),
+            Dim(sale_lines, {"order_no": "order_no", "material_no": "material_no"}, {"project_no": "project_no", "project_name": "project_name"}, "sale_lines", one_line_per_order),
         ],
     )
     return rows.select(

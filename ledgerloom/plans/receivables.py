@@ -173,6 +173,26 @@ def per_project(lines: DataFrame, merge_scopes: bool = True, sign: int = 1) -> D
     return lines.groupBy(*keys).agg((F.sum("amount") * sign).cast(MONEY_TYPE).alias("amount")).select("project_no", "amount")
 
 
+def settled_amounts(receipts: DataFrame, refunds: DataFrame, since: Column, this_year: Column, merge_scopes: bool = True) -> DataFrame:
+    """paid, refunded (negative), paid_year and refunded_year per project, from one pass.
+
+    Without ``merge_scopes`` each is an array with an element per organisation that has such
+    settlements, as ``per_project`` lists them; organisations are the few of the scope.
+    """
+    cols = ["project_no", "org_id", "created_at"]
+    rows = receipts.select(*cols, "amount", F.lit(True).alias("__in")).unionByName(refunds.select(*cols, "amount", F.lit(False).alias("__in")))
+    chosen = {
+        "paid": F.col("__in") & since, "refunded": ~F.col("__in") & since,
+        "paid_year": F.col("__in") & this_year, "refunded_year": ~F.col("__in") & this_year,
+    }
+    totals = {name: F.sum(F.when(wanted, F.col("amount"))) * (-1 if name == "refunded" else 1) for name, wanted in chosen.items()}
+    totals = {name: total.cast(MONEY_TYPE) for name, total in totals.items()}
+    if merge_scopes:
+        return rows.groupBy("project_no").agg(*[total.alias(name) for name, total in totals.items()])
+    parts = [F.when(F.count_if(wanted) > 0, F.struct(totals[name].alias("amount"))).alias(name) for name, wanted in chosen.items()]
+    return rows.groupBy("project_no", "org_id").agg(*parts).groupBy("project_no").agg(*[F.collect_list(name).alias(name) for name in chosen])
+
+
 def hand_ledger(ledger: DataFrame) -> DataFrame:
     """Hand-kept opening balances (project_no, seller, project_name, short_name, day, amount, org_level)."""
     return (
@@ -213,46 +233,44 @@ def receivable_board(
     year_end = F.concat_ws("-", (year + 1).cast("string"), F.lit("01-01")).cast("timestamp")
     this_year = (created >= year_start) & (created < year_end)
 
-    def grouped(rows: DataFrame, day: str, number: str) -> DataFrame:
-        keys = [
-            F.col("entry_seller").alias("seller"), "project_no", "project_name",
-            project_form(mark, agent=True, number=number).alias("form"), first_name("short_name", codes.OTHER).alias("short_name"),
-        ]
-        return project_totals(rows, keys, day, money_sum("tax_amount"))
-
-    settled = {
-        "paid": per_project(receipts.where(since), merge_scopes),
-        "refunded": per_project(refunds.where(since), merge_scopes, sign=-1),
-    }
-    in_year = {
-        "paid_year": per_project(receipts.where(this_year), merge_scopes),
-        "refunded_year": per_project(refunds.where(this_year), merge_scopes),
-    }
-
-    old = grouped(lines.where(~since), "created_at", "project_no")
+    # One pass over the lines: those since the cutoff are groups of their own, which take
+    # the day of the invoice and the project number typed on the line.
+    form = F.when(since, project_form(mark, agent=True, number="project_text")).otherwise(project_form(mark, agent=True))
+    keys = [
+        since.alias("__new"), F.col("entry_seller").alias("seller"), "project_no", "project_name",
+        form.alias("form"), first_name("short_name", codes.OTHER).alias("short_name"),
+    ]
+    grouped = lines.where(since.isNotNull()).groupBy(*keys).agg(
+        day_text(F.min("created_at")).alias("__created"), day_text(F.min("invoiced_on")).alias("__invoiced"), money_sum("tax_amount").alias("amount")
+    )
     opening = ledger.select(*[F.col(c).alias(f"l_{c}") for c in ("project_no", "seller", "project_name", "short_name", "day", "amount")])
-    met = old.join(opening, F.col("project_no") == F.col("l_project_no"), "full")
-    met = _attach(_attach(met, "l_project_no", settled), "project_no", in_year)
+    met = grouped.join(opening, ~F.col("__new") & (F.col("project_no") == F.col("l_project_no")), "full")
+
+    is_new = F.coalesce("__new", F.lit(False))
+    first_day = F.when(is_new, F.col("__invoiced")).otherwise(F.col("__created"))
     met = met.select(
+        is_new.alias("__new"), "l_project_no",
         F.coalesce("l_seller", "seller").alias("seller"),
-        F.coalesce("l_day", "first_day").alias("day"),
+        F.coalesce("l_day", first_day).alias("day"),
+        F.col("project_no").alias("__line_project"),
         F.coalesce("l_project_no", "project_no").alias("project_no"),
         F.coalesce("project_name", "l_project_name").alias("project_name"),
         "form",
         F.coalesce("short_name", "l_short_name").alias("short_name"),
         F.col("amount").alias("sale_amount"),
-        "paid", "refunded",
-        _zero("l_amount").alias("__due"),
-        F.col("l_day").alias("__aged_from"),
-        "paid_year", "refunded_year",
-    )
-    new = _attach(grouped(lines.where(since), "invoiced_on", "project_text"), "project_no", {**settled, **in_year})
-    new = new.select(
-        "seller", F.col("first_day").alias("day"), "project_no", "project_name", "form", "short_name",
-        F.col("amount").alias("sale_amount"), "paid", "refunded", _zero("amount").alias("__due"),
-        F.col("first_day").alias("__aged_from"), "paid_year", "refunded_year",
+        F.when(is_new, _zero("amount")).otherwise(_zero("l_amount")).alias("__due"),
+        F.when(is_new, first_day).otherwise(F.col("l_day")).alias("__aged_from"),
     )
-    return met.unionByName(new).select(
+    settled = settled_amounts(receipts, refunds, since, this_year, merge_scopes).withColumnRenamed("project_no", "__settled")
+    board = met.join(settled, F.col("project_no") == F.col("__settled"), "left")
+    # Old lines count settlements for their ledger row, and those of the year for themselves.
+    for name in ("paid", "refunded"):
+        board = board.withColumn(name, F.when(is_new | F.col("l_project_no").isNotNull(), F.col(name)))
+    for name in ("paid_year", "refunded_year"):
+        board = board.withColumn(name, F.when(F.col("__line_project").isNotNull(), F.col(name)))
+    for name in () if merge_scopes else ("paid", "refunded", "paid_year", "refunded_year"):
+        board = board.withColumn(name, F.explode_outer(name)).withColumn(name, F.col(name)["amount"])
+    return board.select(
         "seller", "day", "project_no", "project_name", "form", "short_name", "sale_amount", "paid", "refunded",
         (F.col("__due") - _zero("paid") - _zero("refunded")).cast(MONEY_TYPE).alias("open_amount"),
         aging_days("__aged_from", as_of).cast("bigint").alias("aging"),

@@ -154,6 +154,18 @@ def test_tag_by_keywords_equals_the_listed_form(spark):
     assert {tuple(r) for r in x.tag_by_keywords(texts, "v", dim.limit(0), "r").select("r").collect()} == {("",), (None,)}
 
 
+def test_few_parts_of_texts_leave_the_scan(spark):
+    words = spark.createDataFrame([("needle",), ("pin",)], "keyword string")
+    texts = spark.range(500).select(F.concat(F.sha2(F.col("id").cast("string"), 512), F.when(F.col("id") % 50 == 0, "needle").otherwise("")).alias("v"))
+    parts = x.keyword_parts(texts, "v", words)
+    every = 500 * (123 + 126)
+    assert 10 <= parts.count() < every / 1000
+    assert parts.columns == ["__a", "__b", "__part"] and parts.where("__part = 'needle'").count() == 10
+    plan = x.tag_by_keywords(texts, "v", words.selectExpr("0 as level", "0 as ord", "keyword", "'x' as label"), "r")._jdf.queryExecution().executedPlan().toString()
+    exchanged = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanged and not any("__text" in line for line in exchanged)
+
+
 @pytest.mark.parametrize(
     "due, got, out",
     [

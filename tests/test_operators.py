@@ -15,11 +15,15 @@ from ledgerloom.operators import windows as w
 def test_star_join_roles_and_unique_check(spark, rows):
     fact = spark.createDataFrame([(1, 10, 20), (2, 20, None)], "id int, a int, b int")
     dim = spark.createDataFrame([(10, "x"), (20, "y")], "k int, name string")
-    out = j.star_join(fact, [j.Dim(dim, {"a": "k"}, {"a_name": "name"}), j.Dim(dim, {"b": "k"}, {"b_name": "name"})], check_unique=True)
+    out = j.star_join(fact, [j.Dim(dim, {"a": "k"}, {"a_name": "name"}), j.Dim(dim, {"b": "k"}, {"b_name": "name"})])
     assert rows(out) == [(1, 10, 20, "x", "y"), (2, 20, None, "y", None)]
     twice = dim.unionByName(dim)
-    with pytest.raises(ValueError):
-        j.star_join(fact, [j.Dim(twice, {"a": "k"}, {"n": "name"})], check_unique=True)
+    with pytest.raises(Exception, match="names: join key .* is not unique"):
+        j.star_join(fact, [j.Dim(twice, {"a": "k"}, {"n": "name"}, "names")]).collect()
+    meant = j.star_join(fact, [j.Dim(twice, {"a": "k"}, {"n": "name"}, unique=False)])
+    assert meant.count() == j.star_join(fact, [j.Dim(twice, {"a": "k"}, {"n": "name"})], check_unique=False).count() == 4
+    nulls = dim.unionByName(spark.createDataFrame([(None, "z"), (None, "z")], "k int, name string"))
+    assert rows(j.star_join(fact, [j.Dim(nulls, {"a": "k"}, {"n": "name"})])) == [(1, 10, 20, "x"), (2, 20, None, "y")]
 
 
 def test_header_join_equals_left_join(spark, rows):
@@ -199,6 +203,21 @@ def test_preagg_join_and_pivot_agree(spark, rows):
 def test_collect_names(spark, rows):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (1, "b"), (2, None)], "k int, n string")
     assert rows(a.collect_names(df, ["k"], "n", "names")) == [(1, "a/b"), (2, "")]
+    blank = spark.createDataFrame([(1, ""), (1, "z"), (None, "q"), (None, "p"), (1, "é")], "k int, n string")
+    assert rows(a.collect_names(blank, ["k"], "n", "names", "|")) == [(None, "p|q"), (1, "|z|é")]
+
+
+def test_names_of_a_hot_key_are_joined_in_pieces(spark, rows):
+    keys = spark.range(0, 30_000, numPartitions=6).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").cast("string").alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = a.collect_names(keys, ["k"], "n", "names")
+        hot = got.where("k = 0").first()["names"]
+        listed = keys.distinct().repartitionByRange("k", "n").where("k = 0").groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert hot == "/".join(sorted(str(i) for i in range(0, 30_000, 3))) and got.count() == 20_001
+    assert listed > 1
 
 
 def test_hot_key_results_are_whole(spark, rows):
