@@ -8,12 +8,24 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def without_nulls(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with ``key`` as a long that is never null and ``__no_key``, whether it was. pandas
+    turns whole numbers beside nulls into floats, which changes those above 2^53."""
+    return df.withColumns({key: F.coalesce(F.col(key).cast("long"), F.lit(0).cast("long")), "__no_key": F.col(key).isNull()})
+
+
+def with_nulls(df: DataFrame, key: str) -> DataFrame:
+    """Undo ``without_nulls``."""
+    return df.withColumn(key, F.when(~F.col("__no_key"), F.col(key))).drop("__no_key")
+
+
 def slices(texts: pa.StringArray, most: int = 1 << 20) -> Iterator[pa.StringArray]:
     """Parts of a batch of about ``most`` bytes, so that results are handed on early; a longer
     text is a part of its own."""

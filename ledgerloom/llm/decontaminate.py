@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import table
+from ledgerloom.llm.common import table, with_nulls, without_nulls
 from ledgerloom.session import written_table
 
 BITMAP_BITS = 1 << 20
@@ -69,7 +69,7 @@ def item_windows(items: DataFrame, n: int) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    return without_nulls(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), "doc_id")
 
 
 def term_counts(docs: DataFrame, packed: bytes) -> DataFrame:
@@ -95,34 +95,33 @@ def postings(docs: DataFrame, packed: bytes, n: int) -> DataFrame:
     ``at`` is the index of the word in it. Rows leave in slices, so a long document never
     makes a large batch.
     """
-    columns = ["doc_id", "text_hash", "n_words", "term", "pos", "at", "around"]
+    columns = ["doc_id", "__no_key", "text_hash", "n_words", "term", "pos", "at", "around"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keep = _Filter(packed)
         for b in batches:
             out = []
-            for doc, key, text in zip(b["doc_id"], b["text_hash"], b["text"]):
+            for doc, none, key, text in zip(b["doc_id"], b["__no_key"], b["text_hash"], b["text"]):
                 w = words(text)
-                doc = None if pd.isna(doc) else int(doc)
-                out.append((doc, key, len(w), None, None, None, None))
+                out.append((doc, none, key, len(w), None, None, None, None))
                 wanted = {x for x in set(w) if keep(x)}
                 for i, x in enumerate(w):
                     if x in wanted:
                         low = max(0, i - n + 1)
-                        out.append((doc, key, None, x.decode(), i, i - low, b" ".join(w[low : i + n]).decode()))
+                        out.append((doc, none, key, None, x.decode(), i, i - low, b" ".join(w[low : i + n]).decode()))
                         if len(out) >= 20000:
                             yield _frame(out, columns)
                             out = []
             if out:
                 yield _frame(out, columns)
 
-    schema = "doc_id long, text_hash long, n_words long, term string, pos long, at int, around string"
-    return _keyed(docs).mapInPandas(run, schema)
+    schema = "doc_id long, __no_key boolean, text_hash long, n_words long, term string, pos long, at int, around string"
+    return with_nulls(_keyed(docs).mapInPandas(run, schema), "doc_id")
 
 
 def _frame(rows: list, columns: list[str]) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=columns)
-    return frame.astype({"doc_id": "Int64", "n_words": "Int64", "pos": "Int64", "at": "Int32"})
+    return frame.astype({"n_words": "Int64", "pos": "Int64", "at": "Int32"})
 
 
 def anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from ledgerloom.llm.common import table
 BUCKETS = 1 << 15
 ROUNDS = 10
 UNKNOWN = "und"
+_ADDED = ("lang_pred", "score", "shares")
 
 
 @functools.cache
@@ -100,10 +101,12 @@ def proportions(log_p: np.ndarray, counts: np.ndarray, penalty: float) -> np.nda
 
 
 def identify(docs: DataFrame, training: DataFrame, penalty: float = 2.0) -> DataFrame:
-    """All columns of ``docs`` plus lang_pred, score (share of that language) and shares.
+    """All columns of ``docs`` plus lang_pred, score (share of that language) and shares, which
+    take the place of input columns of these names.
 
     Null texts, texts without a letter and all texts when nothing was learned are ``und``
-    with score 0. Only the text is looked at. Repeated rows get equal results.
+    with score 0. Only the text is looked at. Repeated rows get equal results;
+    an empty table gives no rows.
     """
     langs, log_p = train(training)
     spark = docs.sparkSession
@@ -125,7 +128,7 @@ def identify(docs: DataFrame, training: DataFrame, penalty: float = 2.0) -> Data
 
     udf = F.pandas_udf(guess, "lang_pred string, score double, shares map<string,double>")
     guessed = docs.withColumn("__guess", udf(F.col("text")))
-    return guessed.select(*[F.col(f"`{c}`") for c in docs.columns], "__guess.lang_pred", "__guess.score", "__guess.shares")
+    return guessed.select(*[F.col(f"`{c}`") for c in docs.columns if c not in _ADDED], "__guess.lang_pred", "__guess.score", "__guess.shares")
 
 
 def held_out(key, parts: int, part: int):

@@ -78,11 +78,11 @@ def headers(docs: DataFrame, templates=TEMPLATES, least: float = 0.8) -> DataFra
     idf = inverse_frequencies(docs, templates)
     cue = re.compile("licen[cs]e|copying|spdx|redistribut|released under", re.I)
 
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vectors = [(n, _vector(words(t), idf)) for n, texts in templates.items() for t in texts]
-        for b in batches:
+    def match(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        vectors = [(n, _vector(words(t), idf)) for n, same in templates.items() for t in same]
+        for batch in texts:
             out = []
-            for text in b["text"]:
+            for text in batch:
                 own, score, whole = None, 0.0, 0.0
                 if text and cue.search(text):
                     for line in text.split("\n"):
@@ -91,11 +91,11 @@ def headers(docs: DataFrame, templates=TEMPLATES, least: float = 0.8) -> DataFra
                             own, score = (name, s) if s >= least and s > score else (own, score)
                     whole = _best(words(text), vectors, idf)[1]
                 out.append((own, score, own is not None and whole >= least))
-            found = pd.DataFrame(out, columns=["own", "score", "is_file"])
-            yield pd.concat([b[["doc_id", "path"]].reset_index(drop=True), found], axis=1)
+            yield pd.DataFrame(out, columns=["own", "score", "is_file"])
 
-    picked = docs.select(F.col("doc_id").cast("long"), F.col("path").cast("string"), "text")
-    return picked.mapInPandas(match, "doc_id long, path string, own string, score double, is_file boolean")
+    judged = F.pandas_udf(match, "own string, score double, is_file boolean")(F.col("text"))
+    found = docs.select(F.col("doc_id").cast("long"), F.col("path").cast("string"), judged.alias("found"))
+    return found.select("doc_id", "path", "found.own", "found.score", "found.is_file")
 
 
 def _directory(path: Column) -> Column:
@@ -108,7 +108,8 @@ def licences(docs: DataFrame, templates=TEMPLATES, least: float = 0.8) -> DataFr
     Own header first; else the nearest ancestor directory with a licence file (best score,
     then name); else null. The root directory is the empty path. A null path has no
     ancestors; null and empty texts have no header. Ancestors are joined per distinct
-    directory, so a directory with most of the files is one row on both sides.
+    directory, so a directory with most of the files is one row on both sides. Repeated
+    rows give equal rows, an empty table none; other columns are ignored.
     """
     found = written_table(headers(docs, templates, least).withColumn("dir", _directory(F.col("path"))), "headers")
     files = found.where("is_file and dir is not null").groupBy("dir").agg(F.min(F.struct((-F.col("score")).alias("s"), "own")).alias("f"))

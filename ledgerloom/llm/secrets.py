@@ -169,6 +169,8 @@ def scan(docs: DataFrame, extra: tuple[Rule, ...] = EXTRA) -> DataFrame:
     """All columns of ``docs`` plus ``spans_found``: every kept span by start, then kind as listed.
 
     Null text counts as empty and has no spans. Base kinds always run; ``extra`` only adds.
+    An input column ``spans_found`` is replaced. Repeated rows get equal spans; an empty
+    table gives no rows.
     """
     rules = BASE + tuple(extra)
     none = F.array().cast("array<struct<start:bigint,ord:int,kind:string,end:bigint>>")

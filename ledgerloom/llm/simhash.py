@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import table
@@ -59,14 +59,18 @@ def segment_counts(values: np.ndarray) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
     """(doc_id, fp) per row of ``docs``; fp is the fingerprint's bits as a signed long."""
+    return docs.select(F.col("doc_id").cast("long"), bits(F.col("text"), words_per_shingle).alias("fp"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            values = np.array([fingerprint(t, words_per_shingle) for t in b["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": values.view(np.int64)})
 
-    picked = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    return picked.mapInPandas(run, "doc_id long, fp long")
+def bits(text: Column, words_per_shingle: int = 3) -> Column:
+    """Fingerprint of a text column, its bits as a signed long."""
+
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            values = np.array([fingerprint(t, words_per_shingle) for t in batch], np.uint64)
+            yield pd.Series(values.view(np.int64))
+
+    return F.pandas_udf(run, "long")(text)
 
 
 def _visited_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,23 +125,17 @@ def one_per_component(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
     """The row of each component with the smallest doc_id, null ids last, then text hash.
 
     Rows with one doc_id and different texts are judged apart, each in the component of its
-    own text; a component all of whose ids are null keeps one row. Equal rows count once.
+    own text; a component all of whose ids are null keeps one row. Equal rows count once. All
+    columns are kept as they are; an empty table gives no rows.
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     key = {
-        "no_id": F.col("doc_id").isNull(),
-        "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
-        "text_hash": F.xxhash64("text"),
-        "rest_hash": F.xxhash64(*rest) if rest else F.lit(0).cast("long"),
+        "__no_id": F.col("doc_id").isNull(),
+        "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
+        "__text_hash": F.xxhash64("text"),
+        "__rest_hash": F.xxhash64(*rest) if rest else F.lit(0).cast("long"),
     }
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            values = np.array([fingerprint(t, words_per_shingle) for t in b["text"]], np.uint64)
-            yield b.drop(columns="text").assign(fp=values.view(np.int64))
-
-    keyed = docs.select(*[c.alias(k) for k, c in key.items()], "text")
-    fps = keyed.mapInPandas(run, "no_id boolean, id long, text_hash long, rest_hash long, fp long")
+    fps = docs.select(*[c.alias(k) for k, c in key.items()], bits(F.col("text"), words_per_shingle).alias("fp"))
     nodes = written_table(fps.groupBy("fp").agg(F.min(F.struct(*key)).alias("first")), "nodes")
     chosen = rooted(nodes).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
     marked = docs.withColumns(key)

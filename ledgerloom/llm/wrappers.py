@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import table
+from ledgerloom.llm.common import table, with_nulls, without_nulls
 from ledgerloom.llm.urls import host_and_path
 from ledgerloom.session import written_table
 
@@ -167,7 +167,7 @@ def slot_items(wrapper: list[dict]) -> list[bool]:
 def streams(pages: DataFrame) -> DataFrame:
     """(page_id, url, host, paths, many, hashes, sizes, links, at, texts) per page."""
     schema = (
-        "page_id long, url string, host string, paths array<string>, many array<boolean>, hashes array<long>, "
+        "page_id long, __no_key boolean, url string, host string, paths array<string>, many array<boolean>, hashes array<long>, "
         "sizes array<long>, links array<long>, at array<int>, texts array<string>"
     )
 
@@ -187,10 +187,10 @@ def streams(pages: DataFrame) -> DataFrame:
                     hashes = [np.uint64(xxhash.xxh64_intdigest(" ".join(j))).astype(np.int64) for j in joined]
                     rows.append((paths, many, hashes, sizes, links, at, [f[1] for f in found]))
                 made = pd.DataFrame(rows, columns=["paths", "many", "hashes", "sizes", "links", "at", "texts"], index=part.index)
-                yield pd.concat([part[["page_id", "url", "host"]], made], axis=1)
+                yield pd.concat([part[["page_id", "__no_key", "url", "host"]], made], axis=1)
 
     host, _ = host_and_path(F.col("url"))
-    return pages.select(F.col("page_id").cast("long"), "url", host.alias("host"), "html").mapInPandas(run, schema)
+    return without_nulls(pages.select("page_id", "url", host.alias("host"), "html"), "page_id").mapInPandas(run, schema)
 
 
 def wrappers(found: DataFrame) -> DataFrame:
@@ -259,11 +259,11 @@ def main_text(pages: DataFrame) -> DataFrame:
                     for a, c, n in SequenceMatcher(None, names, list(paths), autojunk=False).get_matching_blocks():
                         keep[c : c + n] = main[a : a + n]
                 out.append(" ".join(t for g, t in zip(at, texts) if keep[g]))
-            yield b[["page_id", "url"]].assign(text=out, n_chars=[len(t) for t in out])
+            yield b[["page_id", "__no_key", "url"]].assign(text=out, n_chars=[len(t) for t in out])
 
     # The left side may be split by adaptive execution: wrappers are one row per host.
-    met = found.select("page_id", "url", "host", "paths", "at", "texts").join(made, "host", "left").drop("host")
-    return met.mapInPandas(pick, "page_id long, url string, text string, n_chars long")
+    met = found.select("page_id", "__no_key", "url", "host", "paths", "at", "texts").join(made, "host", "left").drop("host")
+    return with_nulls(met.mapInPandas(pick, "page_id long, __no_key boolean, url string, text string, n_chars long"), "page_id")
 
 
 def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
