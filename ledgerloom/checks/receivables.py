@@ -209,15 +209,14 @@ def receivable_board_asis(t: Tables) -> DataFrame:
 def receivable_board_v2(t: Tables) -> DataFrame:
     f, p = roles(t), _board_parts(t, RULES)
     since = F.col("created_at") >= CUTOFF
-    no = ["project_no"]
-    before = r.project_totals(p["lines"].where(F.col("invoiced_on") < "1995-01-08"), no, "invoiced_on", money_sum("tax_amount"))
-    later = r.project_totals(p["lines"].where(F.col("invoiced_on") >= CUTOFF), no, "invoiced_on", money_sum("tax_amount"))
+    invoiced = F.col("invoiced_on")
+    shipped, before, later = r.board_amounts(p["lines"], MARK, invoiced < "1995-01-08", invoiced >= CUTOFF)
     ledger = r.opening_invoices(p["hand"].withColumn("day", F.date_format("l_shipdate", "yyyy/M/d")))
     sellers = f["tickets"].join(f["sellers"], "seller_id", "left").select(
         F.col("ticket_no").alias("project_no"), F.col("seller_name").alias("seller")
     )
     return r.receivable_board_v2(
-        r.shipped_totals(p["lines"], MARK), before, ledger, r.per_project(p["receipts"].where(since)),
+        shipped, before, ledger, r.per_project(p["receipts"].where(since)),
         r.per_project(p["refunds"].where(since)), later, sellers, AS_OF,
     )
 

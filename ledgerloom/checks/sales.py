@@ -21,6 +21,67 @@ def half_up(x: str, digits: int = 7) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,16)), {digits}) AS DOUBLE)"
 
 
+# Columns of the flat documents in terms of the shared tables, valid in both SQL dialects:
+# orders are the headers, lines the entries, suppliers the lots.
+DAY = "substring(cast(o_orderdate as string), 1, 10)"
+HEADERS = {
+    "bill_id": "o_orderkey", "bill_no": "concat('B', o_orderkey)", "status": "o_orderstatus", "creator_id": "o_custkey", "created_at": DAY,
+    "approver_id": "o_custkey % 7", "approved_at": f"CASE WHEN o_orderstatus = 'F' THEN {DAY} END", "org_id": "o_custkey % 5", "business_date": DAY,
+    "applicant_org_id": "o_custkey % 3", "applied_at": DAY, "supplier_id": "o_custkey % 11", "buyer_id": "o_custkey % 13", "dept_id": "o_custkey % 4",
+    "customer_id": "o_custkey", "seller_id": "o_custkey % 9", "operator_id": "o_custkey % 6", "order_type": "o_orderkey % 2", "purchase_type": "substring(o_orderpriority, 1, 1)",
+    "agent_flag": "concat('', o_orderkey % 2)", "project_basic_id": "o_orderkey % 17", "consignee": "concat('C', o_custkey)", "phone": "concat('+', o_custkey)",
+    "address": "o_orderpriority", "free_text_a": "concat('a', o_orderkey % 8)", "free_text_b": "CASE WHEN o_orderkey % 8 > 4 THEN 'b' END",
+}
+ENTRY = "l_orderkey * 8 + l_linenumber"
+QTY, NET = "cast(l_quantity as decimal(18,2))", "cast(l_extendedprice as decimal(18,2))"
+ENTRIES = {
+    "bill_id": "l_orderkey", "entry_id": ENTRY, "material_id": "l_partkey", "project_id": "l_suppkey % 19", "seller_id": "l_suppkey % 9", "lot_id": "l_suppkey",
+    "stock_id": "l_suppkey % 3", "unit_id": "l_partkey % 5", "is_gift": "l_returnflag", "termination": "l_linestatus", "note": "concat(l_returnflag, l_linestatus)",
+    "source_bill_no": "concat('S', l_partkey)", **dict.fromkeys(("qty", "req_qty", "approved_qty", "due_qty", "received_qty", "shipped_qty", "referred_qty", "base_qty"), QTY),
+    **dict.fromkeys(("price", "tax_price", "amount", "gross_amount", "line_amount", "referred_amount", "base_amount"), NET),
+}
+# Companions have one row per entry; entry numbers repeat among the lines.
+SATELLITES = {
+    "source_bill_no": "max(concat('S', l_partkey))", "lot_no": "max(s_name)",
+    **{c: f"max({QTY})" for c in ("not_joined_qty", "joined_qty")},
+    **{c: f"max({NET})" for c in ("price", "tax_price", "amount", "gross_amount", "line_amount", "joined_amount", "receivable_amount")},
+}
+
+
+def _listed(cols, exprs: dict[str, str], prefix: str = "") -> str:
+    return ", ".join(f"{exprs[c]} AS {prefix}{c}" for c in dict.fromkeys(cols))
+
+
+def _document_sql(spec: flatten.DocumentSpec) -> str:
+    cols, joins = [*spec.header_cols, *spec.entry_cols], ""
+    for i, sat in enumerate(spec.satellites):
+        key, table = ("s_suppkey", "supplier") if sat.table == "lot" else (ENTRY, "lineitem")
+        joins += f" LEFT JOIN (SELECT {key} AS k{i}, {_listed(sat.take, SATELLITES)} FROM {table} GROUP BY {key}) s{i} ON e_{sat.key} = k{i}"
+    entry_cols = ["bill_id", *spec.entry_cols, *(s.key for s in spec.satellites)]
+    out = [*spec.header_cols, *(f"e_{c} AS {c}" for c in spec.entry_cols), *(f"s{i}.{c}" for i, s in enumerate(spec.satellites) for c in s.take)]
+    assert len(set(cols)) == len(cols)
+    return f"""SELECT {", ".join(out)} FROM (SELECT {_listed(spec.header_cols, HEADERS)} FROM orders)
+        LEFT JOIN (SELECT {_listed(entry_cols, ENTRIES, "e_")} FROM lineitem) ON bill_id = e_bill_id{joins}"""
+
+
+def _document(t: Tables, spec: flatten.DocumentSpec) -> DataFrame:
+    def picked(df: DataFrame, cols, exprs: dict[str, str]) -> DataFrame:
+        return df.select(*[F.expr(exprs[c]).alias(c) for c in dict.fromkeys(cols)])
+
+    frames = {
+        spec.header: picked(t["orders"], spec.header_cols, HEADERS),
+        spec.entry: picked(t["lineitem"], ["bill_id", *spec.entry_cols, *(s.key for s in spec.satellites)], ENTRIES),
+    }
+    for sat in spec.satellites:
+        key, table = ("s_suppkey", t["supplier"]) if sat.table == "lot" else (ENTRY, t["lineitem"])
+        frames[sat.table] = table.groupBy(F.expr(key).alias(sat.key)).agg(*[F.expr(SATELLITES[c]).alias(c) for c in sat.take])
+    return flatten.flatten_document(frames, spec)
+
+
+for _name, _spec in flatten.DOCUMENTS.items():
+    query(f"flat_{_name}", _document_sql(_spec))(lambda t, spec=_spec: _document(t, spec))
+
+
 @query(
     "dwd_order_detail",
     """SELECT o_orderkey AS bill_id, o_orderstatus AS status, o_custkey AS customer_id, strftime(o_orderdate, '%Y-%m-%d') AS created_on,

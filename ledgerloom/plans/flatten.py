@@ -32,57 +32,52 @@ class DocumentSpec:
 
 
 HEAD = ("bill_id", "bill_no", "status", "creator_id", "created_at", "approver_id", "approved_at")
+DATED = (*HEAD, "org_id", "business_date")
 LINE = ("entry_id", "material_id")
+LOT = Satellite("lot", ("lot_no",), key="lot_id")
+PRICED = ("price", "tax_price", "amount", "gross_amount")
 
-# The seven flat tables of the warehouse.
+# The seven flat tables of the warehouse. ``org_id`` is the organisation that buys, stocks,
+# delivers, settles or sells; ``business_date`` the date typed on the document.
 DOCUMENTS: dict[str, DocumentSpec] = {
     "requisition": DocumentSpec(
         "requisition", "requisition_entry",
-        (*HEAD, "org_id", "sale_org_id", "applied_at"), (*LINE, "project_id", "seller_id", "req_qty", "approved_qty"),
+        (*HEAD, "org_id", "applicant_org_id", "applied_at"), (*LINE, "project_id", "seller_id", "req_qty", "approved_qty"),
         (Satellite("requisition_entry_rel", ("source_bill_no",)),),
     ),
     "purchase_order": DocumentSpec(
         "purchase_order", "purchase_order_entry",
-        (*HEAD, "org_id", "supplier_id", "buyer_id", "dept_id"), (*LINE, "qty", "project_id", "order_no"),
-        (
-            Satellite("purchase_order_entry_fin", ("price", "tax_price", "amount")),
-            Satellite("purchase_order_entry_rel", ("source_bill_no",)),
-        ),
+        (*DATED, "supplier_id", "buyer_id", "dept_id"), (*LINE, "qty"),
+        (Satellite("purchase_order_entry_fin", PRICED), Satellite("purchase_order_entry_rel", ("source_bill_no",))),
     ),
     "receipt": DocumentSpec(
         "receipt", "receipt_entry",
-        (*HEAD, "stock_org_id", "supplier_id", "buyer_id", "dept_id"), (*LINE, "lot_id", "stock_id", "received_qty", "source_bill_no"),
-        (
-            Satellite("receipt_entry_fin", ("amount", "tax_price")),
-            Satellite("lot", ("lot_no",), key="lot_id"),
-        ),
+        DATED, (*LINE, "lot_id", "stock_id", "due_qty", "received_qty", "is_gift", "source_bill_no"),
+        (Satellite("receipt_entry_fin", ("not_joined_qty", "line_amount")), LOT),
     ),
     "delivery_notice": DocumentSpec(
-        "delivery_notice", "delivery_notice_entry",
-        (*HEAD, "customer_id", "org_id"), (*LINE, "lot_id", "qty", "source_bill_no"),
-        (Satellite("delivery_notice_entry_fin", ("tax_price", "amount")), Satellite("lot", ("lot_no",), key="lot_id")),
+        "delivery_notice", "delivery_notice_entry", DATED, (*LINE, "lot_id", "qty", "source_bill_no"), (LOT,),
     ),
     "shipment": DocumentSpec(
         "shipment", "shipment_entry",
-        (*HEAD, "customer_id", "stock_org_id"), (*LINE, "lot_id", "stock_id", "shipped_qty"),
+        DATED, (*LINE, "due_qty", "shipped_qty", "line_amount"),
         (
-            Satellite("shipment_entry_fin", ("tax_price", "amount")),
-            Satellite("shipment_entry_rel", ("open_qty", "source_bill_no")),
-            Satellite("lot", ("lot_no",), key="lot_id"),
+            Satellite("shipment_entry_fin", PRICED),
+            Satellite("shipment_entry_rel", ("source_bill_no", "joined_qty", "joined_amount", "receivable_amount", "not_joined_qty")),
         ),
     ),
     "settlement": DocumentSpec(
         "settlement", "settlement_entry",
-        (*HEAD, "org_id"), (*LINE, "lot_id", "price", "tax_price", "base_qty", "source_bill_no"),
-        (Satellite("lot", ("lot_no",), key="lot_id"),),
+        DATED, (*LINE, "qty", *PRICED, "referred_qty", "referred_amount", "base_qty", "base_amount", "source_bill_no"),
     ),
     "sale_order": DocumentSpec(
         "sale_order", "sale_order_entry",
-        (*HEAD, "org_id", "customer_id", "seller_id", "order_type"), (*LINE, "qty", "unit_id", "project_id", "note"),
         (
-            Satellite("sale_order_entry_fin", ("price", "tax_price", "amount", "tax_rate")),
-            Satellite("sale_order_entry_rel", ("source_bill_no",)),
+            *DATED, "customer_id", "seller_id", "operator_id", "order_type", "purchase_type", "agent_flag", "project_basic_id",
+            "consignee", "phone", "address", "free_text_a", "free_text_b",
         ),
+        (*LINE, "qty", "unit_id", "project_id", "termination", "note"),
+        (Satellite("sale_order_entry_fin", PRICED),),
     ),
 }
 

@@ -27,15 +27,19 @@ Levels = Sequence[Sequence[tuple[str, str]]]
 
 def order_time(order_id: Column, ordered: Column, examined: Column) -> Column:
     """Time of a platform order: ids starting with 2 keep the order time, others take the
-    time of examination unless it is missing or a 19xx placeholder."""
-    valid = examined.isNotNull() & (examined >= F.lit("2000-01-01").cast("timestamp"))
+    time of examination unless it is missing or a placeholder whose year starts with 19."""
+    valid = examined.isNotNull() & (F.substring(examined.cast("string"), 1, 2) != "19")
     return F.when(F.substring(order_id, 1, 1) == "2", ordered).otherwise(F.when(valid, examined).otherwise(ordered))
 
 
 def platform_orders(
     t: Mapping[str, DataFrame], levels: Levels, channels: Sequence[str], since: str, dropped_states: Sequence[str]
 ) -> DataFrame:
-    """Hand-kept and platform orders net of returned goods, with the delivery region."""
+    """Hand-kept and platform orders net of returned goods, with the delivery region.
+
+    Platform orders alike in number, title, times, address and price are one order, from
+    whose price the returns of all of them are taken.
+    """
     live = t["platform_orders"].where(
         (F.col("state") == "1") & F.col("channel").isin(*channels) & (F.col("order_time") >= since) & ~F.col("order_state").isin(*dropped_states)
     )
@@ -43,8 +47,10 @@ def platform_orders(
     back = t["returns"].where(F.col("state") == "1").select("return_id", "id")
     back = back.join(t["return_lines"].where(F.col("state") == "1").select("return_id", value.alias("__value")), "return_id")
     back = back.groupBy("id").agg(F.sum("__value").alias("__back"))
+    alike = ["order_id", "title", "order_time", "address", "price", "examine_time"]
+    joined = live.select("id", *alike).join(back, "id", "left").groupBy(*alike).agg(F.sum("__back").alias("__back"))
     net = F.col("price").cast(MONEY_TYPE) - F.coalesce("__back", F.lit(0))
-    own = live.join(back, "id", "left").select(
+    own = joined.select(
         order_time(F.col("order_id"), F.col("order_time"), F.col("examine_time")).alias("order_time"), "order_id",
         net.cast(MONEY_TYPE).alias("price"), "title", keyword_region("address", levels).alias("region"),
     )

@@ -28,6 +28,7 @@ from ledgerloom.functions.scalars import (
 from ledgerloom.functions.text import keyword_region
 from ledgerloom.operators.aggregates import money_sum, ratio_sum
 from ledgerloom.operators.joins import Dim, header_join, star_join
+from ledgerloom.session import written_table
 from ledgerloom.plans.upkeep import previous_month
 
 APPROVED = "C"
@@ -359,6 +360,31 @@ def receivable_board_v2(
     )
 
 
+def board_amounts(lines: DataFrame, mark: str, before: Column, since: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """shipped, invoiced_before and invoiced_since of ``receivable_board_v2``.
+
+    One pass over the lines: they are reduced to the groups of ``shipped_totals`` with the
+    amounts of both conditions, written once, and the two totals are taken from that.
+    """
+    keys = [
+        F.col("ticket_seller").alias("seller"), "project_no", "project_name",
+        project_form(mark).alias("form"), first_name("short_name", codes.OTHER).alias("short_name"),
+    ]
+    sums = {"before": before, "since": since}
+    groups = lines.groupBy(*keys).agg(
+        day_text(F.min("business_day")).alias("first_day"), ratio_sum("tax_amount", "ratio").alias("amount"),
+        *[F.sum(F.when(when, F.col("tax_amount"))).alias(f"__{name}") for name, when in sums.items()],
+        *[F.min(F.when(when, F.col("invoiced_on"))).alias(f"__{name}_day") for name, when in sums.items()],
+    )
+    groups = written_table(groups, "board-lines")
+
+    def total(name: str) -> DataFrame:
+        part = groups.where(F.col(f"__{name}_day").isNotNull())
+        return part.groupBy("project_no").agg(day_text(F.min(f"__{name}_day")).alias("first_day"), F.sum(f"__{name}").cast(MONEY_TYPE).alias("amount"))
+
+    return groups.drop("__before", "__since", "__before_day", "__since_day"), total("before"), total("since")
+
+
 def opening_invoices(ledger: DataFrame, pattern: str = "yyyy/M/d") -> DataFrame:
     """Hand ledger per project: latest day (typed by hand as ``pattern``) and total."""
     return ledger.groupBy("project_no").agg(

@@ -38,6 +38,17 @@ def test_every_document_flattens(spark, name):
         assert got[("A", "11")][sat.take[0]] is None
 
 
+def test_the_flat_sales_order_feeds_the_report(spark):
+    """Every line column the report reads is in the flat table; the amount is the gross one."""
+    flat = flatten.DOCUMENTS["sale_order"]
+    cols = {*flat.header_cols, *flat.entry_cols, *(c for s in flat.satellites for c in s.take)}
+    needed = {
+        "created_at", "bill_id", "bill_no", "entry_id", "org_id", "project_id", "creator_id", "seller_id", "operator_id", "unit_id", "material_id", "customer_id", "qty",
+        "tax_price", "amount", "gross_amount", "consignee", "phone", "address", "purchase_type", "termination", "agent_flag", "note", "status", "order_type",
+    }
+    assert needed <= cols
+
+
 def test_staff_directory(spark, rows):
     schema = "id string, name string, name_pinyin string, parent_id string, org_type string, available int"
     elements = frame(
@@ -252,6 +263,22 @@ def test_unit_mismatch_ignores_missing_units(spark, rows):
     assert rows(catalogue.unit_mismatch(ours, theirs)) == [("b", "kg", "box")]
 
 
+def test_platform_orders_alike_are_one(spark, rows):
+    at = "2023-03-01 08:00:00"
+    cols = "id string, order_id string, order_time timestamp, examine_time timestamp, price decimal(19,2), title string, address string, state string, channel string, order_state string"
+    live = [("1", "9"), ("2", "9"), ("3", "8")]
+    t = {
+        "platform_orders": spark.sql("select * from values " + ", ".join(
+            f"('{i}', '{o}', timestamp'{at}', timestamp'{'1900-01-01' if o == '8' else '2023-04-02'}', 100.00BD, 't', 'x', '1', 'c', 'ok')" for i, o in live)).toDF(*[c.split()[0] for c in cols.split(", ")]),
+        "returns": frame(spark, "return_id string, id string, state string", ("r1", "1", "1"), ("r2", "2", "1"), ("r3", "3", "0")),
+        "return_lines": frame(spark, "return_id string, state string, qty int, sell_price int", ("r1", "1", 2, 5), ("r1", "1", 1, 3), ("r2", "1", 1, 7), ("r3", "1", 9, 9)),
+        "hand_orders": spark.sql(f"select timestamp'{at}' as order_time, 'h' as order_id, 1.00BD as price, 'h' as title, 'r' as region"),
+    }
+    got = platform.platform_orders(t, [[("x", "north")]], ["c"], "2023-01-01", ["gone"])
+    found = rows(got.selectExpr("order_id", "date_format(order_time, 'MM-dd') as day", "cast(price as string) as price", "region"))
+    assert found == [("8", "03-01", "100.00", "north"), ("9", "04-02", "80.00", "north"), ("h", "03-01", "1.00", "r")]
+
+
 def test_project_orders_lists_and_mapping(spark, rows):
     t = {
         "tickets": frame(
