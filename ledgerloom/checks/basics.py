@@ -11,7 +11,7 @@ from ledgerloom.functions.scalars import (
     after_first, aging_days, clean_list, day_text, decode, elapsed_days, first_name, is_blank,
     keep_unless, parse_date, part_of,
 )
-from ledgerloom.functions.text import keyword_region, mask_digits, protect_columns, tag_by_keywords, unprotect_columns
+from ledgerloom.functions.text import keyword_region, mask_digits, protect_columns, tag_addresses, tag_by_keywords, unprotect_columns
 from ledgerloom.operators.windows import latest_per_key
 from ledgerloom.plans.catalogue import bill_lines
 from ledgerloom.sources.json import active_items, explode_items, json_field
@@ -242,6 +242,26 @@ def keyword_region_dim(t: Tables) -> DataFrame:
     return tag_by_keywords(parts.select("p_partkey", "p_name"), "p_name", dim, "region").select("p_partkey", "region")
 
 
+# Addresses made of a province, of a city with a province in the caller's list, or of neither.
+CITIES = [("石家庄", "河北"), ("大连", "辽宁"), ("苏州", "江苏"), ("杭州", "浙江"), ("深圳", "广东")]
+ADDRESS = "concat(p_name, CASE WHEN p_partkey % 3 < 2 THEN {city} ELSE '' END, CASE WHEN p_partkey % 3 = 0 THEN {province} ELSE '' END, '路')"
+
+
+def _case(texts: list[str]) -> str:
+    return f"CASE p_partkey % {len(texts)} " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(texts)) + " END"
+
+
+ADDRESS = ADDRESS.format(city=_case([c for c, _ in CITIES]), province=_case(codes.PROVINCES))
+
+
+@query("address_region", f"SELECT p_partkey, {_region_sql('a', [[(p, p) for p in codes.PROVINCES], CITIES])} AS region FROM (SELECT p_partkey, {ADDRESS} AS a FROM part)")
+def address_region_query(t: Tables) -> DataFrame:
+    """A province named in the text wins over any city, whatever their places in it."""
+    cities = t["part"].sparkSession.createDataFrame([(i, c, p) for i, (c, p) in enumerate(CITIES)], "ord int, city string, province string")
+    addresses = t["part"].select("p_partkey", F.expr(ADDRESS).alias("address"))
+    return tag_addresses(addresses, "address", cities, "region").select("p_partkey", "region")
+
+
 @query(
     "mask_digits",
     r"""SELECT doc_id, array_to_string([

@@ -93,6 +93,14 @@ def tag_by_keywords(df: DataFrame, col: str, dim: DataFrame, out: str) -> DataFr
     return tagged.select(*[df[c] for c in df.columns], label.alias(out))
 
 
+def tag_addresses(df: DataFrame, col: str, cities: DataFrame, out: str) -> DataFrame:
+    """``address_region`` for a table of cities (ord, city, province) of any size."""
+    names = [(0, i, p, p) for i, p in enumerate(PROVINCES)]
+    provinces = df.sparkSession.createDataFrame(names, "level int, ord int, keyword string, label string")
+    second = cities.select(F.lit(1).alias("level"), F.col("ord").cast("int"), F.col("city").alias("keyword"), F.col("province").alias("label"))
+    return tag_by_keywords(df, col, provinces.unionByName(second), out)
+
+
 def mask_digits(c: ColumnLike) -> Column:
     """Overwrite every group of four digits that four more digits follow."""
     return F.regexp_replace(as_col(c), MASK_PATTERN, MASK_TEXT)
