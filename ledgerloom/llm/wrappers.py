@@ -3,9 +3,11 @@
 A page becomes a stream of block tags with texts. Adjacent equal blocks fold into a
 repeated group. The folded streams of a host are aligned one after the other into a
 union-free expression: what only some streams have turns optional, what repeats anywhere
-repeats, texts that differ turn into slots, equal ones stay fixed. A page with an article or
-main element of its own gives that element's blocks; every other page is matched with its
-host's wrapper, whose slots that are not mostly links hold the main text.
+repeats. A text is fixed if most different pages of the host have it at the same path,
+which Spark counts over all pages; pages that share their longest block are one. Every
+page is matched with its host's wrapper. Articles, main elements and usual class names vote for
+an item, items that are mostly links over the host's pages have votes against them, and
+fixed texts are left out; text inside an article must be fixed on many pages for that.
 """
 
 from __future__ import annotations
@@ -16,7 +18,6 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 from html.parser import HTMLParser
 
-import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,8 @@ LEFT_OUT_NAMES = re.compile(
     r"^(ad|ads|advert\w*|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent|notice\w*|sidebar\w*|side|menu\w*|nav|navbar|navigation|breadcrumbs?|"
     r"footer|header|masthead|share|sharing|social|related|newsletter|popup|modal|comments?|replies|reply|disqus\w*|contentinfo|complementary)$"
 )
+#: Different pages of a host that must have a text inside an article before it is left out.
+FIRM = 10
 # Elements that hold the page or its main text; their class names only describe a layout.
 ROOTS = {"html", "body", "article", "main"}
 MAIN = re.compile(r"^(article|main)\b|[.](article|content|entry|post|story|main)\b")
@@ -121,8 +124,8 @@ def fold(paths: list[str]) -> tuple[list[str], list[bool], list[int]]:
 
 
 def align(left: list[dict], right: list[dict]) -> list[dict]:
-    """Least expression of both wrappers: items hold path, many, opt, fixed (hash or null),
-    size (text length) and links."""
+    """Least expression of both wrappers: items hold path, many, opt, size (text length) and
+    links (text length in links), summed over the pages."""
     out = []
     for op, a, b, c, d in SequenceMatcher(None, [x["path"] for x in left], [x["path"] for x in right], autojunk=False).get_opcodes():
         if op == "equal":
@@ -132,7 +135,6 @@ def align(left: list[dict], right: list[dict]) -> list[dict]:
                         "path": x["path"],
                         "many": x["many"] or y["many"],
                         "opt": x["opt"] or y["opt"],
-                        "fixed": x["fixed"] if x["fixed"] == y["fixed"] else None,
                         "size": x["size"] + y["size"],
                         "links": x["links"] + y["links"],
                     }
@@ -147,8 +149,7 @@ def _fold_items(items: list[dict]) -> list[dict]:
     for x in items:
         if out and out[-1]["path"] == x["path"]:
             last = out[-1]
-            fixed = last["fixed"] if last["fixed"] == x["fixed"] else None
-            out[-1] = {**last, "many": True, "fixed": fixed, "opt": last["opt"] and x["opt"], "size": last["size"] + x["size"], "links": last["links"] + x["links"]}
+            out[-1] = {**last, "many": True, "opt": last["opt"] and x["opt"], "size": last["size"] + x["size"], "links": last["links"] + x["links"]}
         else:
             out.append(x)
     return out
@@ -158,17 +159,32 @@ def _is_main(path: str) -> bool:
     return any(MAIN.search(part) for part in path.split("/"))
 
 
-def slot_items(wrapper: list[dict]) -> list[bool]:
-    """Which items are slots that are not mostly links: the main text of pages without an
-    article or main element."""
-    return [x["fixed"] is None and 2 * x["links"] <= x["size"] for x in wrapper]
+def chosen(paths: list[str], wrapper: list[dict]) -> list[bool]:
+    """Groups of a page that its host's wrapper takes for main text.
+
+    Votes: two for an element that usually holds the article, one for a slot whose text is
+    not mostly links over the host's pages, one against a slot whose text is. On pages
+    with an article only its groups are asked; a group the alignment passes over is a slot.
+    """
+    votes = [2 if _is_main(p) else 0 for p in paths]
+    inside = any(votes)
+    linked = [False] * len(paths)
+    for a, c, n in SequenceMatcher(None, [x["path"] for x in wrapper], paths, autojunk=False).get_matching_blocks():
+        linked[c : c + n] = [2 * x["links"] > x["size"] for x in wrapper[a : a + n]]
+    return [(not inside or v > 0) and v + (-1 if links else 1) > 0 for v, links in zip(votes, linked)]
+
+
+def _hashed(text: str) -> int:
+    value = xxhash.xxh64_intdigest(text)
+    return value - (1 << 64) if value >> 63 else value
 
 
 def streams(pages: DataFrame) -> DataFrame:
-    """(page_id, url, host, paths, many, hashes, sizes, links, at, texts) per page."""
+    """Per page: page_id, url, host, its groups (paths, many, hashes, sizes, links), and its
+    blocks (group they are at, texts, marks), with a hash of the longest text."""
     schema = (
         "page_id long, __no_key boolean, url string, host string, paths array<string>, many array<boolean>, hashes array<long>, "
-        "sizes array<long>, links array<long>, at array<int>, texts array<string>"
+        "sizes array<long>, links array<long>, at array<int>, texts array<string>, marks array<long>, longest long"
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -184,9 +200,13 @@ def streams(pages: DataFrame) -> DataFrame:
                         sizes[g] += len(text)
                         links[g] += link
                         joined[g].append(text)
-                    hashes = [np.uint64(xxhash.xxh64_intdigest(" ".join(j))).astype(np.int64) for j in joined]
-                    rows.append((paths, many, hashes, sizes, links, at, [f[1] for f in found]))
-                made = pd.DataFrame(rows, columns=["paths", "many", "hashes", "sizes", "links", "at", "texts"], index=part.index)
+                    hashes = [_hashed(" ".join(j)) for j in joined]
+                    texts = [f[1] for f in found]
+                    # Where each block stands and what it says.
+                    marks = [_hashed(f"{path}\n{text}") for path, text, _ in found]
+                    longest = _hashed(max(texts, key=len)) if texts else 0
+                    rows.append((paths, many, hashes, sizes, links, at, texts, marks, longest))
+                made = pd.DataFrame(rows, columns=["paths", "many", "hashes", "sizes", "links", "at", "texts", "marks", "longest"], index=part.index)
                 yield pd.concat([part[["page_id", "__no_key", "url", "host"]], made], axis=1)
 
     host, _ = host_and_path(F.col("url"))
@@ -198,27 +218,24 @@ def wrappers(found: DataFrame) -> DataFrame:
 
     Streams of one shape are first put together by Spark, item by item, so that a host's
     pages count, however many, as its distinct shapes. Shapes are aligned in 64
-    salted groups of a host, then these wrappers with each other. A text is fixed only
-    if a shape's pages differ somewhere.
+    salted groups of a host, then these wrappers with each other.
     """
     shape = F.xxhash64("paths")
-    rows = found.where(F.size("paths") > 0).select("host", shape.alias("shape"), F.xxhash64("hashes").alias("whole"),
-                                                   F.posexplode(F.arrays_zip("paths", "many", "hashes", "sizes", "links")).alias("pos", "x"))
+    rows = found.where(F.size("paths") > 0).select("host", shape.alias("shape"), F.posexplode(F.arrays_zip("paths", "many", "hashes", "sizes", "links")).alias("pos", "x"))
     items = rows.groupBy("host", "shape", "pos").agg(
         F.max("x.paths").alias("path"),
         F.max("x.many").alias("many"),
-        F.when((F.min("x.hashes") == F.max("x.hashes")) & (F.min("whole") != F.max("whole")), F.max("x.hashes")).alias("fixed"),
         F.sum("x.sizes").alias("size"),
         F.sum("x.links").alias("links"),
     )
-    shapes = items.groupBy("host", "shape").agg(F.sort_array(F.collect_list(F.struct("pos", "path", "many", "fixed", "size", "links"))).alias("items"))
+    shapes = items.groupBy("host", "shape").agg(F.sort_array(F.collect_list(F.struct("pos", "path", "many", "size", "links"))).alias("items"))
     first = shapes.select("host", F.pmod("shape", F.lit(64)).alias("salt"), F.col("shape").alias("ord"), F.to_json("items").alias("wrapper"))
 
     def merge(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("ord")
         out: list[dict] | None = None
         for text in part["wrapper"]:
-            one = [{"path": x["path"], "many": x["many"], "opt": x.get("opt", False), "fixed": x.get("fixed"), "size": x["size"], "links": x["links"]} for x in json.loads(text)]
+            one = [{"path": x["path"], "many": x["many"], "opt": x.get("opt", False), "size": x["size"], "links": x["links"]} for x in json.loads(text)]
             out = one if out is None else align(out, one)
         return pd.DataFrame({"host": [part["host"].iloc[0]], "ord": [part["salt"].iloc[0]], "wrapper": [json.dumps(out)]})
 
@@ -227,42 +244,57 @@ def wrappers(found: DataFrame) -> DataFrame:
     return whole.select("host", "wrapper")
 
 
+def fixed_texts(found: DataFrame) -> DataFrame:
+    """(host, fixed, firm): marks of blocks that at least half of a host's different pages
+    have, two at least; ``firm`` are those of FIRM different pages or more.
+
+    Pages with one longest block count once, so copies with small changes make nothing
+    fixed. As half of the pages hold each mark, there are at most twice as many marks as
+    blocks on an average page.
+    """
+    pages = found.where(F.size("marks") > 0)
+    different = pages.select("host", "longest").distinct().groupBy("host").agg(F.count("*").alias("n"))
+    marks = pages.select("host", "longest", F.explode("marks").alias("mark")).distinct()
+    counted = marks.groupBy("host", "mark").agg(F.count("*").alias("c")).where("c > 1").join(different, "host").where("2 * c >= n")
+    return counted.groupBy("host").agg(F.collect_list("mark").alias("fixed"), F.collect_list(F.when(F.col("c") >= FIRM, F.col("mark"))).alias("firm"))
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars per row of ``pages``.
 
     Null and empty html and pages without main text give an empty text. Null urls and urls
-    without a host share the empty host. Repeated rows give equal rows; an only page of a host is
-    its own wrapper, all of whose texts are slots.
+    without a host share the empty host. Repeated rows give equal rows. On the only page of a
+    host no text is fixed. Long pages and deep nesting are read whole.
     """
     found = written_table(streams(pages), "streams")
-    made = written_table(wrappers(found), "wrappers")
+    made = written_table(wrappers(found).join(fixed_texts(found), "host", "left"), "wrappers")
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        read: dict[str, tuple[list[str], list[bool]]] = {}
+        read: dict[str, tuple[list[dict], dict]] = {}
         for b in batches:
             out = []
-            for paths, at, texts, wrapper in zip(b["paths"], b["at"], b["texts"], b["wrapper"]):
+            for paths, at, texts, marks, wrapper, fixed, firm in zip(*(b[c] for c in ("paths", "at", "texts", "marks", "wrapper", "fixed", "firm"))):
                 if wrapper is None:
                     out.append("")
                     continue
                 if wrapper not in read:
                     if len(read) > 100:
                         read.clear()
-                    items = json.loads(wrapper)
-                    read[wrapper] = [x["path"] for x in items], slot_items(items)
-                # Other pages of the host may be of another template, so only the page's own
-                # elements count. A block the alignment passes over is kept.
-                keep = [_is_main(p) for p in paths]
-                if not any(keep):
-                    names, main = read[wrapper]
-                    keep = [True] * len(paths)
-                    for a, c, n in SequenceMatcher(None, names, list(paths), autojunk=False).get_matching_blocks():
-                        keep[c : c + n] = main[a : a + n]
-                out.append(" ".join(t for g, t in zip(at, texts) if keep[g]))
+                    read[wrapper] = json.loads(wrapper), {}
+                items, known = read[wrapper]
+                shape = tuple(paths)
+                if shape not in known:
+                    if len(known) > 1000:
+                        known.clear()
+                    known[shape] = chosen(list(paths), items)
+                keep = known[shape]
+                fixed, firm = (set() if x is None else set(x) for x in (fixed, firm))
+                gone = [m in (firm if _is_main(paths[g]) else fixed) for g, m in zip(at, marks)]
+                out.append(" ".join(t for g, t, drop in zip(at, texts, gone) if keep[g] and not drop))
             yield b[["page_id", "__no_key", "url"]].assign(text=out, n_chars=[len(t) for t in out])
 
     # The left side may be split by adaptive execution: wrappers are one row per host.
-    met = found.select("page_id", "__no_key", "url", "host", "paths", "at", "texts").join(made, "host", "left").drop("host")
+    met = found.select("page_id", "__no_key", "url", "host", "paths", "at", "texts", "marks").join(made, "host", "left").drop("host")
     return with_nulls(met.mapInPandas(pick, "page_id long, __no_key boolean, url string, text string, n_chars long"), "page_id")
 
 

@@ -266,6 +266,24 @@ def test_main_text_of_mixed_hosts(spark):
     assert got == {1: "story", 2: "text 1", 3: "text 2", 4: "inside", 5: "one", 6: "two"}
 
 
+def test_other_pages_of_the_host_decide(spark):
+    """A sentence inside the article is its text on one page, and a notice once many differing
+    pages of the host have it; copies of one page prove nothing."""
+    def page(i, host, story):
+        return (i, f"http://{host}/{i}", f"<body><nav>menu</nav><article><h1>Head {story}</h1><p>{story} is told at some length here, number {i % 7 if host == 'copies' else i}</p><p>Read our letter</p></article></body>")
+
+    many = [page(i, "many", f"tale{i}") for i in range(12)]
+    few = [page(100 + i, "few", f"tale{i}") for i in range(3)]
+    copies = [(200 + i, "http://copies/" + str(i), f"<article><p>the one long story of all copies, told at length</p><p>end {i}</p><p>Read our letter</p></article>") for i in range(15)]
+    plain = [(300 + i, f"http://plain/{i}", f"<div class=top>Site name</div><div class=text><p>words of page {i}</p></div><div><a href=x>one link {i}</a></div>") for i in range(4)]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame([*many, *few, *copies, *plain], "page_id long, url string, html string")).collect()}
+    for i in range(12):
+        assert got[i] == f"Head tale{i} tale{i} is told at some length here, number {i}"
+    assert got[100] == "Head tale0 tale0 is told at some length here, number 100 Read our letter"
+    assert got[203] == "the one long story of all copies, told at length end 3 Read our letter"
+    assert [got[300 + i] for i in range(4)] == [f"words of page {i}" for i in range(4)]
+
+
 def test_one_row_per_component(spark):
     import corpus_pipeline
 
