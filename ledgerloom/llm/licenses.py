@@ -1,18 +1,23 @@
-"""Licence scan: TF-IDF cosine of lines and whole files to templates, then inheritance.
-
-Lines that share a rare word with a template are headers; their sparse TF-IDF vectors are
-compared with the templates'. Idf counts come from all documents. A document that is
-little more than a licence text is the licence file of its directory. A document without a
-header takes the licence of its nearest ancestor directory that has a licence file.
+"""Licence scan: TF-IDF cosine of headers and whole files to templates, then inheritance.
+
+Units of a text (lines, their sentences, paragraphs, the whole) become sparse TF-IDF
+vectors and meet the templates' vectors in a join on the word. Idf counts are the numbers of
+documents, over all of them, that hold the word. A unit whose cosine reaches the limit
+must share some of a template's heaviest words, whichever they are by these counts, so units
+without any are not listed. A document that is little more than a licence text is the
+licence file of its directory. A document without a header takes the licence of its
+nearest ancestor directory that has a licence file.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,16 +26,40 @@ from ledgerloom.llm.common import table
 from ledgerloom.session import written_table
 
 _WORD = re.compile(r"[a-z0-9]+")
-
-# Short notices by licence; a caller may pass fuller texts.
+_SENTENCE = re.compile(r"(?<=[.;])\s+")
+_PARAGRAPH = re.compile(r"\n[ \t]*\n")
+#: Bits of the table of hashed words that is looked at before words are counted.
+BITMAP_BITS = 1 << 20
+
+# Identifiers and names of licences, usual headers, two notices.
+NAMES = {
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0"),
+    "MIT": ("MIT License",),
+    "GPL-3.0": ("GNU General Public License, version 3", "GNU General Public License v3.0"),
+    "CC-BY-4.0": ("CC BY 4.0", "Creative Commons Attribution 4.0 International License"),
+    "CC-BY-SA-4.0": ("CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"),
+    "CC-BY-NC-4.0": ("CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"),
+    "BSD-3-Clause": ("BSD 3-Clause License",),
+}
+HEADERS = (
+    "{}", "Licensed under the {}", "Released under the {}", "Distributed under the {}", "Redistributed under the {}", "This work is licensed under the {}",
+    "This file is licensed under the {}", "This project is licensed under the {}", "This project is released under the {}",
+)
+NOTICES = {
+    "Apache-2.0": (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    ),
+    "MIT": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions:",
+    ),
+}
 TEMPLATES = {
-    "Apache-2.0": ("Licensed under the Apache License, Version 2.0.",),
-    "MIT": ("Released under the MIT License.",),
-    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.",),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0.",),
-    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.",),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.",),
-    "BSD-3-Clause": ("Redistributed under the BSD 3-Clause License.",),
+    name: (*(h.format(n) for n in names for h in HEADERS), f"SPDX-License-Identifier: {name}", *NOTICES.get(name, ()))
+    for name, names in NAMES.items()
 }
 
 
@@ -38,64 +67,107 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def _vocabulary(templates) -> set[str]:
-    return {w for texts in templates.values() for t in texts for w in words(t)}
+def frequencies(docs: DataFrame, keep: Sequence[str] | bytes) -> DataFrame:
+    """(w, c): in how many documents a word occurs, for listed words or those that a packed
+    table of hashes holds; the word "" counts all documents."""
+
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        listed = frozenset(keep) if not isinstance(keep, bytes) else None
+        bits = None if listed is not None else np.unpackbits(np.frombuffer(keep, np.uint8)).tobytes()
+        for b in batches:
+            seen: Counter = Counter({"": len(b)})
+            for text in b["text"]:
+                found = set(words(text))
+                seen.update(found & listed if listed is not None else [w for w in found if bits[_slot(w)]])
+            yield pd.DataFrame({"w": list(seen), "c": list(seen.values())})
 
+    return docs.select("text").mapInPandas(count, "w string, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
-def inverse_frequencies(docs: DataFrame, templates) -> dict[str, float]:
-    """Idf over all documents of the templates' words; one row per word reaches the driver."""
-    wanted = _vocabulary(templates)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            seen: Counter = Counter()
-            for t in b["text"]:
-                seen.update(wanted.intersection(words(t)))
-            yield pd.DataFrame({"w": ["", *seen], "c": [len(b), *seen.values()]})
+def _slot(word: str) -> int:
+    return zlib.crc32(word.encode()) % BITMAP_BITS
 
-    sums = docs.select("text").mapInPandas(count, "w string, c long").groupBy("w").agg(F.sum("c").alias("c")).collect()
-    known = {r["w"]: r["c"] for r in sums}
-    total = known.get("", 0)
-    return {"": math.log(1 + total), **{w: math.log((1 + total) / (1 + known.get(w, 0))) + 0.1 for w in wanted}}
 
+def _idf(total: int, count: int) -> float:
+    return math.log((1 + total) / (1 + count)) + 0.1
 
-def _vector(tokens: list[str], idf: dict[str, float]) -> dict[str, float]:
-    weights = {w: n * idf.get(w, idf[""]) for w, n in Counter(tokens).items()}
+
+def vector(tokens: Sequence[str], idf: Mapping[str, float]) -> dict[str, float]:
+    weights = {w: n * idf[w] for w, n in Counter(tokens).items()}
     norm = math.sqrt(sum(x * x for x in weights.values())) or 1.0
     return {w: x / norm for w, x in weights.items()}
 
 
-def _best(tokens, vectors, idf) -> tuple[str | None, float]:
-    line = _vector(tokens, idf)
-    scored = [(sum(x * v.get(w, 0.0) for w, x in line.items()), name) for name, v in vectors]
-    score, name = max(scored, key=lambda s: (s[0], [-ord(c) for c in s[1]])) if scored else (0.0, None)
-    return name, score
+def cues(vectors: Sequence[Mapping[str, float]], least: float) -> set[str]:
+    """Words of which a unit has one at least if its cosine with some vector reaches ``least``:
+    the words of a vector that are left out of it have less than the square of ``least``."""
+    out: set[str] = set()
+    for v in vectors:
+        rest = 1.0
+        for w in sorted(v, key=lambda w: (-v[w], w)):
+            if rest < least * least - 1e-9:
+                break
+            out.add(w)
+            rest -= v[w] ** 2
+    return out
+
+
+def units(text: str | None, marks: set[str]) -> list[tuple[bool, dict[str, int]]]:
+    """(whether it is the whole text, word counts) of the units that hold one of ``marks``."""
+    tokens = words(text)
+    if marks.isdisjoint(tokens):
+        return []
+    parts = []
+    for paragraph in _PARAGRAPH.split(text):
+        lines = paragraph.split("\n")
+        parts += [paragraph, *lines, *(s for line in lines for s in _SENTENCE.split(line))]
+    found = {tuple(words(part)) for part in parts}
+    return [(True, Counter(tokens)), *((False, Counter(t)) for t in sorted(found) if not marks.isdisjoint(t))]
 
 
 def headers(docs: DataFrame, templates=TEMPLATES, least: float = 0.8) -> DataFrame:
-    """doc_id, path, own (best licence of any line or null), score, is_file (the whole text
+    """doc_id, path, own (best licence of any unit or null), score, is_file (the whole text
     is as close to a template as a header)."""
-    idf = inverse_frequencies(docs, templates)
-    cue = re.compile("licen[cs]e|copying|spdx|redistribut|released under", re.I)
+    listed = [(name, words(t)) for name, texts in templates.items() for t in texts]
+    vocabulary = sorted({w for _, t in listed for w in t})
+    known = {r["w"]: r["c"] for r in frequencies(docs, vocabulary).collect()}  # words of the templates
+    total = known.get("", 0)
+    idf = {w: _idf(total, known.get(w, 0)) for w in vocabulary}
+    vectors = [(name, vector(t, idf)) for name, t in listed]
+    marks = cues([v for _, v in vectors], least)
 
-    def match(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        vectors = [(n, _vector(words(t), idf)) for n, same in templates.items() for t in same]
+    def cut(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            out = []
-            for text in batch:
-                own, score, whole = None, 0.0, 0.0
-                if text and cue.search(text):
-                    for line in text.split("\n"):
-                        if cue.search(line):
-                            name, s = _best(words(line), vectors, idf)
-                            own, score = (name, s) if s >= least and s > score else (own, score)
-                    whole = _best(words(text), vectors, idf)[1]
-                out.append((own, score, own is not None and whole >= least))
-            yield pd.DataFrame(out, columns=["own", "score", "is_file"])
-
-    judged = F.pandas_udf(match, "own string, score double, is_file boolean")(F.col("text"))
-    found = docs.select(F.col("doc_id").cast("long"), F.col("path").cast("string"), judged.alias("found"))
-    return found.select("doc_id", "path", "found.own", "found.score", "found.is_file")
+            yield pd.Series([[{"whole": whole, "words": counts} for whole, counts in units(t, marks)] for t in batch])
+
+    key = [F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b")]
+    cutter = F.pandas_udf(cut, "array<struct<whole:boolean,words:map<string,int>>>")
+    listed_units = docs.select(*key, F.posexplode(cutter(F.col("text"))).alias("unit", "u")).select("a", "b", "unit", "u.whole", "u.words")
+    found = written_table(listed_units, "units")
+    terms = found.select(F.explode(F.map_keys("words")).alias("w")).distinct()
+    terms = terms.where(~F.col("w").isin(*vocabulary)) if vocabulary else terms
+    bits = np.zeros(BITMAP_BITS, bool)
+    slots = terms.select((F.crc32(F.col("w").cast("binary")) % BITMAP_BITS).alias("slot")).distinct().toPandas()
+    bits[slots["slot"].to_numpy(np.int64)] = True
+    spark = docs.sparkSession
+    first = spark.createDataFrame([(w, float(x)) for w, x in idf.items()], "w string, idf double")
+    others = frequencies(docs, np.packbits(bits).tobytes()).join(terms, "w", "left_semi")
+    weighed = first.unionByName(others.select("w", (F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("c"))) + 0.1).alias("idf")))
+
+    # Texts with equal units are judged once. Copies of a unit differ in nothing.
+    spread = found.dropDuplicates(["a", "b", "unit"]).select("a", "b", "unit", "whole", F.explode("words").alias("w", "n"))
+    spread = spread.join(weighed, "w").withColumn("x", F.col("n") * F.col("idf"))
+    wanted = spark.createDataFrame([(w, i, name, float(x)) for i, (name, v) in enumerate(vectors) for w, x in v.items()], "w string, i int, name string, t double")
+    unit = ["a", "b", "unit", "whole"]
+    norms = spread.groupBy(*unit).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    dots = spread.join(wanted, "w").groupBy(*unit, "i", "name").agg(F.sum(F.col("x") * F.col("t")).alias("dot"))
+    scores = dots.join(norms, unit).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= least)
+    best = F.min(F.when(~F.col("whole"), F.struct((-F.col("score")).alias("s"), "name"))).alias("best")
+    judged = scores.groupBy("a", "b").agg(best, F.max("whole").alias("file")).where("best is not null")
+    judged = judged.select(F.col("a").alias("__a"), F.col("b").alias("__b"), "best", "file")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("path").cast("string"), *key)
+    out = rows.join(judged, (F.col("a") == F.col("__a")) & (F.col("b") == F.col("__b")), "left")
+    return out.select("doc_id", "path", F.col("best.name").alias("own"), F.coalesce(-F.col("best.s"), F.lit(0.0)).alias("score"), F.coalesce("file", F.lit(False)).alias("is_file"))
 
 
 def _directory(path: Column) -> Column:

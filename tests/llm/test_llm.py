@@ -217,6 +217,53 @@ def test_licence_inheritance(spark):
     }
 
 
+def plain_licences(texts, least=0.8):
+    """Every unit against every template, without cues, from counts of all words."""
+    import math
+    from collections import Counter
+
+    sets = [set(licenses.words(t)) for t in texts]
+    idf = lambda w: math.log((1 + len(texts)) / (1 + sum(w in s for s in sets))) + 0.1
+
+    def vec(tokens):
+        v = {w: n * idf(w) for w, n in Counter(tokens).items()}
+        norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
+        return {w: x / norm for w, x in v.items()}
+
+    templates = [(n, vec(licenses.words(t))) for n, ts in licenses.TEMPLATES.items() for t in ts]
+    out = []
+    for text in texts:
+        parts = [p for p in re.split(r"\n[ \t]*\n", text or "")]
+        parts += [line for p in parts for line in p.split("\n")]
+        parts += [s for p in parts for s in re.split(r"(?<=[.;])\s+", p)]
+        scored = [(-round(sum(x * t.get(w, 0.0) for w, x in vec(licenses.words(p)).items()), 9), n) for p in parts for n, t in templates]
+        s, name = min(scored, default=(0.0, None))
+        whole = max((sum(x * t.get(w, 0.0) for w, x in vec(licenses.words(text)).items()) for _, t in templates), default=0.0)
+        out.append((name, round(-s, 9), whole >= least) if -s >= least else (None, 0.0, False))
+    return out
+
+
+def test_licences_against_plain_version(spark):
+    import random
+
+    rng = random.Random(4)
+    lines = [
+        "This file is licensed under the Apache License, Version 2.0", "This project is released under the MIT License", "SPDX-License-Identifier: Apache-2.0",
+        "Copyright (c) 2020 Acme. Released under the MIT License.", "Licensed under CC BY-SA 4.0.", "mit der Bahn", "a license to fish", "the MIT campus",
+    ]
+    texts = [" ".join(rng.choice(WORDS) for _ in range(rng.randint(1, 30))) for _ in range(200)]
+    texts += [f"{rng.choice(texts)}\n{line}\n{rng.choice(texts)}" for line in lines * 3] + lines + [None, "", "\n\n", lines[0], lines[0]]
+    texts += [licenses.TEMPLATES["MIT"][-1].replace(" to ", "\nto "), "x " * 20000 + "\n\n" + lines[1] + "\n\n" + "y " * 20000]
+    docs = spark.createDataFrame([(i, "p", t, 0.5) for i, t in enumerate(texts)], "doc_id long, path string, text string, score double")
+    got = {r.doc_id: (r.own, r.score, r.is_file) for r in licenses.headers(docs).collect()}
+    want = plain_licences(texts)
+    for i, w in enumerate(want):
+        assert got[i][0] == w[0] and abs(got[i][1] - w[1]) < 1e-6 and got[i][2] == w[2], (texts[i], got[i], w)
+    for i, line in enumerate(lines[:5]):
+        assert got[224 + i][0] == ("Apache-2.0", "MIT", "Apache-2.0", "MIT", "CC-BY-SA-4.0")[i], line
+    assert not any(got[224 + i][0] for i in (5, 6, 7))
+
+
 def test_toxicity_learns(spark):
     texts = [(i, " ".join(WORDS[(i * 7) % 300 : (i * 7) % 300 + 40]) + (" awful" if i % 4 == 0 else "")) for i in range(200)]
     known = docs_of(spark, texts)
