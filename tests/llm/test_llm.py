@@ -361,3 +361,68 @@ def test_pipeline_stages(spark, tmp_path):
     assert sorted(left) == [3, 6, 7] and left[6] == secret.replace("password=abcdefgh12345678", "[secret]")
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in packed.collect()} == {3, 6, 7}
+
+
+def plain_pipeline(texts, bench):
+    """Kept (doc_id, text) of the stages before packing, by plain loops over all pairs."""
+    kept = [(i, t) for i, t in texts if t and any(c.isalpha() for c in t)]
+    kept = list(dict.fromkeys(kept))
+    fps = [plain_fingerprint(t) for _, t in kept]
+    group = list(range(len(kept)))
+    for _ in kept:
+        for a in range(len(kept)):
+            for b in range(len(kept)):
+                if bin(fps[a] ^ fps[b]).count("1") <= 2:
+                    group[a] = group[b] = min(group[a], group[b])
+    first = {}
+    for (i, t), g in zip(kept, group):
+        if g not in first or (i is None, i) < (first[g][0] is None, first[g][0]):
+            first[g] = (i, t)
+
+    def words(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(t))
+
+    windows = {tuple(w[k : k + 10]) for w in map(words, bench) for k in range(max(1, len(w) - 9)) if w}
+    clean = [(i, t) for i, t in first.values() if not any(tuple(words(t)[k : k + len(win)]) == win for win in windows for k in range(len(words(t))))]
+    masks = re.compile(r"""(?i:(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[a-z0-9+/_.=-]{12,})|AKIA[A-Z0-9]{14,}|[0-9a-f]{16,}""")
+    return [(i, masks.sub("[secret]", t)) for i, t in clean]
+
+
+def test_pipeline_against_plain_version(spark, tmp_path):
+    import random
+    import zlib
+
+    import corpus_pipeline
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rng = random.Random(9)
+    bench = [" ".join(f"frage{i}" for i in range(k, k + 14)) for k in (0, 30)] + ["kurze Frage"]
+    texts = [(i, " ".join(rng.choice(WORDS) for _ in range(rng.randint(1, 90)))) for i in range(60)]
+    texts += [(100 + i, t) for i, t in enumerate(t.replace(" ", "  ", 1) for _, t in texts[:10])]
+    texts += [(200, f"{texts[3][1]} {bench[0]} danach"), (201, "eine Kurze, frage hier"), (202, f"x {bench[1][:60]}"), (203, "password=abcdefgh12345678 und AKIA" + "Q" * 16)]
+    texts += [(204, "0123456789abcdef0 am Anfang"), (205, None), (206, ""), (207, "12 34 ."), (None, "ohne Nummer bleibt dieser Text"), (2**60 + 1, LONG), (208, LONG + " ende")]
+    texts += texts[:5]
+    docs_of(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(list(enumerate(bench)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = []
+    for i, t in plain_pipeline(texts, bench):
+        ids = np.array([*plain.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        want += [(i, s, zlib.crc32(ids[s : s + 1024].tobytes()), len(ids)) for s in range(0, len(ids), 1024)]
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.start, r.ids_crc32, r.doc_tokens) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_held_out_accuracy(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    named = language.op7_language(spark, folder).where("held_out").join(docs, "doc_id")
+    right, n = named.agg(F.count_if(F.col("lang") == F.col("lang_pred")), F.count("*")).first()
+    assert n > 200 and right >= 0.98 * n
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    scored = [(r.score, r.toxic) for r in toxicity.op9_toxicity(spark, folder).where("held_out").join(labels, "doc_id").collect()]
+    toxic, clean = [s for s, y in scored if y], [s for s, y in scored if not y]
+    above = sum((a > b) + (a == b) / 2 for a in toxic for b in clean) / max(1, len(toxic) * len(clean))
+    assert toxic and above > 0.75
