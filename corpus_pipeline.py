@@ -88,7 +88,7 @@ STAGES = [
     ("pack", _stage(pack)),
 ]
 
-# Packing and fingerprints are not expressible in SQL; a brute-force version tests run().
+# Packing and fingerprints are not expressible in SQL; tests/llm compares run() with plain loops.
 ORACLE_SQL = None
 
 

@@ -241,9 +241,7 @@ def transfer_margin(t: Tables) -> DataFrame:
     return sales.transfer_margin(frames, own_orgs=["F"], channel_org="P", channel_note="channel", ties=["l_linenumber", "l_suppkey"])
 
 
-@query(
-    "gross_margin",
-    f"""WITH x AS (SELECT 'P' || p_partkey AS project_no, p_name AS project_name, c_mktsegment AS customer_name, c_mktsegment AS contact_name, p_brand AS brand, p_type AS brand_type,
+GROSS_SQL = f"""WITH x AS (SELECT 'P' || p_partkey AS project_no, p_name AS project_name, c_mktsegment AS customer_name, c_mktsegment AS contact_name, p_brand AS brand, p_type AS brand_type,
             CAST(p_partkey AS VARCHAR) AS material_no, p_name AS material_name, p_type AS specification, p_type AS material_group, CAST(p_size AS VARCHAR) AS ratio,
             CAST(CASE WHEN p_size % 5 = p_size % 25 THEN 0 ELSE p_size / 100 END AS DECIMAL(9,6)) AS agent_rate, strftime(o_orderdate, '%Y-%m') AS created_at,
             CAST(l_tax AS DECIMAL(6,4)) AS tax, CAST(CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_quantity END AS DECIMAL(18,2)) AS q, CAST(l_extendedprice AS DECIMAL(18,2)) AS a,
@@ -256,8 +254,10 @@ def transfer_margin(t: Tables) -> DataFrame:
         SELECT project_no, project_name, customer_name, contact_name, brand, brand_type, material_no, material_name, specification, material_group, ratio, created_at, agent_rate, tax,
             qd AS sale_qty, qd AS cost_qty, {half_up('sale / (1 + t) / u')} AS net_sale_price, {half_up('sale / u')} AS tax_sale_price, {half_up('sale / (1 + t)')} AS net_sale_amount, {half_up('sale')} AS tax_sale_amount,
             {half_up('cost / u')} AS net_cost_price, {half_up('cost * (1 + t) / u')} AS tax_cost_price, {half_up('cost')} AS net_cost_amount, {half_up('cost * (1 + t)')} AS tax_cost_amount,
-            {half_up('sale / (1 + t) - cost')} AS gross_margin FROM h""",
-)
+            {half_up('sale / (1 + t) - cost')} AS gross_margin FROM h"""
+
+
+@query("gross_margin", GROSS_SQL)
 def gross_margin(t: Tables) -> DataFrame:
     orders, part, customer = t["orders"], t["part"], t["customer"]
     rows = lines(t)
@@ -283,3 +283,22 @@ def gross_margin(t: Tables) -> DataFrame:
         ),
     }
     return sales.gross_margin(sales.margin_lines(frames), digits=7).withColumns({c: F.col(c).cast("decimal(28,2)") for c in ("sale_qty", "cost_qty")})
+
+
+SHEET_TEXTS = (
+    "project_no", "project_name", "customer_name", "contact_name", "brand", "brand_type", "material_no", "material_name", "specification", "material_group", "ratio", "created_at",
+)
+SHEET_AMOUNTS = (
+    "net_sale_price", "tax_sale_price", "net_sale_amount", "tax_sale_amount", "net_cost_price", "tax_cost_price", "net_cost_amount", "tax_cost_amount", "gross_margin",
+)
+
+
+@query(
+    "margin_sheet",
+    "SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in SHEET_TEXTS)
+    + ", sale_qty, CAST(tax AS DECIMAL(6,2)) AS sale_tax, cost_qty, CAST(tax AS DECIMAL(6,2)) AS cost_tax, "
+    + ", ".join(f"CAST(CAST({c} AS VARCHAR) AS DECIMAL(23,10)) AS {c}" for c in SHEET_AMOUNTS)
+    + f" FROM ({GROSS_SQL})",
+)
+def margin_sheet(t: Tables) -> DataFrame:
+    return sales.margin_sheet(gross_margin(t))

@@ -190,3 +190,17 @@ def gross_margin(rows: DataFrame, keys: Sequence[str] = (*MARGIN_KEYS, "ratio",
         out(cost_ / per, "net_cost_price"), out(cost_ * (1 + tax) / per, "tax_cost_price"), out(cost_, "net_cost_amount"),
         out(cost_ * (1 + tax), "tax_cost_amount"), out(net - cost_, "gross_margin"),
     )
+
+
+def margin_sheet(margins: DataFrame, texts: Sequence[str] = (*MARGIN_KEYS, "ratio", "created_at")) -> DataFrame:
+    """``gross_margin`` in the declared types of the report: no NULL texts, taxes with two
+    digits, prices and amounts with ten."""
+    amounts = (
+        "net_sale_price", "tax_sale_price", "net_sale_amount", "tax_sale_amount",
+        "net_cost_price", "tax_cost_price", "net_cost_amount", "tax_cost_amount", "gross_margin",
+    )
+    tax = F.col("tax").cast("decimal(6,2)")
+    return margins.select(
+        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in texts],
+        "sale_qty", tax.alias("sale_tax"), "cost_qty", tax.alias("cost_tax"), *[F.col(c).cast("decimal(23,10)").alias(c) for c in amounts],
+    )
