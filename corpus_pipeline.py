@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, language, packing, secrets, simhash
 from ledgerloom.llm.common import table
-from ledgerloom.session import name_own_folder, written_table
+from ledgerloom.session import drop_but_last, name_own_folder, written_count, written_table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MASK = "[secret]"
@@ -93,7 +93,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages in turn; what a stage wrote besides its result, and its input, are deleted."""
+    docs, before = table(spark, sf_dir, "documents"), written_count()
     for name, stage in STAGES:
         docs = written_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_but_last(spark, before)
     return docs

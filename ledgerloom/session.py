@@ -84,6 +84,17 @@ def drop_written(spark: SparkSession, keep: int = 0) -> None:
         _written.pop()
 
 
+def written_count() -> int:
+    return len(_written)
+
+
+def drop_but_last(spark: SparkSession, keep: int) -> None:
+    """Delete the tables written after the first ``keep``, but for the last one."""
+    last = _written.pop()
+    drop_written(spark, keep)
+    _written.append(last)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables written inside are deleted on leaving; an error leaves them to be looked at."""
