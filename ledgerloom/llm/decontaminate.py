@@ -4,7 +4,8 @@ Document frequencies of the benchmark's terms come from all documents. Each wind
 consecutive item words) takes its two rarest terms as anchors. Postings (term, document,
 position) are stored for anchor terms; the lists of both anchors, shifted by their offsets
 in the window, are intersected on (document, window start). A posting carries the words
-around it, so what is left is compared word by word without reading a text again. Terms
+around it, so what is left is compared word by word without reading a text again; places
+where one word of ten differs are near matches. Terms
 of no window are dropped while tokenizing by a bitmap of fixed size, whatever the size of
 the benchmark; false hits of the bitmap cost rows, never results.
 """
@@ -125,56 +126,69 @@ def _frame(rows: list, columns: list[str]) -> pd.DataFrame:
 
 
 def anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """(phrase, n, t1, o1, t2, o2) of each window all of whose terms occur: its two rarest
-    terms with their first offsets (the second is the first again in a one-term window)."""
+    """(phrase, n, t1, o1, t2, o2, whole) of each window with a term that occurs: its two
+    rarest such terms with their first offsets (the second is the first again where there is no
+    other), and whether all its terms occur."""
     phrases = windows.select("phrase", "terms").distinct()
     spread = phrases.select("phrase", F.size("terms").alias("n"), F.posexplode("terms").alias("o", "term"))
     first = spread.groupBy("phrase", "n", "term").agg(F.min("o").alias("o"))
     known = first.join(counts, "term", "left")
     ranked = known.groupBy("phrase", "n").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "term", "o"))).alias("r")
+        F.sort_array(F.collect_list(F.when(F.col("c") > 0, F.struct("c", "term", "o")))).alias("r"), F.count_if(F.col("c").isNull()).alias("absent")
     )
     second = F.when(F.size("r") > 1, F.get("r", F.lit(1))).otherwise(F.get("r", F.lit(0)))
-    return ranked.where(F.col("r")[0]["c"] > 0).select(
-        "phrase", "n", F.col("r")[0]["term"].alias("t1"), F.col("r")[0]["o"].alias("o1"), second["term"].alias("t2"), second["o"].alias("o2")
+    return ranked.where(F.size("r") > 0).select(
+        "phrase", "n", F.col("r")[0]["term"].alias("t1"), F.col("r")[0]["o"].alias("o1"), second["term"].alias("t2"), second["o"].alias("o2"), (F.col("absent") == 0).alias("whole")
     )
 
 
-def phrase_matches(posted: DataFrame, anchored: DataFrame, n: int) -> DataFrame:
+def looked_up(posted: DataFrame, anchored: DataFrame, term: str, offset: str, full: int) -> DataFrame:
+    """(doc_id, text_hash, phrase, n, start, t2, o2, same) of places where an anchor of a window
+    stands and at most one of its words differs, if it has ``full`` words, or none.
+
+    The window is compared with the words around the anchor, position by position.
+    """
+    hits = _dealt(posted)
+    spread = anchored.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = hits.join(spread, (hits.term == spread[term]) & (hits.salt == spread.salt_)).where(f"at >= {offset}")
+    there = F.slice(F.split("around", " "), F.greatest(F.col("at") - F.col(offset) + 1, F.lit(1)), F.col("n"))
+    same = F.size(F.filter(F.zip_with(there, F.split("phrase", " "), lambda x, y: x == y), lambda e: e))
+    found = met.withColumn("same", same).where((F.col("same") == F.col("n")) | ((F.col("n") == full) & (F.col("same") == full - 1) & (F.size(there) == full)))
+    return found.select("doc_id", "text_hash", "phrase", "n", (F.col("pos") - F.col(offset)).alias("start"), "t2", "o2", "same")
+
+
+def _dealt(posted: DataFrame) -> DataFrame:
+    """Postings of terms, those of a term dealt to SALTS tasks."""
+    return posted.where(F.col("term").isNotNull()).withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash", "pos"), F.lit(SALTS)).cast("int"))
+
+
+def phrase_matches(posted: DataFrame, anchored: DataFrame, looked: DataFrame) -> DataFrame:
     """(doc_id, text_hash, phrase, start, n): exact occurrences, from intersected lists.
 
-    Both shifted lists are keyed by the phrase, the document and the start. The phrase is
-    compared with the words around the rarest anchor.
+    Both shifted lists are keyed by the phrase, the document and the start.
     """
-    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    hits = posted.where(F.col("term").isNotNull()).withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash", "pos"), F.lit(SALTS)).cast("int"))
-    spread = anchored.withColumn("salt1", every)
-    one = hits.join(spread, (hits.term == spread.t1) & (hits.salt == spread.salt1)).where("pos >= o1 and at >= o1")
-    around = F.split("around", " ")
-    exact = F.array_join(F.slice(around, F.col("at") - F.col("o1") + 1, F.col("n")), " ") == F.col("phrase")
-    one = one.withColumn("start", F.col("pos") - F.col("o1")).select("doc_id", "text_hash", "phrase", "n", "start", "t2", "o2", exact.alias("exact"))
-    seconds = anchored.select("t2").distinct().withColumn("salt2", every)
+    hits = _dealt(posted)
+    one = looked.where("same = n")
+    seconds = anchored.select("t2").distinct().withColumn("salt2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     lists = hits.join(seconds, (hits.term == F.col("t2")) & (hits.salt == F.col("salt2")), "left_semi")
     two = lists.select(F.col("doc_id").alias("d2"), F.col("text_hash").alias("h2"), F.col("term").alias("term2"), F.col("pos").alias("p2")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("text_hash") == F.col("h2")) & (F.col("t2") == F.col("term2"))
     both = one.join(two, same & (F.col("start") + F.col("o2") == F.col("p2")), "left_semi")
-    return both.where("exact").select("doc_id", "text_hash", "phrase", "start", "n").distinct()
+    return both.select("doc_id", "text_hash", "phrase", "start", "n").distinct()
 
 
-def proximity_matches(posted: DataFrame, anchored: DataFrame, slack: int) -> DataFrame:
-    """(doc_id, text_hash, phrase, start, gap): places where a window's two anchors stand in
-    their order at a distance that differs from the window's by at most ``slack`` words."""
-    hits = posted.where(F.col("term").isNotNull()).select("doc_id", "text_hash", "term", "pos")
-    one = hits.join(anchored.where("t1 <> t2"), F.col("term") == F.col("t1")).drop("term")
-    shifted = one.withColumn("gap", F.explode(F.sequence(F.lit(-slack), F.lit(slack)))).withColumn("p2", F.expr("pos - o1 + o2 + gap"))
-    two = hits.select(F.col("doc_id").alias("d2"), F.col("text_hash").alias("h2"), F.col("term").alias("t2"), F.col("pos").alias("p2")).distinct()
-    met = shifted.join(two.withColumnRenamed("t2", "term2").withColumnRenamed("p2", "q2"),
-                       F.expr("doc_id <=> d2 and text_hash = h2 and t2 = term2 and p2 = q2 and sign(q2 - pos) = sign(o2 - o1)"), "left_semi")
-    return met.select("doc_id", "text_hash", "phrase", F.expr("pos - o1").alias("start"), "gap").distinct()
+def near_matches(posted: DataFrame, anchored: DataFrame, looked: DataFrame, full: int) -> DataFrame:
+    """(doc_id, text_hash, phrase, start) where a window of ``full`` words stands with just one
+    word changed. A change leaves one of two different anchors in place, so either list is
+    enough; of windows of one repeated term only changes elsewhere than its first place show.
+    """
+    other = looked_up(posted, anchored.where((F.col("t1") != F.col("t2")) & (F.col("n") == full)), "t2", "o2", full)
+    return looked.unionByName(other).where(f"n = {full} and same = {full - 1}").select("doc_id", "text_hash", "phrase", "start").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and
+    n_near, the number of different windows of n words found with just one word changed.
 
     Null and empty texts have no words and no hits; an item shorter than n words is one
     window, an item without words none. Repeated rows give equal rows. Rows that share a
@@ -186,7 +200,10 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
     anchored = written_table(anchors(windows, counts), "anchors")
     used = anchored.select(F.col("t1").alias("term")).unionByName(anchored.select(F.col("t2").alias("term"))).distinct()
     posted = written_table(postings(docs, _bitmap(used), n), "postings")
-    found = written_table(phrase_matches(posted, anchored, n), "matches")
+    looked = written_table(looked_up(posted, anchored, "t1", "o1", n), "looked")
+    found = written_table(phrase_matches(posted, anchored.where("whole"), looked), "matches")
+    near = near_matches(posted, anchored, looked, n).groupBy("doc_id", "text_hash").agg(F.countDistinct("phrase").alias("n_near"))
+    near = near.select(F.col("doc_id").alias("near_doc"), F.col("text_hash").alias("near_hash"), "n_near")
     key = ["doc_id", "text_hash"]
     ends = found.groupBy(*key, "start").agg(F.max(F.expr("start + n")).alias("end"))
     before = Window.partitionBy(*key).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
@@ -198,6 +215,7 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
     sums = sums.select(F.col("doc_id").alias("hit_doc"), F.col("text_hash").alias("hit_hash"), "n_hit", "n_items", "items")
     base = posted.where(F.col("term").isNull()).select("doc_id", "text_hash", "n_words")
     out = base.join(sums, F.expr("doc_id <=> hit_doc and text_hash = hit_hash"), "left")
+    out = out.join(near, F.expr("doc_id <=> near_doc and text_hash = near_hash"), "left")
     return out.select(
         "doc_id",
         "n_words",
@@ -205,6 +223,7 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         "text_hash",
     )
 

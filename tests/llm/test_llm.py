@@ -155,12 +155,37 @@ def test_leaks(spark):
                     hit.update(range(k, k + len(win)))
                     named |= ids
         want.append((i, len(w), len(hit), len(named), hashlib.sha256(",".join(sorted(named)).encode()).hexdigest(), bool(hit)))
-    got = decontaminate.contamination(docs_of(spark, texts), bench).drop("text_hash")
+    got = decontaminate.contamination(docs_of(spark, texts), bench).drop("text_hash", "n_near")
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
     none = decontaminate.contamination(docs_of(spark, texts), bench.limit(0))
     assert none.where("contaminated").count() == 0 and none.count() == len(texts)
 
 
+def test_near_matches(spark):
+    import random
+
+    rng = random.Random(2)
+    bench = [" ".join(WORDS[:25]), " ".join(["la"] * 12), "kurz und gut", " ".join(WORDS[40:50])]
+    changed = WORDS[:25]
+    changed[12] = "anders"
+    gone = WORDS[40:50]
+    gone[0] = "nirgends"
+    texts = [(1, " ".join(changed)), (2, "x " + " ".join(gone)), (3, " ".join(WORDS[:25])), (4, "kurz oder gut"), (5, "la " * 5 + "le " + "la " * 5), (6, None), (7, " ".join(WORDS[41:50]))]
+    for i in range(40):
+        w = WORDS[rng.randint(0, 10) : rng.randint(12, 30)] + WORDS[38:52]
+        for _ in range(rng.randint(0, 3)):
+            w[rng.randrange(len(w))] = rng.choice(["anders", "la", WORDS[3]])
+        texts.append((10 + i, " ".join(w)))
+    windows = {tuple(w[k : k + 10]) for w in (t.split() for t in bench) for k in range(len(w) - 9)}
+    want = {}
+    for i, t in texts:
+        w = (t or "").split()
+        want[i] = len({win for win in windows for k in range(len(w) - 9) if sum(a == b for a, b in zip(w[k : k + 10], win)) == 9})
+    got = {r.doc_id: r.n_near for r in decontaminate.contamination(docs_of(spark, texts), spark.createDataFrame(list(enumerate(bench)), "item_id int, text string")).collect()}
+    assert {i: n for i, n in got.items() if i != 5} == {i: n for i, n in want.items() if i != 5}
+    assert got[1] == 10 and got[2] == 1 and got[3] == 0 and got[4] == 0
+
+
 def test_url_rules_and_terms(spark):
     cases = {
         "http://EXAMPLE.com/en/x?y": ("example.com", "/en/x", "example.com/en/", "block"),
