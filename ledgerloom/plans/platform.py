@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerloom.functions.scalars import MONEY_TYPE, clean_list, nullif_blank, ratio_amount, ratio_value
 from ledgerloom.functions.text import keyword_region
 from ledgerloom.operators.aggregates import money_sum
-from ledgerloom.operators.joins import Dim, anti_by, full_join_split, semi_by, star_join
+from ledgerloom.operators.joins import Dim, full_join_split, semi_by, star_join
 
 Levels = Sequence[Sequence[tuple[str, str]]]
 
@@ -112,11 +112,10 @@ def project_settlements(t: Mapping[str, DataFrame], small_orgs: Sequence[str], b
 
 def platform_recon(orders: DataFrame, projects: DataFrame, settlements: DataFrame) -> DataFrame:
     """Platform orders met with project orders; projects billed at zero are left out."""
-    zero = settlements.where("big_units = 0").select("project_no")
     met = full_join_split(orders, projects, {"order_id": "customer_order"})
-    met = anti_by(met, zero, {"project_no": "project_no"})
     cols = ("small_tax_amount", "small_amount", "small_cost", "big_tax_amount", "paid", "refunded")
-    met = star_join(met, [Dim(settlements, {"project_no": "project_no"}, {c: c for c in cols})])
+    met = star_join(met, [Dim(settlements, {"project_no": "project_no"}, {c: c for c in (*cols, "big_units")})])
+    met = met.where(F.coalesce(F.col("big_units") != 0, F.lit(True)))
     return met.select(
         "order_time", "order_id", "price", "title", "region", "project_no", "project_tax_amount", "project_amount", "seller", "created_at", *cols
     )

@@ -182,6 +182,16 @@ def test_written_tables_are_deleted(spark, orders):
     assert not os.path.exists(folder)
 
 
+def test_only_the_last_table_is_kept(spark, orders):
+    before = session.written_count()
+    first, last = session.written_table(orders, "first"), session.written_table(orders, "last")
+    folder = first.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    session.drop_but_last(spark, before)
+    assert not os.path.exists(folder) and last.count() == 3 and session.written_count() == before + 1
+    session.drop_written(spark, before)
+    assert session.written_count() == before
+
+
 def test_staged_overwrite_leaves_no_copy(spark, orders, tmp_path):
     path, before = str(tmp_path / "t"), len(session._written)
     sinks.write_table(orders, path)

@@ -103,6 +103,15 @@ def test_hot_key_of_a_lookup_is_split(small_skew):
     assert "skew=true" in plan_of_final(out)
 
 
+def test_checked_lookups_add_no_scan(shuffled):
+    orders, customer = (shuffled.read.parquet(f"{FOLDER}/{n}.parquet") for n in ("orders", "customer"))
+    dims = [j.Dim(customer, {"o_custkey": "c_custkey"}, {"name": "c_name"}), j.Dim(customer, {"o_custkey": "c_custkey"}, {"segment": "c_mktsegment"})]
+    checked, plain = (plan_of(j.star_join(orders, dims, check_unique=c)) for c in (True, False))
+    assert checked.count("FileScan") == plain.count("FileScan") == 3
+    # The join finds the lookup dealt by its key already.
+    assert checked.count("Exchange hashpartitioning") <= plain.count("Exchange hashpartitioning")
+
+
 def test_hot_key_total_is_reduced_before_the_shuffle(small_skew):
     out = w.partition_total(hot_children(small_skew), ["k"], "v", "total")
     plan = plan_of_final(out)
