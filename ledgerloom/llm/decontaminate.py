@@ -202,8 +202,10 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
     posted = written_table(postings(docs, _bitmap(used), n), "postings")
     looked = written_table(looked_up(posted, anchored, "t1", "o1", n), "looked")
     found = written_table(phrase_matches(posted, anchored.where("whole"), looked), "matches")
-    near = near_matches(posted, anchored, looked, n).groupBy("doc_id", "text_hash").agg(F.countDistinct("phrase").alias("n_near"))
-    near = near.select(F.col("doc_id").alias("near_doc"), F.col("text_hash").alias("near_hash"), "n_near")
+    near = written_table(near_matches(posted, anchored, looked, n).select("doc_id", "text_hash", "phrase").distinct(), "near")
+    near = near.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n_near")).select(
+        F.col("doc_id").alias("near_doc"), F.col("text_hash").alias("near_hash"), "n_near"
+    )
     key = ["doc_id", "text_hash"]
     ends = found.groupBy(*key, "start").agg(F.max(F.expr("start + n")).alias("end"))
     before = Window.partitionBy(*key).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
