@@ -152,9 +152,10 @@ def headers(docs: DataFrame, templates=TEMPLATES, least: float = 0.8) -> DataFra
     spark = docs.sparkSession
     first = spark.createDataFrame([(w, float(x)) for w, x in idf.items()], "w string, idf double")
     others = frequencies(docs, np.packbits(bits).tobytes()).join(terms, "w", "left_semi")
-    weighed = first.unionByName(others.select("w", (F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("c"))) + 0.1).alias("idf")))
+    others = written_table(others.select("w", (F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("c"))) + 0.1).alias("idf")), "idf")
+    weighed = first.unionByName(others)
 
-    # Texts with equal units are judged once. Copies of a unit differ in nothing.
+    # Equal texts are judged once.
     spread = found.dropDuplicates(["a", "b", "unit"]).select("a", "b", "unit", "whole", F.explode("words").alias("w", "n"))
     spread = spread.join(weighed, "w").withColumn("x", F.col("n") * F.col("idf"))
     wanted = spark.createDataFrame([(w, i, name, float(x)) for i, (name, v) in enumerate(vectors) for w, x in v.items()], "w string, i int, name string, t double")
