@@ -146,11 +146,14 @@ def looked_up(posted: DataFrame, anchored: DataFrame, term: str, offset: str, fu
     """(doc_id, text_hash, phrase, n, start, t2, o2, same) of places where an anchor of a window
     stands and at most one of its words differs, if it has ``full`` words, or none.
 
-    The window is compared with the words around the anchor, position by position.
+    The window is compared with the words around the anchor, position by position. One
+    changed word leaves one half of the window whole, so that is looked for first.
     """
-    hits = _dealt(posted)
-    spread = anchored.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hits, terms, half = _dealt(posted), F.split("phrase", " "), F.floor(F.col("n") / 2).cast("int")
+    halves = {"front": F.array_join(F.slice(terms, F.lit(1), half), " "), "back": F.array_join(F.slice(terms, half + 1, F.col("n")), " ")}
+    spread = anchored.withColumns(halves).withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     met = hits.join(spread, (hits.term == spread[term]) & (hits.salt == spread.salt_)).where(f"at >= {offset}")
+    met = met.where(F.contains("around", "front") | F.contains("around", "back"))
     there = F.slice(F.split("around", " "), F.greatest(F.col("at") - F.col(offset) + 1, F.lit(1)), F.col("n"))
     same = F.size(F.filter(F.zip_with(there, F.split("phrase", " "), lambda x, y: x == y), lambda e: e))
     found = met.withColumn("same", same).where((F.col("same") == F.col("n")) | ((F.col("n") == full) & (F.col("same") == full - 1) & (F.size(there) == full)))
