@@ -43,7 +43,11 @@ def staged_overwrite(df: DataFrame, path: str) -> None:
 
 
 def replace_slice(df: DataFrame, path: str, part_col: str) -> None:
-    """Replace just the partitions ``df`` has rows for; a rerun gives the same table."""
+    """Replace just the partitions ``df`` has rows for; a rerun gives the same table.
+
+    A partition that should become empty keeps its old rows; ``VersionedTable.replace_slices``
+    names the slices it replaces and empties those.
+    """
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
