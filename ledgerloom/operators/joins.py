@@ -20,7 +20,9 @@ class Dim:
 
     ``on`` maps fact (or earlier output) columns to key columns of ``frame``; ``take``
     maps output names to columns of ``frame``. ``unique`` says that a key is meant to occur
-    once; a lookup that repeats fact rows on purpose has it off.
+    once; a lookup that repeats fact rows on purpose has it off. ``spread`` names fact
+    columns that deal the rows without a key, where these may be many: a shuffle by the key
+    alone would bring all of them to one task.
     """
 
     frame: DataFrame
@@ -28,6 +30,7 @@ class Dim:
     take: Mapping[str, str] = field(default_factory=dict)
     name: str = "dim"
     unique: bool = True
+    spread: Sequence[str] = ()
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -63,9 +66,19 @@ def star_join(fact: DataFrame, dims: Sequence[Dim], check_unique: bool = True) -
             *[F.col(right).alias(tmp) for right, tmp in keys.items()],
             *[F.col(src).alias(name) for name, src in dim.take.items()],
         )
+        if dim.spread:
+            # Every key of the lookup has place 0, written so that it stays a join key.
+            place, there = "__at_" + "_".join([*dim.on, *dim.spread]), f"__{i}_at"
+            side = side.withColumn(there, F.pmod(F.xxhash64(*keys.values()), F.lit(1)))
+            if place not in out.columns:
+                out = out.withColumn(place, F.when(all_present(list(dim.on)), F.lit(0)).otherwise(spare(*dim.spread) + 1))
+                spent.append(place)
         if check_unique and dim.unique:
-            side = one_per_key(side, list(keys.values()), dim.name)
+            side = one_per_key(side, [*keys.values(), *([there] if dim.spread else [])], dim.name)
         cond = [F.col(left) == F.col(keys[right]) for left, right in dim.on.items()]
+        if dim.spread:
+            cond.append(F.col(place) == F.col(there))
+            spent.append(there)
         out = out.join(side, cond, "left")
         spent += keys.values()
     return out.drop(*spent)

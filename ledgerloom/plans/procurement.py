@@ -76,10 +76,14 @@ def procure_timeline(t: Mapping[str, DataFrame], ties: Sequence[str] = ("bill_no
     line = met.drop("__sold").unionByName(left, allowMissingColumns=True)
 
     notices, shipments = lot_moves(t["notices"], "notice", ties), lot_moves(t["shipments"], "ship", ties)
-    on_lot = {c: c for c in LOT_KEY}
+    # Whatever was not received has no lot.
+    on_lot, numbers = {c: c for c in LOT_KEY}, ("req_no", "pur_no", "sale_no")
     line = star_join(
         line,
-        [Dim(f, on_lot, {f"{p}_{c}": f"{p}_{c}" for c in (*LOT_TAKE, "qty")}) for p, f in (("notice", notices), ("ship", shipments))],
+        [
+            Dim(f, on_lot, {f"{p}_{c}": f"{p}_{c}" for c in (*LOT_TAKE, "qty")}, spread=numbers)
+            for p, f in (("notice", notices), ("ship", shipments))
+        ],
     )
     return line.select(
         *REQ_COLS, *PUR_COLS, *REC_COLS, *order_cols, "req_qty", "pur_qty", "received_qty", "sale_qty",

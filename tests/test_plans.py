@@ -167,3 +167,38 @@ def test_chains_plan_no_full_join(shuffled, name):
     plan = plan_of(QUERIES[name](shuffled, FOLDER))
     assert "FullOuter" not in plan
     assert plan.count("FileScan") <= SCANS[name]
+
+
+@pytest.fixture
+def dealt(shuffled):
+    """Share of a frame's rows in its fullest partition, with eight of them in every shuffle."""
+    old = shuffled.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    shuffled.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+    def share(df) -> float:
+        counts = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        return max(counts) / sum(counts)
+
+    yield share
+    shuffled.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_rows_without_a_key_are_spread(spark, dealt, rows):
+    fact = spark.range(8_000).select(F.when(F.col("id") % 8 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    dim = spark.range(4_000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("name"))
+    out = j.star_join(fact, [j.Dim(dim, {"k": "key"}, {"name": "name"}, spread=("v",)), j.Dim(dim, {"k": "key"}, {"again": "name"}, spread=("v",))])
+    assert out.columns == ["k", "v", "name", "again"]
+    assert dealt(out.where("k is null")) < 0.3
+    plain = j.star_join(fact, [j.Dim(dim, {"k": "key"}, {"name": "name"}), j.Dim(dim, {"k": "key"}, {"again": "name"})])
+    assert rows(out) == rows(plain)
+
+
+def test_spread_lookups_are_checked(spark):
+    fact, dim = spark.range(3).select(F.col("id").alias("k")), spark.createDataFrame([(1, "a"), (1, "b")], "key int, name string")
+    with pytest.raises(Exception, match="not unique"):
+        j.star_join(fact, [j.Dim(dim, {"k": "key"}, {"name": "name"}, spread=("k",))]).collect()
+
+
+@pytest.mark.parametrize("name", ["procure_timeline", "procure_timeline_asis"])
+def test_lines_without_a_lot_are_spread(spark, dealt, name):
+    assert dealt(QUERIES[name](spark, FOLDER).where("lot_no is null")) < 0.5
