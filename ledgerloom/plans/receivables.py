@@ -85,7 +85,8 @@ def receivable_lines(t: Mapping[str, DataFrame], rules: Sequence[OrgRule], compa
         [
             *_project_dims(t),
             Dim(t["sellers"], {"entry_seller_id": "seller_id"}, {"entry_seller": "seller_name"}),
-            Dim(t["sale_orders"], {"order_no": "order_no"}, {"agent_flag": "agent_flag", "address": "address"}),
+            # Many lines have no order.
+            Dim(t["sale_orders"], {"order_no": "order_no"}, {"agent_flag": "agent_flag", "address": "address"}, spread=("bill_id", "project_id")),
         ],
     )
     out = out.where(in_scope(rules, "org_id", "customer_name", "project_name", "short_name"))

@@ -6,9 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.checks import all_queries
+from ledgerloom.checks.receivables import RULES, roles
 from ledgerloom.operators import joins as j
 from ledgerloom.operators import merge as m
 from ledgerloom.operators import windows as w
+from ledgerloom.plans import receivables as r
+from ledgerloom.sources.tables import Catalog
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = all_queries()
@@ -202,3 +205,8 @@ def test_spread_lookups_are_checked(spark):
 @pytest.mark.parametrize("name", ["procure_timeline", "procure_timeline_asis"])
 def test_lines_without_a_lot_are_spread(spark, dealt, name):
     assert dealt(QUERIES[name](spark, FOLDER).where("lot_no is null")) < 0.5
+
+
+def test_lines_without_an_order_are_spread(spark, dealt):
+    lines = r.receivable_lines(roles(Catalog(spark, root=FOLDER)), RULES)
+    assert dealt(lines.where("order_no is null").select("bill_id", "agent_flag")) < 0.5
