@@ -187,6 +187,8 @@ def settled_amounts(receipts: DataFrame, refunds: DataFrame, since: Column, this
         "paid": F.col("__in") & since, "refunded": ~F.col("__in") & since,
         "paid_year": F.col("__in") & this_year, "refunded_year": ~F.col("__in") & this_year,
     }
+    # Rows of no wanted period add to no total.
+    rows = rows.where(since | this_year)
     totals = {name: F.sum(F.when(wanted, F.col("amount"))) * (-1 if name == "refunded" else 1) for name, wanted in chosen.items()}
     totals = {name: total.cast(MONEY_TYPE) for name, total in totals.items()}
     if merge_scopes:

@@ -210,3 +210,8 @@ def test_lines_without_a_lot_are_spread(spark, dealt, name):
 def test_lines_without_an_order_are_spread(spark, dealt):
     lines = r.receivable_lines(roles(Catalog(spark, root=FOLDER)), RULES)
     assert dealt(lines.where("order_no is null").select("bill_id", "agent_flag")) < 0.5
+
+
+@pytest.mark.parametrize("name", ["receivable_board", "receivable_board_asis"])
+def test_boards_shuffle_settlements_of_wanted_periods(spark, name):
+    assert plan_of(QUERIES[name](spark, FOLDER)).count("GreaterThanOrEqual(o_orderdate,2000-01-01") >= 2
