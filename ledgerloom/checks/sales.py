@@ -161,9 +161,7 @@ def org_directory(t: Tables) -> DataFrame:
 )
 def sale_order_report(t: Tables) -> DataFrame:
     orders, part, customer, supplier = t["orders"], t["part"], t["customer"], t["supplier"]
-    rows = lines(t).join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(
-        customer, F.col("o_custkey") == F.col("c_custkey"), "left"
-    )
+    rows = lines(t).join(orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
     rows = rows.select(
         day_text("o_orderdate").alias("created_at"), F.col("l_orderkey").alias("bill_id"), F.col("l_orderkey").cast("string").alias("bill_no"),
         entry_id().alias("entry_id"), F.col("c_nationkey").alias("org_id"), F.col("l_partkey").alias("project_id"), F.col("l_suppkey").alias("creator_id"),

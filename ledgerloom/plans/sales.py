@@ -28,20 +28,24 @@ def sale_order_report(t: Mapping[str, DataFrame], agency_mark: str, excluded_typ
     Lines without an order type stay.
     """
     rows = t["lines"].where(keep_unless("order_type", excluded_type))
+    projects = star_join(
+        t["projects"].select("project_id", "project_no", "customer_order_no", "ratio"),
+        [Dim(t["tickets"], {"project_no": "ticket_no"}, {"project_name": "ticket_name", "sales_company": "company", "sales_dept": "dept"})],
+    )
     rows = star_join(
         rows,
         [
-            Dim(t["projects"], {"project_id": "project_id"}, {"project_no": "project_no", "customer_order_no": "customer_order_no", "ratio": "ratio"}),
-            Dim(t["tickets"], {"project_no": "ticket_no"}, {"project_name": "ticket_name", "sales_company": "company", "sales_dept": "dept"}),
+            # Narrow lookups first, wide texts last; the header's key deals the lines already.
+            Dim(t["headers"], {"bill_id": "bill_id"}, {"header_note": "header_note"}),
+            Dim(t["issued"], {"entry_id": "entry_id"}, {"issued_qty": "issued_qty"}),
+            Dim(t["customers"], {"customer_id": "customer_id"}, {"internal_flag": "internal_flag"}),
             Dim(t["orgs"], {"org_id": "org_id"}, {"sale_org": "org_name"}),
-            Dim(t["users"], {"creator_id": "user_id"}, {"create_user": "user_name"}),
-            Dim(t["sellers"], {"seller_id": "seller_id"}, {"sale_name": "seller_name"}),
             Dim(t["operators"], {"operator_id": "operator_id"}, {"operator_name": "operator_name"}),
             Dim(t["units"], {"unit_id": "unit_id"}, {"unit_name": "unit_name"}),
+            Dim(t["users"], {"creator_id": "user_id"}, {"create_user": "user_name"}),
+            Dim(t["sellers"], {"seller_id": "seller_id"}, {"sale_name": "seller_name"}),
             Dim(t["materials"], {"material_id": "material_id"}, {"material_no": "material_no", "brand": "brand", "material_name": "material_name", "specification": "specification"}),
-            Dim(t["customers"], {"customer_id": "customer_id"}, {"internal_flag": "internal_flag"}),
-            Dim(t["issued"], {"entry_id": "entry_id"}, {"issued_qty": "issued_qty"}),
-            Dim(t["headers"], {"bill_id": "bill_id"}, {"header_note": "header_note"}),
+            Dim(projects, {"project_id": "project_id"}, {c: c for c in projects.columns if c != "project_id"}),
         ],
     )
     agent = (F.col("agent_flag") == "1") | F.contains(F.col("project_no"), F.lit(agency_mark))

@@ -215,3 +215,17 @@ def test_lines_without_an_order_are_spread(spark, dealt):
 @pytest.mark.parametrize("name", ["receivable_board", "receivable_board_asis"])
 def test_boards_shuffle_settlements_of_wanted_periods(spark, name):
     assert plan_of(QUERIES[name](spark, FOLDER)).count("GreaterThanOrEqual(o_orderdate,2000-01-01") >= 2
+
+
+def joined_on(df) -> list[str]:
+    """Left keys of the sort merge joins, the last join first."""
+    return re.findall(r"SortMergeJoin[^\[]*\[([^\]]*)\]", plan_of(df))
+
+
+def depth(keys: list[str], col: str) -> int:
+    return next(i for i, k in enumerate(keys) if re.search(rf"\b{col}#", k))
+
+
+def test_sale_order_report_takes_wide_texts_last(shuffled):
+    keys = joined_on(QUERIES["sale_order_report"](shuffled, FOLDER))
+    assert depth(keys, "project_id") < depth(keys, "material_id") < depth(keys, "customer_id") < depth(keys, "entry_id") < depth(keys, "bill_id")
