@@ -150,15 +150,16 @@ def margin_lines(t: Mapping[str, DataFrame], order_type: str = "2") -> DataFrame
         "project_id", "project_no", "project_name", "ratio",
         F.when(F.col("__owner_no") == F.col("__user_no"), F.lit(0)).otherwise(ratio).cast("decimal(9,6)").alias("agent_rate"),
     )
-    rows = head.join(t["entries"], "bill_id").join(projects, "project_id").join(t["materials"], "material_id")
+    # Narrow lookups first: the texts of projects and materials are shuffled least often.
     rows = star_join(
-        rows,
+        head.join(t["entries"], "bill_id"),
         [
             Dim(t["costs"], {"bill_id": "bill_id", "entry_id": "entry_id"}, {"cost": "cost"}),
             Dim(t["customers"], {"contact_id": "customer_id"}, {"customer_name": "customer_name"}),
             Dim(t["customers"], {"customer_id": "customer_id"}, {"contact_name": "customer_name"}),
         ],
     )
+    rows = rows.join(projects, "project_id").join(t["materials"], "material_id")
     zero = F.lit(0)
     return rows.select(
         *MARGIN_KEYS, "ratio", "agent_rate", "created_at",

@@ -229,3 +229,9 @@ def depth(keys: list[str], col: str) -> int:
 def test_sale_order_report_takes_wide_texts_last(shuffled):
     keys = joined_on(QUERIES["sale_order_report"](shuffled, FOLDER))
     assert depth(keys, "project_id") < depth(keys, "material_id") < depth(keys, "customer_id") < depth(keys, "entry_id") < depth(keys, "bill_id")
+
+
+@pytest.mark.parametrize("name", ["gross_margin", "margin_sheet"])
+def test_margins_take_wide_texts_last(shuffled, name):
+    keys = joined_on(QUERIES[name](shuffled, FOLDER))
+    assert depth(keys, "material_id") < depth(keys, "project_id") < depth(keys, "contact_id") < depth(keys, "entry_id")
