@@ -114,7 +114,9 @@ def platform_recon(orders: DataFrame, projects: DataFrame, settlements: DataFram
     """Platform orders met with project orders; projects billed at zero are left out."""
     met = full_join_split(orders, projects, {"order_id": "customer_order"})
     cols = ("small_tax_amount", "small_amount", "small_cost", "big_tax_amount", "paid", "refunded")
-    met = star_join(met, [Dim(settlements, {"project_no": "project_no"}, {c: c for c in (*cols, "big_units")})])
+    # An order that met no project has no project number.
+    on = {"project_no": "project_no"}
+    met = star_join(met, [Dim(settlements, on, {c: c for c in (*cols, "big_units")}, spread=("order_id", "order_time", "title"))])
     met = met.where(F.coalesce(F.col("big_units") != 0, F.lit(True)))
     return met.select(
         "order_time", "order_id", "price", "title", "region", "project_no", "project_tax_amount", "project_amount", "seller", "created_at", *cols

@@ -235,3 +235,7 @@ def test_sale_order_report_takes_wide_texts_last(shuffled):
 def test_margins_take_wide_texts_last(shuffled, name):
     keys = joined_on(QUERIES[name](shuffled, FOLDER))
     assert depth(keys, "material_id") < depth(keys, "project_id") < depth(keys, "contact_id") < depth(keys, "entry_id")
+
+
+def test_orders_without_a_project_are_spread(spark, dealt):
+    assert dealt(QUERIES["platform_recon"](spark, FOLDER).where("project_no is null")) < 0.5
