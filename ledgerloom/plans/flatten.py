@@ -83,12 +83,16 @@ DOCUMENTS: dict[str, DocumentSpec] = {
 
 
 def flatten_document(t: Mapping[str, DataFrame], spec: DocumentSpec) -> DataFrame:
-    """One row per entry; a header without entries keeps one row of its own."""
+    """One row per entry; a header without entries keeps one row of its own.
+
+    Entries meet their satellites first: the header's columns are then shuffled once per
+    header and not, by entry, once per entry and satellite.
+    """
     entry_cols = list(dict.fromkeys(("bill_id", *spec.entry_cols, *(s.key for s in spec.satellites))))
-    joined = header_join(t[spec.header].select(*spec.header_cols), t[spec.entry].select(*entry_cols), "bill_id")
     dims = [Dim(t[s.table], {s.key: s.own_key or s.key}, {c: c for c in s.take}, s.table) for s in spec.satellites]
+    entries = star_join(t[spec.entry].select(*entry_cols), dims)
     cols = [*spec.header_cols, *spec.entry_cols, *(c for s in spec.satellites for c in s.take)]
-    return star_join(joined, dims).select(*cols)
+    return header_join(t[spec.header].select(*spec.header_cols), entries, "bill_id").select(*cols)
 
 
 def staff_directory(

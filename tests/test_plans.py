@@ -239,3 +239,9 @@ def test_margins_take_wide_texts_last(shuffled, name):
 
 def test_orders_without_a_project_are_spread(spark, dealt):
     assert dealt(QUERIES["platform_recon"](spark, FOLDER).where("project_no is null")) < 0.5
+
+
+@pytest.mark.parametrize("name", ["sale_order", "purchase_order", "shipment"])
+def test_satellites_join_entries_before_headers(shuffled, name):
+    keys = joined_on(QUERIES[f"flat_{name}"](shuffled, FOLDER))
+    assert depth(keys, "bill_id") < depth(keys, "entry_id")
