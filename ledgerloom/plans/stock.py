@@ -14,6 +14,7 @@ from ledgerloom.functions.scalars import first_priced, int_part, is_blank, safe_
 from ledgerloom.operators.aggregates import tagged_pivot
 from ledgerloom.operators.joins import Dim, semi_by, star_join
 from ledgerloom.operators.windows import first_per_key
+from ledgerloom.session import written_table
 
 LOT = ["material_no", "lot_no"]
 LOT_ID = ["material_id", "lot_id"]
@@ -192,8 +193,13 @@ def lot_disposition(returned: DataFrame, facts: Mapping[str, DataFrame], t: Mapp
     """What became of each returned lot: one column per fact.
 
     returned: LOT, qty, unit_cost (``mto_returns``); each fact: material_id, lot_id, qty.
-    All facts are reduced by id in one shuffle, then named and joined once.
+    The returned lots are written once to the shared folder. The facts of these lots are
+    reduced by id in one shuffle, then named and joined once.
     """
     base = returned.groupBy(*LOT).agg(F.sum("qty").alias("returned_qty"), F.max("unit_cost").alias("unit_cost"))
+    base = written_table(base, "returned-lots")
+    ids = base.select(*LOT).join(t["materials"].select("material_no", "material_id"), "material_no").join(t["lots"].select("lot_no", "lot_id"), "lot_no")
+    ids = written_table(ids.select(*LOT_ID).distinct(), "returned-lot-ids")
+    facts = {name: semi_by(fact, ids, {c: c for c in LOT_ID}) for name, fact in facts.items()}
     moves = with_lot(tagged_pivot(facts, LOT_ID, "qty"), t).groupBy(*LOT).agg(*[F.sum(name).alias(name) for name in facts])
     return base.join(moves, LOT, "left")

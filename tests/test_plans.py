@@ -245,3 +245,7 @@ def test_orders_without_a_project_are_spread(spark, dealt):
 def test_satellites_join_entries_before_headers(shuffled, name):
     keys = joined_on(QUERIES[f"flat_{name}"](shuffled, FOLDER))
     assert depth(keys, "bill_id") < depth(keys, "entry_id")
+
+
+def test_only_facts_of_returned_lots_are_summed(shuffled):
+    assert plan_of(QUERIES["lot_disposition"](shuffled, FOLDER)).count("LeftSemi") >= 12
