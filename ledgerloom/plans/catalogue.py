@@ -114,39 +114,50 @@ def payables_wide(t: Mapping[str, DataFrame], org: str, ties: Sequence[str]) ->
     local_net, paid, stock_id, sale_order_no, seller_id, project_id, reference_price,
     transfer_diff, division_id, bin_id; entry_stock: entry_id, is_free, stock_unit_id,
     stock_qty, stock_base_qty, lot_id; dims by their ids. ``ties`` (header or entry
-    columns) make the date order total. Rows are numbered before the lookups, which are
-    by unique ids: the ordered shuffle then moves the lines alone.
+    columns) make the date order total. Lookups by a key of the headers or stock rows are
+    made on those, which are fewer and narrower than the lines, and no line lacks such a key
+    for want of a stock row. Lines are numbered before their own lookups, which are by
+    unique ids: the ordered shuffle then moves the lines and their header's names alone.
     """
     head = t["headers"].where((F.col("status") == "C") & (F.col("settle_org_id") == org))
-    order = [F.col(c).asc_nulls_first() for c in ("day", *ties)]
-    rows = global_row_id(head.join(t["entries"], "bill_id"), order, "row_id")
     orgs, units = t["orgs"], t["units"]
-    material = ("material_no", "specification", "material_name", "description", "brand_id", "category_id")
-    rows = star_join(
-        rows,
+    lookups = [
+        Dim(t["bill_types"], {"bill_type_id": "bill_type_id"}, {"bill_type": "bill_type_name"}),
+        Dim(t["suppliers"], {"supplier_id": "supplier_id"}, {"supplier": "supplier_name"}),
+        Dim(t["currencies"], {"currency_id": "currency_id"}, {"currency": "currency_name"}),
+        Dim(orgs, {"settle_org_id": "org_id"}, {"settle_org": "org_name"}),
+        Dim(orgs, {"purchase_org_id": "org_id"}, {"purchase_org": "org_name"}),
+        Dim(orgs, {"pay_org_id": "org_id"}, {"pay_org": "org_name"}),
+        Dim(t["depts"], {"dept_id": "dept_id"}, {"dept": "dept_name"}),
+        Dim(t["buyers"], {"buyer_id": "buyer_id"}, {"buyer": "buyer_name", "buyer_no": "buyer_no"}),
+        Dim(units, {"price_unit_id": "unit_id"}, {"price_unit": "unit_name"}),
+        Dim(t["stocks"], {"stock_id": "stock_id"}, {"stock": "stock_name"}),
+        Dim(t["sellers"], {"seller_id": "seller_id"}, {"seller": "seller_name", "seller_dept": "dept_name"}),
+        Dim(t["projects"], {"project_id": "project_id"}, {"project_no": "project_no", "project_name": "project_name", "ratio": "ratio"}),
+        Dim(t["divisions"], {"division_id": "division_id"}, {"division": "division_name"}),
+        Dim(t["bins"], {"bin_id": "bin_id"}, {"bin": "bin_name"}),
+    ]
+    stored = star_join(
+        t["entry_stock"],
         [
-            Dim(t["entry_stock"], {"entry_id": "entry_id"}, {c: c for c in ("is_free", "stock_unit_id", "stock_qty", "stock_base_qty", "lot_id")}),
-            Dim(t["bill_types"], {"bill_type_id": "bill_type_id"}, {"bill_type": "bill_type_name"}),
-            Dim(t["suppliers"], {"supplier_id": "supplier_id"}, {"supplier": "supplier_name"}),
-            Dim(t["currencies"], {"currency_id": "currency_id"}, {"currency": "currency_name"}),
-            Dim(orgs, {"settle_org_id": "org_id"}, {"settle_org": "org_name"}),
-            Dim(orgs, {"purchase_org_id": "org_id"}, {"purchase_org": "org_name"}),
-            Dim(orgs, {"pay_org_id": "org_id"}, {"pay_org": "org_name"}),
-            Dim(t["depts"], {"dept_id": "dept_id"}, {"dept": "dept_name"}),
-            Dim(t["buyers"], {"buyer_id": "buyer_id"}, {"buyer": "buyer_name", "buyer_no": "buyer_no"}),
-            Dim(t["materials"], {"material_id": "material_id"}, {c: c for c in material}),
-            Dim(units, {"price_unit_id": "unit_id"}, {"price_unit": "unit_name"}),
             Dim(units, {"stock_unit_id": "unit_id"}, {"stock_unit": "unit_name"}),
-            Dim(t["lots"], {"lot_id": "lot_id"}, {"lot_no": "lot_no"}),
-            Dim(t["brands"], {"brand_id": "brand_id"}, {"brand": "brand_name"}),
-            Dim(t["stocks"], {"stock_id": "stock_id"}, {"stock": "stock_name"}),
-            Dim(t["sellers"], {"seller_id": "seller_id"}, {"seller": "seller_name", "seller_dept": "dept_name"}),
-            Dim(t["projects"], {"project_id": "project_id"}, {"project_no": "project_no", "project_name": "project_name", "ratio": "ratio"}),
-            Dim(t["divisions"], {"division_id": "division_id"}, {"division": "division_name"}),
-            Dim(t["bins"], {"bin_id": "bin_id"}, {"bin": "bin_name"}),
-            Dim(t["categories"], {"category_id": "category_id"}, {"category": "category_name"}),
+            Dim(t["lots"], {"lot_id": "lot_id"}, {"lot_no": "lot_no"}, spread=["entry_id"]),
         ],
     )
+    in_stock = ("is_free", "stock_unit", "stock_qty", "stock_base_qty", "lot_no")
+    material = ("material_no", "specification", "material_name", "description", "brand_id", "category_id")
+    of_head = [d for d in lookups if set(d.on) <= set(head.columns)]
+    of_line = [
+        Dim(stored, {"entry_id": "entry_id"}, {c: c for c in in_stock}),
+        *[d for d in lookups if d not in of_head],
+        Dim(t["materials"], {"material_id": "material_id"}, {c: c for c in material}),
+        Dim(t["brands"], {"brand_id": "brand_id"}, {"brand": "brand_name"}),
+        Dim(t["categories"], {"category_id": "category_id"}, {"category": "category_name"}),
+    ]
+    order = [F.col(c).asc_nulls_first() for c in ("day", *ties)]
+    done = {"status", *(c for d in of_head for c in d.on)} - {"bill_id", "day", *ties}
+    rows = star_join(head, of_head).drop(*done).join(t["entries"], "bill_id")
+    rows = star_join(global_row_id(rows, order, "row_id"), of_line)
     return rows.select(
         "row_id", "bill_type", decode("business_type", codes.BUSINESS_TYPE, codes.BUSINESS_TYPE_DEFAULT).alias("business_type"), "day", "supplier",
         "bill_no", "currency", "total", "due_day", "settle_org", "purchase_org", "dept", "buyer", "buyer_no",

@@ -251,3 +251,10 @@ def test_satellites_join_entries_before_headers(shuffled, name):
 
 def test_only_facts_of_returned_lots_are_summed(shuffled):
     assert plan_of(QUERIES["lot_disposition"](shuffled, FOLDER)).count("LeftSemi") >= 12
+
+
+def test_payables_look_up_names_on_the_table_that_holds_the_key(shuffled):
+    plan = plan_of(QUERIES["payables_wide"](shuffled, FOLDER))
+    # Lines were shuffled by their header's keys, and all without a stock row to one task by lot.
+    assert not re.search(r"hashpartitioning\((seller_id|bill_type_id|currency_id|settle_org_id|dept_id)#", plan)
+    assert re.search(r"hashpartitioning\(lot_id#\w+, __at_lot_id_entry_id#", plan) and not re.search(r"hashpartitioning\(lot_id#\w+, \d+\)", plan)
