@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions import codes
 from ledgerloom.functions.scalars import decode, elapsed_days, is_blank
-from ledgerloom.operators.joins import Dim, header_join, star_join
-from ledgerloom.operators.lineage import residual_reversed, residual_union, trace_source
+from ledgerloom.operators.joins import Dim, all_present, header_join, star_join
+from ledgerloom.operators.lineage import residual_reversed, residual_total, residual_union, trace_source, with_taken
 from ledgerloom.operators.merge import multi_fact_merge, outer_chain
 from ledgerloom.operators.windows import first_per_key, latest_with_total
-from ledgerloom.session import written_table
+from ledgerloom.session import drop_but_last, written_count, written_table
 
 REQ_COLS = [
     "req_no", "req_status", "req_org", "req_applied", "req_project_no", "project_name", "sale_org", "seller", "material_no", "material_name",
@@ -35,6 +35,16 @@ def lot_moves(moves: DataFrame, prefix: str, ties: Sequence[str]) -> DataFrame:
     return newest.select(*LOT_KEY, f"{prefix}_qty", *[F.col(c).alias(f"{prefix}_{c}") for c in LOT_TAKE])
 
 
+def with_lot_moves(receipts: DataFrame, moves: Mapping[str, DataFrame], ties: Sequence[str]) -> DataFrame:
+    """Receipts with the newest move of their lot, for each kind of move its prefix.
+
+    Receipts without a lot meet no move and are not shuffled for one.
+    """
+    has_lot, on_lot = all_present(LOT_KEY) & ~is_blank("lot_no"), {c: c for c in LOT_KEY}
+    dims = [Dim(lot_moves(f, p, ties), on_lot, {f"{p}_{c}": f"{p}_{c}" for c in (*LOT_TAKE, "qty")}) for p, f in moves.items()]
+    return star_join(receipts.where(has_lot), dims).unionByName(receipts.where(~has_lot), allowMissingColumns=True)
+
+
 def procure_timeline(t: Mapping[str, DataFrame], ties: Sequence[str] = ("bill_no",), as_written: bool = False) -> DataFrame:
     """Requisition, purchase, receipt, notice, shipment and sales order of every line.
 
@@ -44,13 +54,19 @@ def procure_timeline(t: Mapping[str, DataFrame], ties: Sequence[str] = ("bill_no
     ``shipments`` as in ``lot_moves``, ``sale_orders`` (bill_id, entry_id, sale_no,
     sale_created, sale_approved, customer_order_no, qty). Every stage shows what the next
     one took and what is left of it. ``as_written`` keeps the report's reversed first
-    stage: received less ordered instead of ordered less received. A stage feeds the next
-    one twice (its rows and their totals), so each is written once to the shared folder
-    instead of being computed again at every later use.
+    stage: received less ordered instead of ordered less received.
+
+    A stage feeds the next one twice (its rows and their totals), so each is written once
+    to the shared folder, and what was shuffled for it is deleted. Lots are looked up on the
+    receipts and sales orders on the requisitions, the tables that hold their keys: no row
+    is shuffled with all columns.
     """
-    status = codes.DOCUMENT_STATUS
-    purchases = t["purchases"].withColumn("pur_status", decode("pur_status", status)).withColumnRenamed("qty", "ordered")
+    before, status = written_count(), codes.DOCUMENT_STATUS
     receipts = t["receipts"].withColumnRenamed("qty", "received_qty")
+    receipts = with_lot_moves(receipts, {"notice": t["notices"], "ship": t["shipments"]}, ties)
+    receipts = written_table(receipts, "timeline-receipts", compact=True)
+
+    purchases = t["purchases"].withColumn("pur_status", decode("pur_status", status)).withColumnRenamed("qty", "ordered")
     link = {"bill_id": "pur_bill_id", "entry_id": "pur_entry_id"}
     stage = residual_union(
         purchases, receipts, link, "ordered", "received_qty", "pur_qty", keep_child_qty=True, with_rest=not as_written
@@ -58,33 +74,25 @@ def procure_timeline(t: Mapping[str, DataFrame], ties: Sequence[str] = ("bill_no
     if as_written:
         over = residual_reversed(purchases, receipts, link, "ordered", "received_qty", "pur_qty")
         stage = stage.unionByName(over, allowMissingColumns=True)
-    stage = written_table(stage.drop("ordered", "bill_id", "entry_id"), "timeline-purchases")
+    stage = written_table(stage.drop("ordered", "bill_id", "entry_id"), "timeline-purchases", compact=True)
+    drop_but_last(receipts.sparkSession, before)
 
     req = t["requisitions"].withColumn("req_status", decode("req_status", status)).withColumnRenamed("qty", "requested")
     link = {"bill_id": "req_bill_id", "entry_id": "req_entry_id"}
-    stage = residual_union(req, stage, link, "requested", "pur_qty", "req_qty", keep_child_qty=True)
-    stage = written_table(stage.drop("requested", "bill_id", "entry_id"), "timeline-requisitions")
+    req = written_table(with_taken(req, stage, link, "pur_qty"), "timeline-requisitions", compact=True)
 
     orders = t["sale_orders"].withColumnRenamed("qty", "__sold")
     order_cols = ["sale_no", "sale_created", "sale_approved", "customer_order_no"]
     key = {"source_bill_id": "bill_id", "source_entry_id": "entry_id"}
-    met = trace_source(stage, orders, key, {c: c for c in (*order_cols, "__sold")}).withColumn("sale_qty", F.coalesce("req_qty", "__sold"))
-    used = stage.groupBy("source_bill_id", "source_entry_id").agg(F.sum("req_qty").alias("__used"))
+    # An order that repeats a key repeats the rows, but not the quantity they use.
+    used = residual_total(req, "requested", list(key), "__used")
+    met = trace_source(req, orders, key, {c: c for c in (*order_cols, "__sold")})
+    met = residual_union(met, stage, link, "requested", "pur_qty", "req_qty", keep_child_qty=True, taken_known=True)
+    met = met.withColumn("sale_qty", F.coalesce("req_qty", "__sold")).drop("__sold", "requested", *link)
     left = trace_source(orders, used, {"bill_id": "source_bill_id", "entry_id": "source_entry_id"}, {"__used": "__used"}, "inner")
     rest = F.col("__sold") - F.col("__used")
     left = left.where(rest > 0).select(*order_cols, rest.alias("sale_qty"))
-    line = met.drop("__sold").unionByName(left, allowMissingColumns=True)
-
-    notices, shipments = lot_moves(t["notices"], "notice", ties), lot_moves(t["shipments"], "ship", ties)
-    # Whatever was not received has no lot.
-    on_lot, numbers = {c: c for c in LOT_KEY}, ("req_no", "pur_no", "sale_no")
-    line = star_join(
-        line,
-        [
-            Dim(f, on_lot, {f"{p}_{c}": f"{p}_{c}" for c in (*LOT_TAKE, "qty")}, spread=numbers)
-            for p, f in (("notice", notices), ("ship", shipments))
-        ],
-    )
+    line = met.unionByName(left, allowMissingColumns=True)
     return line.select(
         *REQ_COLS, *PUR_COLS, *REC_COLS, *order_cols, "req_qty", "pur_qty", "received_qty", "sale_qty",
         "notice_bill_no", "notice_created_at", "notice_approved_at", "notice_qty",

@@ -54,16 +54,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written_table(df: DataFrame, label: str) -> DataFrame:
+#: Deletes the shuffle files of a query when it ends, not when the driver happens to collect garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written_table(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Fixes row placement and cuts lineage: a lost executor later on costs a re-read of
     files, never a recomputation that could place rows differently. The table stays until
     ``drop_written``, or until the end of the ``scratch`` block it was written in.
+    ``compact`` is for large steps of a job: the files are packed tighter, and what was
+    shuffled to write them leaves the disk before the next step.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if compact:
+        before = spark.conf.get(FREE_SHUFFLES, "false")
+        spark.conf.set(FREE_SHUFFLES, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            spark.conf.set(FREE_SHUFFLES, before)
+    else:
+        df.write.parquet(path)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -174,6 +175,23 @@ def test_shared_folder(monkeypatch):
     assert session.shared_folder(session_with("local[2]")) == session._named[0]
 
 
+def test_compact_tables_leave_no_shuffle_files(spark):
+    def shuffled() -> set[str]:
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f for d in folders for _, _, names in os.walk(d.getPath()) for f in names if f.startswith("shuffle_")}
+
+    grouped = spark.range(1_000).groupBy((F.col("id") % 10).alias("k")).count()
+    old, before = spark.conf.get(session.FREE_SHUFFLES, "false"), shuffled()
+    with session.scratch(spark):
+        kept = session.written_table(grouped, "kept", compact=True)
+        for _ in range(50):  # files are deleted in the background
+            if left := shuffled() - before:
+                time.sleep(0.2)
+        assert not left
+        assert kept.count() == 10 and all(f.endswith(".zstd.parquet") for f in kept.inputFiles())
+    assert spark.conf.get(session.FREE_SHUFFLES, "false") == old
+
+
 def test_written_tables_are_deleted(spark, orders):
     with session.scratch(spark):
         kept = session.written_table(orders, "kept")

@@ -182,6 +182,22 @@ def test_residual_union(spark, rows):
     assert rows(plain) == [r for r in rows(got) if r != (1, 10, None, 3)]
 
 
+def test_taken_quantities_need_no_rows(spark, rows):
+    """``with_taken`` and ``residual_total`` agree with the rows of ``residual_union``."""
+    parents = [(1, "x", 10), (2, "x", None), (3, "y", 5), (3, "y", 5), (4, "z", None), (None, "z", 7), (5, "w", 4), (6, "v", None), (7, None, 3)]
+    parent = spark.createDataFrame(parents, "p int, g string, q int").withColumn("q", F.col("q").cast("decimal(18,2)"))
+    children = [(1, 4, "a"), (1, None, "b"), (2, 3, "c"), (3, 2, "d"), (3, 2, "d"), (5, 9, "e"), (6, None, "f"), (None, 1, "g")]
+    child = spark.createDataFrame(children, "k int, cq int, id string").withColumn("cq", F.col("cq").cast("decimal(18,2)"))
+    plain = li.residual_union(parent, child, {"p": "k"}, "q", "cq", "out", keep_child_qty=True)
+    taken = li.with_taken(parent, child, {"p": "k"}, "cq")
+    assert taken.count() == parent.count()
+    known = li.residual_union(taken, child, {"p": "k"}, "q", "cq", "out", keep_child_qty=True, taken_known=True)
+    assert (known.columns, rows(known)) == (plain.columns, rows(plain))
+    wanted = plain.groupBy("g").agg(F.sum("out").alias("t"))
+    assert rows(li.residual_total(taken, "q", ["g"], "t")) == rows(wanted)
+    assert rows(wanted) == [(None, 3), ("v", None), ("w", 9), ("x", 23), ("y", 10), ("z", 7)]
+
+
 def test_residual_reversed(spark, rows):
     parent, child = parents_and_children(spark)
     assert rows(li.residual_reversed(parent, child, {"p": "k"}, "q", "cq", "out")) == [(3, 10, 2)]

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom import session
 from ledgerloom.checks import all_queries
 from ledgerloom.checks.receivables import RULES, roles
 from ledgerloom.operators import joins as j
@@ -209,6 +210,17 @@ def test_lines_without_a_lot_are_spread(spark, dealt, name):
     assert dealt(QUERIES[name](spark, FOLDER), "lot_no is null and notice_qty is null and ship_qty is null") < 0.5
 
 
+@pytest.mark.parametrize("name", ["procure_timeline", "procure_timeline_asis"])
+def test_timeline_shuffles_no_full_rows(shuffled, name):
+    """Lots are met by the receipts and sales orders by the requisitions, not by the lines."""
+    before = session.written_count()
+    plan = plan_of(QUERIES[name](shuffled, FOLDER))
+    assert session.written_count() == before + 2  # the table of receipts is gone
+    assert "material_id" not in "".join(re.findall(r"hashpartitioning\([^)]*\)", plan))
+    lines = [s for s in re.findall(r"FileScan parquet \[([^\]]*)\]", plan) if "receipt_no" in s]
+    assert len(lines) == 1 and "sale_no" not in lines[0]
+
+
 def test_lines_without_an_order_are_spread(spark, dealt):
     lines = r.receivable_lines(roles(Catalog(spark, root=FOLDER)), RULES)
     assert dealt(lines, "order_no is null and agent_flag is null") < 0.5
