@@ -10,6 +10,7 @@ from ledgerloom.functions import codes
 from ledgerloom.functions.scalars import decode, keep_unless
 from ledgerloom.operators.joins import Dim, star_join
 from ledgerloom.operators.windows import latest_per_key
+from ledgerloom.session import written_table
 from ledgerloom.sources.sinks import typed
 
 BILL_KIND = "小票销售订单"  # fixed value: document kind of this report
@@ -150,20 +151,30 @@ def margin_lines(t: Mapping[str, DataFrame], order_type: str = "2") -> DataFrame
         "project_id", "project_no", "project_name", "ratio",
         F.when(F.col("__owner_no") == F.col("__user_no"), F.lit(0)).otherwise(ratio).cast("decimal(9,6)").alias("agent_rate"),
     )
+    # Payers are looked up on the headers, which hold their key. What bringing lines and headers
+    # together shuffles is deleted before the lookups shuffle the lines again.
+    head = star_join(head, [Dim(t["customers"], {"customer_id": "customer_id"}, {"contact_name": "customer_name"})]).drop("customer_id")
+    # Lines travel with the narrow tax; one that does not fit is an error only in a line that stays
+    # (kept in an array, as a missing wide decimal takes as much room as one).
+    zero, fits = F.lit(0), "decimal(6,4)"
+    tax = (F.coalesce("tax_percent", zero) / 100).try_cast(fits)
+    entries = t["entries"].select(
+        "bill_id", "entry_id", "project_id", "contact_id", "material_id", "qty", "amount",
+        tax.alias("tax"), F.when(tax.isNull(), F.array("tax_percent")).alias("__wide_tax"),
+    )
+    lines = written_table(head.join(entries, "bill_id"), "margin-lines", compact=True)
     # Narrow lookups first: the texts of projects and materials are shuffled least often.
     rows = star_join(
-        head.join(t["entries"], "bill_id"),
+        lines,
         [
             Dim(t["costs"], {"bill_id": "bill_id", "entry_id": "entry_id"}, {"cost": "cost"}),
             Dim(t["customers"], {"contact_id": "customer_id"}, {"customer_name": "customer_name"}),
-            Dim(t["customers"], {"customer_id": "customer_id"}, {"contact_name": "customer_name"}),
         ],
     )
     rows = rows.join(projects, "project_id").join(t["materials"], "material_id")
-    zero = F.lit(0)
     return rows.select(
         *MARGIN_KEYS, "ratio", "agent_rate", "created_at",
-        F.coalesce("qty", zero).alias("qty"), (F.coalesce("tax_percent", zero) / 100).cast("decimal(6,4)").alias("tax"),
+        F.coalesce("qty", zero).alias("qty"), F.coalesce("tax", (F.col("__wide_tax")[0] / 100).cast(fits)).alias("tax"),
         F.coalesce("amount", zero).alias("amount"), F.coalesce("cost", zero).alias("cost"),
     )
 

@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Shuffle and spill files take about half the disk they take with lz4.
+    "spark.io.compression.codec": "zstd",
 }
 
 

@@ -153,6 +153,33 @@ def test_sales_board_rows_per_address_or_region(spark, rows):
     assert rows(merged.where("region <> ''"), "amount", "tax_amount", "cost") == [(D("30.00"), D("33.00"), D("2.00"))]
 
 
+def test_margin_lines_meet_header_and_lookups(spark, rows):
+    """Each line has the names of its payer and its contact; a tax that does not fit matters only where its line stays."""
+    money = "decimal(18,2)"
+    t = {
+        "headers": frame(spark, "bill_id int, created_at string, customer_id int, org_id int, order_type string, status string", (1, "m", 7, 1, "2", "C"), (2, "m", None, 1, "2", "C"), (3, "m", 7, 1, "2", "A")),
+        "entries": frame(
+            spark, f"bill_id int, entry_id int, project_id int, contact_id int, material_id int, qty {money}, tax_percent decimal(19,6), amount {money}",
+            (1, 1, 5, 8, 6, D("2"), D("13"), D("9")), (1, 2, 5, None, 6, None, None, None), (2, 1, 5, 7, 6, D("1"), D("0"), D("1")),
+            (2, 2, 99, 7, 6, D("1"), D("99999"), D("1")), (3, 1, 5, 8, 6, D("1"), D("99999"), D("1")),
+        ),
+        "costs": frame(spark, f"bill_id int, entry_id int, cost {money}", (1, 1, D("4"))),
+        "projects": frame(spark, "project_id int, project_no string, project_name string, ratio string, owner_org_id int, use_org_id int", (5, "P", "p", "50", 1, 2)),
+        "orgs": frame(spark, "org_id int, org_no string", (1, "a"), (2, "b")),
+        "customers": frame(spark, "customer_id int, customer_name string", (7, "payer"), (8, "contact")),
+        "materials": frame(spark, "material_id int, material_no string, material_name string, specification string, material_group string, brand string, brand_type string", (6, "M", "n", "s", "g", "b", "t")),
+    }
+    out = sales.margin_lines(t)
+    assert rows(out, "contact_name", "customer_name", "agent_rate", "qty", "tax", "amount", "cost") == [
+        (None, "payer", D("0.500000"), D("1.00"), D("0.0000"), D("1.00"), D("0.00")),
+        ("payer", None, D("0.500000"), D("0.00"), D("0.0000"), D("0.00"), D("0.00")),
+        ("payer", "contact", D("0.500000"), D("2.00"), D("0.1300"), D("9.00"), D("4.00")),
+    ]
+    t["projects"] = t["projects"].unionByName(t["projects"].withColumn("project_id", F.lit(99)))
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        sales.margin_lines(t).collect()
+
+
 def test_gross_margin_guards(spark):
     schema = "project_no string, agent_rate double, tax double, qty int, amount double, cost double"
     data = frame(spark, schema, ("A", 0.0, 0.13, 0, 113.0, 60.0), ("B", 0.5, 0.0, 4, 100.0, 999.0), ("C", 0.0, None, 2, 10.0, 4.0))

@@ -251,6 +251,15 @@ def test_margins_take_wide_texts_last(shuffled, name):
     assert depth(keys, "material_id") < depth(keys, "project_id") < depth(keys, "contact_id") < depth(keys, "entry_id")
 
 
+@pytest.mark.parametrize("name", ["gross_margin", "margin_sheet"])
+def test_margins_look_up_payers_on_headers(shuffled, name):
+    """Lines were shuffled by payer, with both names and the header's keys, in one plan with their headers."""
+    plan = plan_of(QUERIES[name](shuffled, FOLDER))
+    assert not re.search(r"hashpartitioning\((customer_id|bill_id|l_orderkey)#\w+, \d+\)", plan)
+    lines = [s for s in re.findall(r"FileScan parquet \[([^\]]*)\]", plan) if "contact_id" in s]
+    assert len(lines) == 1 and "contact_name" in lines[0] and "customer_id" not in lines[0]
+
+
 def test_orders_without_a_project_are_spread(spark, dealt):
     assert dealt(QUERIES["platform_recon"](spark, FOLDER), "project_no is null and paid is null") < 0.5
 
